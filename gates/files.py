@@ -43,6 +43,16 @@ def s5_view_registration(t):
     return t.spark.sql("SELECT s_nationkey, count(*) AS n FROM gate_supplier GROUP BY s_nationkey")
 
 
+@query("SELECT s_suppkey, s_name, s_nationkey FROM supplier")
+def s6_catalog_table(t):
+    path = fresh_path(t.spark, "supplier")
+    R.write_parquet(t.supplier, path)
+    name = f"gate_{path[-32:]}"
+    t.spark.catalog.createTable(name, path=path, source="parquet")
+    required = ["s_suppkey", "s_name", "s_nationkey"]
+    return R.read_table(t.spark, name, "default", required, "gate").select(*required)
+
+
 @query(
     """
     SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS title, p_type AS kind,

@@ -359,7 +359,7 @@ def a11_null_counts(t):
 
 @query(
     """
-    SELECT l_suppkey, count_if(l_returnflag = 'R') AS returned,
+    SELECT l_suppkey, CAST(count_if(l_returnflag = 'R') AS BIGINT) AS returned,
            sum(l_quantity) FILTER (WHERE l_returnflag = 'R') AS returned_quantity
     FROM lineitem GROUP BY l_suppkey
     """

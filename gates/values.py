@@ -26,7 +26,7 @@ def e1_upper_lower(t):
     r"""
     SELECT conv_id, turn, array_to_string(list_transform(
              regexp_extract_all(text, '[\p{L}\p{N}]+|[^\p{L}\p{N}]+'),
-             lambda w: upper(w[1]) || lower(w[2:])), '') AS text
+             lambda w: upper(replace(w[1], 'ß', 'SS')) || lower(w[2:])), '') AS text
     FROM conversations
     """
 )

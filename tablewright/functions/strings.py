@@ -31,7 +31,7 @@ def title_case(c) -> Column:
     runs = F.regexp_extract_all(
         col(c), F.lit(r"[\p{IsAlphabetic}\p{N}]+|[^\p{IsAlphabetic}\p{N}]+"), F.lit(0)
     )
-    return F.array_join(F.transform(runs, F.initcap), "")
+    return F.array_join(F.transform(runs, capitalize), "")
 
 
 def strip(c, chars: str | None = None, side: str = "both") -> Column:

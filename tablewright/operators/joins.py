@@ -9,6 +9,7 @@ for a key that holds a large part of all rows.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -150,44 +151,35 @@ def spread_hot_keys(
 ) -> DataFrame:
     """Join on ``key`` with the rows of hot left keys spread over ``salts`` tasks.
 
-    Keys with more than ``hot_rows`` rows on the left are found by a count and
-    staged. Their left rows get a salt from their other columns; their right
-    rows are repeated once per salt. All other rows keep salt 0, so the result
-    is the same as that of a plain join. Works for ``inner``, ``left``,
-    ``left_semi`` and ``left_anti``, where only left rows are kept unmatched.
+    Keys with more than ``hot_rows`` rows on the left are found by a count. Their
+    left rows are stored with a salt, their right rows repeated once for each
+    salt; all other rows, and rows without a key, are joined as usual. The
+    result is that of a plain join. Works for ``inner``, ``left``, ``left_semi``
+    and ``left_anti``, where only left rows are kept unmatched.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError("spread_hot_keys keeps unmatched rows of the left side only")
-    hot = stage(
-        left.groupBy(key).count().filter(F.col("count") > hot_rows).select(key), "hot-keys"
+    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    # each hot key stands for more than hot_rows rows, so there are few of them
+    hot = stage(counts.filter(F.col("rows") > hot_rows), "hot-keys").select(
+        F.col(key).alias("__hot")
     )
     if hot.isEmpty():
         return left.join(right, on=key, how=how)
-    # each hot key stands for more than hot_rows rows, so this list stays short
-    marks = hot.dropna().select(F.col(key).alias("__hot"))
-    spread = [c for c in left.columns if c != key] or [key]
-    salted = (
-        left.join(marks, left[key] == marks["__hot"], "left")
-        .withColumn(
-            _SALT,
-            F.when(
-                F.col("__hot").isNotNull(), F.pmod(F.xxhash64(*spread), F.lit(salts))
-            ).otherwise(F.lit(0)),
-        )
-        .drop("__hot")
-    )
-    repeated = (
-        right.join(marks, right[key] == marks["__hot"], "left")
-        .withColumn(
-            _SALT,
-            F.explode(
-                F.when(
-                    F.col("__hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))
-                ).otherwise(F.array(F.lit(0)))
-            ),
-        )
-        .drop("__hot")
+    is_hot = F.col(key) == F.col("__hot")
+    keyed = left.filter(F.col(key).isNotNull())
+    # stored with its salt: a task that runs again must not deal the rows anew
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(salts))
+    hot_left = stage(keyed.join(hot, is_hot, "left_semi").withColumn(_SALT, salt), "hot-rows")
+    hot_right = right.join(hot, is_hot, "left_semi").withColumn(
+        _SALT, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
     )
-    return salted.join(
-        repeated.withColumn(_SALT, F.col(_SALT).cast("long")), on=[key, _SALT], how=how
-    ).drop(_SALT)
+    parts = [
+        hot_left.join(hot_right, on=[key, _SALT], how=how).drop(_SALT),
+        keyed.join(hot, is_hot, "left_anti").join(right, on=key, how=how),
+    ]
+    if how in ("left", "left_anti"):
+        # rows without a key match nothing and need no shuffle to find that out
+        unkeyed = left.filter(F.col(key).isNull())
+        parts.append(unkeyed.join(right.filter(F.lit(False)), on=key, how=how))
+    return reduce(DataFrame.unionByName, parts)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tablewright.session import SINGLE_TASK_ROWS, stage
 
-_PART, _START, _ROW, _LOCAL, _OFFSET = "__part", "__start", "__row", "__local", "__offset"
+_PART, _START, _ROW, _LOCAL, _TIE = "__part", "__start", "__row", "__local", "__tie"
 _LOW_BITS = 2**33 - 1
 
 
@@ -89,12 +89,11 @@ def rank_rows(
     values = df.groupBy(F.col(column).alias("__value")).agg(
         F.count(F.lit(1)).alias("__ties")
     )
-    ranked = running_total(
-        stage(values, "rank-values"),
-        f"__value {direction}",
-        {"__seen": "__ties"},
-        single_task_rows=single_task_rows,
-    ).select("__value", (F.col("__seen") - F.col("__ties") + 1).cast("int").alias(target))
+    values = stage(values.withColumn("__seen", F.col("__ties")), "rank-values")
+    seen = _prefix_sums(values, f"__value {direction}", ["__seen"], [], single_task_rows)
+    ranked = seen.select(
+        "__value", (F.col("__seen") - F.col("__ties") + 1).cast("int").alias(target)
+    )
     return df.join(ranked, F.col(column).eqNullSafe(F.col("__value")), "left").drop("__value")
 
 
@@ -105,12 +104,15 @@ def number_rows(
     partition_by: Sequence[str] = (),
     row_bound: int | None = None,
     single_task_rows: int = SINGLE_TASK_ROWS,
+    unique: bool = True,
 ) -> DataFrame:
     """``ROW_NUMBER()`` over all rows or within groups.
 
-    ``order_by`` must end in a unique column, so that the numbers do not depend
-    on chance and a value shared by many rows can still be split. ``row_bound``
-    is a known upper bound of the row count; without it the groups are counted.
+    ``order_by`` should end in a unique column, so that the numbers do not
+    depend on chance and a value shared by many rows can still be split. Where
+    many rows may be equal in all of ``order_by``, ``unique=False`` stores them
+    with a tie-break first. ``row_bound`` is a known upper bound of the row
+    count; without it the groups are counted.
 
     Groups above ``single_task_rows`` rows are range-partitioned by the whole
     sort key and sorted. The row position inside each partition comes from
@@ -124,6 +126,10 @@ def number_rows(
     if hot is not None:
         sort = [F.col(g).asc_nulls_last() for g in partition_by]
         sort += [order_column(o) for o in order_by]
+        if not unique:
+            # stored, so that a task that runs again meets the same tie-break
+            hot = stage(hot.withColumn(_TIE, F.monotonically_increasing_id()), "ties")
+            sort.append(F.col(_TIE))
         ranged = (
             hot.repartitionByRange(_tasks(df), *sort)
             .sortWithinPartitions(*sort)
@@ -178,7 +184,6 @@ def running_total(
 def _prefix_sums(df, order, columns, groups, single_task_rows):
     """Running sums over rows whose order value is unique within the group."""
     cold, hot = _split_hot(df, groups, single_task_rows)
-    name = order.partition(" ")[0]
     frame = (Window.unboundedPreceding, Window.currentRow)
     parts = []
     if cold is not None:
@@ -205,7 +210,7 @@ def _prefix_sums(df, order, columns, groups, single_task_rows):
             .otherwise(F.col(c) + F.col(b))
             for c, b in zip(columns, before)
         }
-        parts.append(joined.withColumns(sums).select(*groups, name, *columns))
+        parts.append(joined.withColumns(sums).select(*df.columns))
     return reduce(DataFrame.unionByName, parts)
 
 

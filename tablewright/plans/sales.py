@@ -43,36 +43,29 @@ def sales_joined(
 ) -> DataFrame:
     """Sales with the columns of their artwork and artist.
 
-    The two joins go from the large table to tables that are unique by key, so
-    Spark may broadcast those that turn out small and split skewed partitions
-    of the sales where they do not.
+    The artworks meet their artists first, so the sales, the large side, are
+    shuffled at most once. Spark does not do so itself: it keeps the order of
+    outer joins. The right side is unique by key, which lets adaptive execution
+    split a skewed partition of the sales.
     """
-    art = artworks.select(
+    makers = artists.select("artist_id", F.col("name").alias("artist_name"), "nationality")
+    art = artworks.join(makers, "artist_id", how).select(
         "artwork_id",
         "title",
         "artist_id",
         F.col("year").alias("artwork_year"),
         "medium",
         F.col("price_usd").alias("list_price_usd"),
+        "artist_name",
+        "nationality",
     )
-    makers = artists.select("artist_id", F.col("name").alias("artist_name"), "nationality")
-    return (
-        sales.join(art, "artwork_id", how)
-        .join(makers, "artist_id", how)
-        .select(
-            "sale_id",
-            "artwork_id",
-            "sale_date",
-            "sale_price_usd",
-            "buyer_country",
-            "title",
-            "artist_id",
-            "artwork_year",
-            "medium",
-            "list_price_usd",
-            "artist_name",
-            "nationality",
-        )
+    return sales.join(art, "artwork_id", how).select(
+        "sale_id",
+        "artwork_id",
+        "sale_date",
+        "sale_price_usd",
+        "buyer_country",
+        *[c for c in art.columns if c != "artwork_id"],
     )
 
 

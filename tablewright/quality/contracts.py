@@ -65,7 +65,7 @@ class Check:
     def limit_text(self) -> str:
         if self.kind == "freshness":
             return f"<= {self.options['freshness_limit']}"
-        return f"{self.limit[0]} {self.limit[1]:g}"
+        return f"{self.limit[0]} {self.limit[1]}"
 
 
 @dataclass(frozen=True)

@@ -58,8 +58,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder; nothing is ever overwritten there."""
-    return f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, under a folder for each application.
+
+    Nothing is ever overwritten there; the folder can go when the application
+    has ended.
+    """
+    application = spark.sparkContext.applicationId
+    return f"{checkpoint_dir(spark)}/{application}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
