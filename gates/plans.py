@@ -82,6 +82,28 @@ def m3_artworks_transform(t):
     return _media_as_text(_artworks_transform(t))
 
 
+@query(f"{_CATALOGUE} SELECT * EXCLUDE (media) FROM artworks_transform")
+def m3_artworks_without_media_lists(t):
+    return _artworks_transform(t, media_lists=False, ordered=False)
+
+
+@query(
+    f"""
+    WITH {MEDIA}
+    SELECT artwork_id, CAST(floor((sort_order - 1) / 3) AS BIGINT) AS part, count(*) AS n,
+           string_agg(filename, ',' ORDER BY sort_order) AS files
+    FROM media GROUP BY artwork_id, floor((sort_order - 1) / 3)
+    """
+)
+def m3_media_parts(t):
+    # every artwork counts as one with many media
+    parts = plans.media_parts(media(t), part_rows=3, single_task_rows=1)
+    files = F.array_join(F.transform("media", lambda m: m["filename"]), ",")
+    return parts.select(
+        "artwork_id", "part", F.size("media").cast("long").alias("n"), files.alias("files")
+    )
+
+
 @query(f"{_CATALOGUE} SELECT * FROM artworks_transform")
 def m3_artworks_transform_distributed(t):
     # the route for more artworks than one task may rank

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+_SCHEMAS: dict[str, StructType] = {}
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -24,7 +26,11 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        return self.spark.read.parquet(self.folder.rstrip("/") + f"/{name}.parquet")
+        path = self.folder.rstrip("/") + f"/{name}.parquet"
+        # finding the schema is a job of its own: once for each file is enough
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def query(oracle: str | None = None):

@@ -15,7 +15,7 @@ def sales(t: Tables) -> DataFrame:
     return t.lineitem.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("sale_id"),
         F.col("l_partkey").alias("artwork_id"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("sale_date"),
+        F.col("l_shipdate").cast("date").cast("string").alias("sale_date"),
         F.floor("l_extendedprice").alias("sale_price_usd"),
         F.col("l_returnflag").alias("buyer_country"),
     )

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from tablewright.functions._column import col, value_of
 
-# Unicode white space, not only ASCII: (?U) widens \s in Java patterns.
-_SPACE_LEFT = r"(?U)^\s+"
-_SPACE_RIGHT = r"(?U)\s+$"
+# The characters with the Unicode property White_Space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def upper(c) -> Column:
@@ -36,17 +38,11 @@ def title_case(c) -> Column:
 
 def strip(c, chars: str | None = None, side: str = "both") -> Column:
     """Remove white space of any kind, or the given characters, from the ends."""
-    if side not in ("both", "left", "right"):
+    trims = {"both": F.btrim, "left": F.ltrim, "right": F.rtrim}
+    if side not in trims:
         raise ValueError(f"side must be both, left or right, not {side!r}")
-    if chars is not None:
-        trim = {"both": F.btrim, "left": F.ltrim, "right": F.rtrim}[side]
-        return trim(col(c), F.lit(chars))
-    pattern = {
-        "both": f"{_SPACE_LEFT}|{_SPACE_RIGHT}",
-        "left": _SPACE_LEFT,
-        "right": _SPACE_RIGHT,
-    }[side]
-    return F.regexp_replace(col(c), pattern, "")
+    # a set of characters looks at the ends only; a pattern would search the whole text
+    return trims[side](col(c), F.lit(WHITE_SPACE if chars is None else chars))
 
 
 def capitalize(c) -> Column:
@@ -104,7 +100,7 @@ def replace_pattern(c, pattern: str, replacement: str) -> Column:
 
 def collapse_whitespace(c) -> Column:
     """Every run of white space becomes one space."""
-    return F.regexp_replace(col(c), r"(?U)\s+", " ")
+    return F.regexp_replace(col(c), f"[{WHITE_SPACE}]+", " ")
 
 
 def replace_text(c, old: str, new: str) -> Column:

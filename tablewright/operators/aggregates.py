@@ -26,16 +26,33 @@ def aggregate(
 
 
 def sales_per_item(
-    sales: DataFrame, item_key: str, price: str, date: str, digits: int | None = 0
+    sales: DataFrame,
+    item_key: str,
+    price: str,
+    date: str,
+    digits: int | None = 0,
+    iso_text: bool = False,
 ) -> DataFrame:
-    """Count, total, average and first and last date of the sales of each item."""
+    """Count, total, average and first and last date of the sales of each item.
+
+    Text can only be compared in an aggregate that sorts all rows by key. With
+    ``iso_text`` the dates are ISO text, are compared as dates in a hash
+    aggregate and come back as text; any other text raises.
+    """
     average = F.avg(price)
+    value = F.col(date)
+    if iso_text:
+        wrong = F.raise_error(F.concat(F.lit("not an ISO date: "), value)).cast("date")
+        value = F.when(value.isNull() | (F.length(value) == 10), value.cast("date")).otherwise(wrong)
+    first, last = F.min(value), F.max(value)
+    if iso_text:
+        first, last = first.cast("string"), last.cast("string")
     return sales.groupBy(item_key).agg(
         F.count(F.lit(1)).alias("sale_count"),
         F.sum(price).alias("total_sales_value"),
         (average if digits is None else F.round(average, digits)).alias("avg_sale_price"),
-        F.min(date).alias("first_sale_date"),
-        F.max(date).alias("last_sale_date"),
+        first.alias("first_sale_date"),
+        last.alias("last_sale_date"),
     )
 
 

@@ -5,6 +5,7 @@ from tablewright.plans.catalogue import (
     artworks_by_tier,
     artworks_output,
     artworks_transform,
+    media_parts,
 )
 from tablewright.plans.checked import checked_sales_output
 from tablewright.plans.sales import (
@@ -21,6 +22,7 @@ __all__ = [
     "artworks_output",
     "artworks_transform",
     "checked_sales_output",
+    "media_parts",
     "sales_by_threshold",
     "sales_output",
     "sales_transform",

@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions import normalise_name, price_tier, upper
 from tablewright.functions.conditional import TIER_BOUNDS, TIER_NAMES
 from tablewright.operators.aggregates import (
     first_match,
+    ordered_struct_parts,
     sales_per_item,
     struct_list,
     value_counts,
@@ -62,9 +63,11 @@ ARTWORKS_SCHEMA = TableSchema(
 )
 
 
-def catalogue(artworks: DataFrame, artists: DataFrame, how: str = "left") -> DataFrame:
-    """Artworks with artist name and nationality."""
-    makers = artists.select("artist_id", F.col("name").alias("artist_name"), "nationality")
+def catalogue(
+    artworks: DataFrame, artists: DataFrame, artist_name: Column, how: str = "left"
+) -> DataFrame:
+    """Artworks with nationality and artist name, which is edited once per artist."""
+    makers = artists.select("artist_id", artist_name.alias("artist_name"), "nationality")
     return artworks.join(makers, "artist_id", how).select(
         "artwork_id",
         "title",
@@ -84,11 +87,15 @@ def with_sales(
     Sales of unknown artworks need no filter of their own: their groups find no
     artwork to join.
     """
-    history = sales_per_item(sales, "artwork_id", "sale_price_usd", "sale_date", digits)
+    history = sales_per_item(
+        sales, "artwork_id", "sale_price_usd", "sale_date", digits, iso_text=True
+    )
     return items.join(history, "artwork_id", "left")
 
 
-def media_summary(media: DataFrame, fields: Sequence[str] = MEDIA_FIELDS) -> DataFrame:
+def media_summary(
+    media: DataFrame, fields: Sequence[str] = MEDIA_FIELDS, lists: bool = True
+) -> DataFrame:
     """Number of media, the primary image and the ordered media list, per artwork.
 
     One pass over the media. The primary image is the one with sort order 1;
@@ -99,14 +106,25 @@ def media_summary(media: DataFrame, fields: Sequence[str] = MEDIA_FIELDS) -> Dat
         "sort_order = 1",
         ["filename", "alt_text"],
     )
-    return (
-        media.groupBy("artwork_id")
-        .agg(
-            primary.alias("__primary"),
-            F.count(F.lit(1)).cast("int").alias("media_count"),
-            struct_list("sort_order", fields).alias("media"),
-        )
-        .select("artwork_id", "__primary.*", "media_count", "media")
+    extra = [struct_list("sort_order", fields).alias("media")] if lists else []
+    summary = media.groupBy("artwork_id").agg(
+        primary.alias("__primary"), F.count(F.lit(1)).cast("int").alias("media_count"), *extra
+    )
+    listed = ["media"] if lists else []
+    return summary.select("artwork_id", "__primary.*", "media_count", *listed)
+
+
+def media_parts(
+    media: DataFrame, part_rows: int = 10_000, fields: Sequence[str] = MEDIA_FIELDS, **kwargs
+) -> DataFrame:
+    """The media lists in parts: ``artwork_id``, ``part``, ``media``.
+
+    For artworks with more media than one cell may hold; go with
+    ``artworks_transform(…, media_lists=False)``.
+    """
+    order = ["sort_order", *[f for f in fields if f != "sort_order"]]
+    return ordered_struct_parts(
+        media, "artwork_id", order, fields, "media", part_rows, unique=False, **kwargs
     )
 
 
@@ -119,19 +137,21 @@ def artworks_transform(
     bounds: Sequence[float] = TIER_BOUNDS,
     ties: str = "rank",
     ordered: bool = True,
+    media_lists: bool = True,
     single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """The enriched catalogue, by total sales value and then by id.
 
     ``ties="rank"`` gives artworks with equal totals the same rank;
-    ``ties="ordinal"`` numbers them by id. Above ``single_task_rows`` artworks
+    ``ties="ordinal"`` numbers them by id. ``media_lists=False`` leaves the media
+    column out (see ``media_parts``). Above ``single_task_rows`` artworks
     the rows are staged before they are ranked, so the sales are read once.
     """
     if ties not in ("rank", "ordinal"):
         raise ValueError("ties must be rank or ordinal")
-    rows = with_sales(catalogue(artworks, artists, how), sales).withColumns(
+    items = catalogue(artworks, artists, upper("name"), how)
+    rows = with_sales(items, sales).withColumns(
         {
-            "artist_name": upper("artist_name"),
             "has_sold": F.coalesce(F.col("sale_count") > 0, F.lit(False)),
             "sale_count": F.coalesce("sale_count", F.lit(0)).cast("long"),
             "total_sales_value": F.coalesce("total_sales_value", F.lit(0)),
@@ -157,15 +177,16 @@ def artworks_transform(
             row_bound=bound,
             single_task_rows=single_task_rows,
         )
+    listed = ["media"] if media_lists else []
     result = (
-        ranked.join(media_summary(media), "artwork_id", "left")
+        ranked.join(media_summary(media, lists=media_lists), "artwork_id", "left")
         .withColumns(
             {
                 "media_count": F.coalesce("media_count", F.lit(0)),
                 "sales_rank": F.col("sales_rank").cast("int"),
             }
         )
-        .select(*ARTWORKS_SCHEMA.fields, "media")
+        .select(*ARTWORKS_SCHEMA.fields, *listed)
     )
     return sort_rows(result, "total_sales_value desc", "artwork_id") if ordered else result
 
@@ -191,9 +212,9 @@ def artworks_by_tier(
     without media. Image and caption are the smallest present ones among the
     media with sort order 1.
     """
-    rows = with_sales(catalogue(artworks, artists, "inner"), sales, digits=None).withColumns(
+    items = catalogue(artworks, artists, normalise_name("name"), "inner")
+    rows = with_sales(items, sales, digits=None).withColumns(
         {
-            "artist_name": normalise_name("artist_name"),
             "has_sold": F.col("sale_count") > 0,
             "sale_count": F.coalesce("sale_count", F.lit(0)).cast("long"),
             "total_sales_value": F.coalesce("total_sales_value", F.lit(0)),

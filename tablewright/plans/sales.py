@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions import normalise_name, percent_change, price_difference
 from tablewright.operators.filters import HIGH_VALUE_MINIMUM, filter_number
+from tablewright.operators.joins import broadcast_if_small
 from tablewright.operators.ordering import sort_rows
 from tablewright.quality.schema import Field, TableSchema
 
@@ -38,17 +39,28 @@ SALES_SCHEMA = TableSchema(
 )
 
 
+# From this many sales on it pays to measure whether their shuffle can be saved.
+MEASURE_FROM = 10_000_000
+
+
 def sales_joined(
-    sales: DataFrame, artworks: DataFrame, artists: DataFrame, how: str = "left"
+    sales: DataFrame,
+    artworks: DataFrame,
+    artists: DataFrame,
+    how: str = "left",
+    measure_from: int = MEASURE_FROM,
 ) -> DataFrame:
-    """Sales with the columns of their artwork and artist.
+    """Sales with the columns of their artwork and artist, names normalised.
 
     The artworks meet their artists first, so the sales, the large side, are
     shuffled at most once. Spark does not do so itself: it keeps the order of
-    outer joins. The right side is unique by key, which lets adaptive execution
-    split a skewed partition of the sales.
+    outer joins. From ``measure_from`` sales on (counted from the file footers of
+    a stored table) the joined artworks are measured, and broadcast if they are
+    small; then the sales are not shuffled at all. Otherwise the right side,
+    unique by key, lets adaptive execution split a skewed partition of the sales.
+    Names are edited once per artist, not once per sale.
     """
-    makers = artists.select("artist_id", F.col("name").alias("artist_name"), "nationality")
+    makers = artists.select("artist_id", normalise_name("name").alias("artist_name"), "nationality")
     art = artworks.join(makers, "artist_id", how).select(
         "artwork_id",
         "title",
@@ -59,6 +71,8 @@ def sales_joined(
         "artist_name",
         "nationality",
     )
+    if not sales.isStreaming and sales.count() >= measure_from:
+        art = broadcast_if_small(art)
     return sales.join(art, "artwork_id", how).select(
         "sale_id",
         "artwork_id",
@@ -83,7 +97,6 @@ def sales_transform(
     """
     enriched = sales_joined(sales, artworks, artists, how).withColumns(
         {
-            "artist_name": normalise_name("artist_name"),
             "price_diff": price_difference("sale_price_usd", "list_price_usd"),
             "pct_change": percent_change("sale_price_usd", "list_price_usd"),
         }
@@ -114,7 +127,6 @@ def sales_by_threshold(
     joined = sales_joined(sales, artworks, artists, "inner")
     return filter_number(joined, "sale_price_usd", minimum, ">").withColumns(
         {
-            "artist_name": normalise_name("artist_name"),
             "price_diff": price_difference(price, base),
             "pct_change": F.when((base == 0) & price.isNotNull(), at_zero).otherwise(change),
         }

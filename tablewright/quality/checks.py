@@ -96,7 +96,7 @@ def reference_check(
 
     The sample holds the smallest keys as text; the count covers all of them.
     """
-    orphans = orphan_keys(child, parent, key, parent_key).dropna()
+    orphans = orphan_keys(child.filter(F.col(key).isNotNull()), parent, key, parent_key)
     first = orphans.orderBy(key).limit(sample)
     samples = first.agg(
         F.transform(F.sort_array(F.collect_list(key)), lambda k: k.cast("string"))
