@@ -70,10 +70,10 @@ def ordered_structs(
 
 def struct_list(order_by: str, fields: Sequence[str]) -> Column:
     """The aggregate behind ``ordered_structs``."""
-    return _sorted_items(F.col(order_by), F.struct(*fields))
+    return sorted_items(F.col(order_by), F.struct(*fields))
 
 
-def _sorted_items(order: Column, item: Column) -> Column:
+def sorted_items(order: Column, item: Column) -> Column:
     """The collected items, sorted by ``order`` with nulls last, then by themselves."""
     entry = F.struct(
         order.isNull().alias("last"),
@@ -102,7 +102,7 @@ def ordered_struct_parts(
     keys = _keys(keys)
     numbered = number_rows(df, order_by, "__position", keys, **kwargs)
     part = F.floor((F.col("__position") - 1) / part_rows).cast("long")
-    items = _sorted_items(F.col("__position"), F.struct(*fields))
+    items = sorted_items(F.col("__position"), F.struct(*fields))
     return numbered.withColumn("part", part).groupBy(*keys, "part").agg(items.alias(target))
 
 
@@ -140,7 +140,7 @@ def implode(
 
     The list follows ``order_by``, or the values themselves.
     """
-    items = _sorted_items(F.col(order_by or column), F.col(column))
+    items = sorted_items(F.col(order_by or column), F.col(column))
     return df.groupBy(*_keys(keys)).agg(items.alias(column))
 
 

@@ -32,19 +32,17 @@ def broadcast_if_small(
     """``df`` with a broadcast hint if it is measured to be small, else as it is.
 
     For a side that is itself a join: Spark multiplies the sizes of its inputs
-    and so never takes it to be small. The measure reads at most ``max_rows + 1``
-    rows of each partition. Larger sides keep the shuffled join, where adaptive
-    execution splits skewed partitions.
+    and so never takes it to be small. The rows are counted first, and only few
+    rows are measured in bytes. Larger sides keep the shuffled join, where
+    adaptive execution splits skewed partitions.
     """
     if df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-"):
         return df
+    if df.count() > max_rows:
+        return df
     size = F.octet_length(F.to_json(F.struct("*")))
-    rows, size = (
-        df.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0)))
-        .first()
-    )
-    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
+    measured = df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    return F.broadcast(df) if measured <= max_bytes else df
 
 
 def semi_join(left: DataFrame, right: DataFrame, key: str, right_key: str | None = None):

@@ -22,6 +22,8 @@ from tablewright.session import SINGLE_TASK_ROWS, stage
 
 _PART, _START, _ROW, _LOCAL, _TIE = "__part", "__start", "__row", "__local", "__tie"
 _LOW_BITS = 2**33 - 1
+# Up to so many offsets are broadcast; more are joined by a shuffle.
+MAX_OFFSETS = 500_000
 
 
 def window_columns(df: DataFrame, expressions: Mapping[str, str]) -> DataFrame:
@@ -112,13 +114,13 @@ def number_rows(
     depend on chance and a value shared by many rows can still be split. Where
     many rows may be equal in all of ``order_by``, ``unique=False`` stores them
     with a tie-break first. ``row_bound`` is a known upper bound of the row
-    count; without it the groups are counted.
+    count; without it the groups are counted, so pass a stored or staged table.
 
     Groups above ``single_task_rows`` rows are range-partitioned by the whole
     sort key and sorted. The row position inside each partition comes from
     ``monotonically_increasing_id``; the partitions before it add an offset.
     """
-    cold, hot = _split_hot(df, partition_by, single_task_rows, row_bound)
+    cold, hot, hot_groups = _split_hot(df, partition_by, single_task_rows, row_bound)
     parts = []
     if cold is not None:
         window = Window.partitionBy(*partition_by).orderBy(*[order_column(o) for o in order_by])
@@ -142,7 +144,8 @@ def number_rows(
         pieces = ranged.groupBy(*partition_by, _PART).agg(
             F.min(_ROW).alias(_START), F.count(F.lit(1)).alias(_LOCAL)
         )
-        numbered = _join_pieces(ranged, _with_offsets(pieces, partition_by, [_LOCAL]), partition_by)
+        offsets = _with_offsets(pieces, partition_by, [_LOCAL])
+        numbered = _join_pieces(ranged, offsets, partition_by, hot_groups)
         parts.append(
             numbered.withColumn(
                 target, F.col(_ROW) - F.col(_START) + F.lit(1) + F.col(_LOCAL)
@@ -183,7 +186,7 @@ def running_total(
 
 def _prefix_sums(df, order, columns, groups, single_task_rows):
     """Running sums over rows whose order value is unique within the group."""
-    cold, hot = _split_hot(df, groups, single_task_rows)
+    cold, hot, hot_groups = _split_hot(df, groups, single_task_rows)
     frame = (Window.unboundedPreceding, Window.currentRow)
     parts = []
     if cold is not None:
@@ -203,7 +206,7 @@ def _prefix_sums(df, order, columns, groups, single_task_rows):
             Window.partitionBy(_PART, *groups).orderBy(order_column(order)).rowsBetween(*frame)
         )
         local = ranged.withColumns({c: F.sum(c).over(window) for c in columns})
-        joined = _join_pieces(local, _with_offsets(pieces, groups, before), groups)
+        joined = _join_pieces(local, _with_offsets(pieces, groups, before), groups, hot_groups)
         sums = {
             c: F.when(F.col(b).isNull(), F.col(c))
             .when(F.col(c).isNull(), F.col(b))
@@ -219,13 +222,16 @@ def _tasks(df: DataFrame) -> int:
 
 
 def _split_hot(df, groups, single_task_rows, row_bound=None):
-    """The rows of small groups and of large ones; either may be None."""
+    """The rows of small groups, those of large groups, and the number of the latter.
+
+    Either part may be None. ``df`` is read for the count and for each part.
+    """
     if row_bound is None and not groups:
         row_bound = df.count()
     if row_bound is not None and row_bound <= single_task_rows:
-        return df, None
+        return df, None, 0
     if not groups:
-        return None, df
+        return None, df, 1
     large = (
         df.groupBy(*[F.col(g).alias(f"__hot_{i}") for i, g in enumerate(groups)])
         .agg(F.count(F.lit(1)).alias("__rows"))
@@ -234,13 +240,14 @@ def _split_hot(df, groups, single_task_rows, row_bound=None):
     )
     # each listed group stands for more than single_task_rows rows
     large = stage(large, "hot-groups")
-    if large.isEmpty():
-        return df, None
+    hot_groups = large.count()
+    if hot_groups == 0:
+        return df, None, 0
     same = reduce(
         lambda x, y: x & y,
         [F.col(g).eqNullSafe(F.col(f"__hot_{i}")) for i, g in enumerate(groups)],
     )
-    return df.join(large, same, "left_anti"), df.join(large, same, "left_semi")
+    return df.join(large, same, "left_anti"), df.join(large, same, "left_semi"), hot_groups
 
 
 def _with_offsets(pieces, groups, columns):
@@ -257,7 +264,7 @@ def _with_offsets(pieces, groups, columns):
     return pieces.withColumns({c: F.coalesce(F.sum(c).over(window), F.lit(0)) for c in columns})
 
 
-def _join_pieces(rows, pieces, groups):
+def _join_pieces(rows, pieces, groups, hot_groups):
     names = {g: f"__piece_{i}" for i, g in enumerate(groups)}
     right = pieces.withColumnsRenamed({**names, _PART: "__piece_part"})
     same = reduce(
@@ -265,5 +272,7 @@ def _join_pieces(rows, pieces, groups):
         [F.col(g).eqNullSafe(F.col(n)) for g, n in names.items()],
         F.col(_PART) == F.col("__piece_part"),
     )
-    # at most (partitions + hot groups) rows, whatever the size of the data
-    return rows.join(F.broadcast(right), same).drop(_PART, "__piece_part", *names.values())
+    # one row for each partition and for each hot group that starts in it
+    if _tasks(rows) + hot_groups <= MAX_OFFSETS:
+        right = F.broadcast(right)
+    return rows.join(right, same).drop(_PART, "__piece_part", *names.values())

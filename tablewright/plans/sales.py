@@ -55,8 +55,8 @@ def sales_joined(
     The artworks meet their artists first, so the sales, the large side, are
     shuffled at most once. Spark does not do so itself: it keeps the order of
     outer joins. From ``measure_from`` sales on (counted from the file footers of
-    a stored table) the joined artworks are measured, and broadcast if they are
-    small; then the sales are not shuffled at all. Otherwise the right side,
+    a stored table; 0 skips the count) the joined artworks are measured, and
+    broadcast if they are small; then the sales are not shuffled at all. Otherwise the right side,
     unique by key, lets adaptive execution split a skewed partition of the sales.
     Names are edited once per artist, not once per sale.
     """
@@ -71,7 +71,7 @@ def sales_joined(
         "artist_name",
         "nationality",
     )
-    if not sales.isStreaming and sales.count() >= measure_from:
+    if not sales.isStreaming and (measure_from <= 0 or sales.count() >= measure_from):
         art = broadcast_if_small(art)
     return sales.join(art, "artwork_id", how).select(
         "sale_id",

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.errors import CheckFailed, MissingColumn
-from tablewright.operators.aggregates import value_counts
+from tablewright.operators.aggregates import sorted_items, value_counts
 from tablewright.operators.joins import orphan_keys
 from tablewright.quality.schema import TableSchema, error_table, schema_errors, _any, _prepare
 
@@ -94,12 +94,13 @@ def reference_check(
 ) -> DataFrame:
     """Distinct keys of ``child`` that ``parent`` lacks: their number and a sample.
 
-    The sample holds the smallest keys as text; the count covers all of them.
+    The sample holds the smallest keys as text; the count covers all of them. A
+    missing key has no match either and counts once.
     """
-    orphans = orphan_keys(child.filter(F.col(key).isNotNull()), parent, key, parent_key)
-    first = orphans.orderBy(key).limit(sample)
+    orphans = orphan_keys(child, parent, key, parent_key)
+    first = orphans.orderBy(F.col(key).asc_nulls_last()).limit(sample)
     samples = first.agg(
-        F.transform(F.sort_array(F.collect_list(key)), lambda k: k.cast("string"))
+        F.transform(sorted_items(F.col(key), F.col(key)), lambda k: k.cast("string"))
     ).scalar()
     return orphans.agg(F.count(F.lit(1)).alias("orphan_count")).select(
         F.lit(label or key).alias("reference"),

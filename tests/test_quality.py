@@ -225,13 +225,15 @@ def test_failure_rate(people, rows):
 
 
 def test_references(frame, rows):
-    child = frame("k int, j int", *[(i, i % 3) for i in range(30)], (None, 1))
+    child = frame("k int, j int", *[(i, i % 3) for i in range(30)], (None, 1), (None, 2))
     parent = frame("id int", (0,), (1,), (2,))
     assert rows(K.reference_check(child, parent, "k", "id")) == [
-        ("k", 27, [str(i) for i in range(3, 13)], False)
+        ("k", 28, [str(i) for i in range(3, 13)], False)
     ]
+    few = child.filter("k > 27 OR k IS NULL")
+    assert rows(K.reference_check(few, parent, "k", "id")) == [("k", 3, ["28", "29", None], False)]
     found = K.foreign_keys(child, {"k": (parent, "id"), "j": (parent, "id")})
-    assert [(r[0], r[1], r[3]) for r in rows(found)] == [("j", 0, True), ("k", 27, False)]
+    assert [(r[0], r[1], r[3]) for r in rows(found)] == [("j", 0, True), ("k", 28, False)]
     with pytest.raises(CheckFailed) as error:
         K.require(found, "keys")
     assert error.value.failed == ["k"]
