@@ -27,6 +27,7 @@ from tablewright.operators.windows import number_rows, rank_rows
 from tablewright.quality.schema import Field, TableSchema
 from tablewright.session import SINGLE_TASK_ROWS, stage
 
+# Fields of a media entry; columns, types and rules of the catalogue.
 MEDIA_FIELDS = (
     "sort_order",
     "filename",

@@ -11,6 +11,7 @@ from tablewright.quality.checks import require
 from tablewright.quality.contracts import Contract, run_contract
 from tablewright.sources.sinks import WriteResult, write_json
 
+# The checks of the enriched sales.
 SALES_CONTRACT = Contract.from_dict(
     {
         "dataset": "sales_transform",

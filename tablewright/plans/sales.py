@@ -18,6 +18,7 @@ from tablewright.operators.joins import broadcast_if_small
 from tablewright.operators.ordering import sort_rows
 from tablewright.quality.schema import Field, TableSchema
 
+# Columns, types and rules of the enriched sales.
 SALES_SCHEMA = TableSchema(
     "sales_transform",
     {

@@ -26,6 +26,8 @@ RECOMMENDED_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # looking up the call site of every Column doubles the time to build wide rules
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -289,6 +289,35 @@ def test_number_rows_with_many_equal_rows(frame):
     assert out.columns == ["g", "v", "n"]
 
 
+def test_many_offsets_are_joined_by_a_shuffle(ranked, monkeypatch):
+    monkeypatch.setattr(W, "MAX_OFFSETS", 0)
+    out = W.number_rows(ranked, ["v desc", "id"], "n", ["g"], single_task_rows=5)
+    out = W.running_total(out, "v", {"s": "w"}, ["g"], single_task_rows=2)
+    expected = ranked.selectExpr(
+        "*",
+        "row_number() over (partition by g order by v desc NULLS LAST, id) n",
+        "sum(w) over (partition by g order by v NULLS LAST) s",
+    )
+    assert diff_tables(expected, out).matches()
+
+
+def test_broadcast_only_what_was_measured(spark, frame):
+    left = frame("k int", (1,), (2,))
+    right = frame("k int, s string", *[(i, "x" * 100) for i in range(50)])
+
+    def plan(df):
+        return left.join(df, "k")._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "strategy=broadcast" in plan(J.broadcast_if_small(right))
+    assert "strategy=broadcast" not in plan(J.broadcast_if_small(right, max_rows=49))
+    assert "strategy=broadcast" not in plan(J.broadcast_if_small(right, max_bytes=1000))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "strategy=broadcast" not in plan(J.broadcast_if_small(right))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_distributed_windows_use_more_than_one_task(ranked):
     out = W.number_rows(ranked, ["v", "id"], "n", single_task_rows=10)
     plan = out._jdf.queryExecution().executedPlan().toString()

@@ -5,11 +5,14 @@ from pathlib import Path
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from tablewright import plans
 from tablewright.errors import CheckFailed
 from tablewright.operators.diff import diff_tables
 from tablewright.plans.checked import SALES_CONTRACT, checked_sales_output
 from tablewright.plans.catalogue import MEDIA_FIELDS
+from tablewright.plans.sales import sales_joined
 from tablewright.quality.schema import validate
 
 SALES = "sale_id long, artwork_id long, sale_date string, sale_price_usd long, buyer_country string"
@@ -168,6 +171,29 @@ def test_checked_output(sales, artworks, artists, folder):
     assert len(SALES_CONTRACT.checks) == 7
 
 
+def test_measured_artworks_give_the_same_sales(sales, artworks, artists):
+    plain = sales_joined(sales, artworks, artists)
+    measured = sales_joined(sales, artworks, artists, measure_from=0)
+    assert "strategy=broadcast" in measured._jdf.queryExecution().optimizedPlan().toString()
+    assert diff_tables(plain, measured).matches()
+
+
+def test_dates_that_are_not_iso_are_refused(sales, artworks, artists, media):
+    odd = sales.withColumn("sale_date", F.concat(F.lit("on "), "sale_date"))
+    with pytest.raises(Exception, match="not an ISO date"):
+        plans.artworks_transform(artworks, artists, odd, media).collect()
+
+
+def test_media_in_parts(media, artworks, artists, sales, rows):
+    parts = plans.media_parts(media, part_rows=2, single_task_rows=1)
+    assert [(r[0], r[1], [m[1] for m in r[2]]) for r in rows(parts)] == [
+        (101, 0, ["a.jpg", "z.jpg"]), (101, 1, ["b.jpg"]), (102, 0, ["c.jpg"])
+    ]
+    bare = plans.artworks_transform(artworks, artists, sales, media, media_lists=False)
+    full = plans.artworks_transform(artworks, artists, sales, media).drop("media")
+    assert diff_tables(full, bare).matches()
+
+
 def test_join_order_shuffles_the_sales_once(sales, artworks, artists, spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

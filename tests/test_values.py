@@ -1,5 +1,8 @@
 """Scalar, list and struct values on small frames with known results."""
 
+import random
+import re
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -301,6 +304,21 @@ def test_list_length_and_dates(frame, rows):
         bad.select(E.to_date_value("d")).collect()
 
 
+def test_text_functions_on_random_text(frame):
+    """Against plain Python, on text of many scripts and kinds of white space."""
+    rng = random.Random(3)
+    alphabet = "aZé ñß\t\n\x0b\x85\xa0\u2003\u3000'-_1٣中🎨" + E.strings.WHITE_SPACE
+    texts = ["".join(rng.choices(alphabet, k=rng.randrange(12))) for _ in range(3000)]
+    df = frame("s string", *[(t,) for t in texts])
+    found = df.select("s", E.strip("s"), E.collapse_whitespace("s"), E.title_case("s")).collect()
+    space = E.strings.WHITE_SPACE
+    for text, stripped, collapsed, titled in found:
+        assert stripped == text.strip(space)
+        assert collapsed == re.sub(f"[{space}]+", " ", text)
+        runs = re.findall(r"[^\W_]+|[\W_]+", text)
+        assert titled == "".join(r[:1].upper() + r[1:].lower() for r in runs)
+
+
 def _display(value):
     """The display rule in plain Python."""
     size, sign = abs(value), "-" if value < 0 else ""
