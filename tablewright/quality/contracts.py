@@ -171,7 +171,9 @@ def _metric(check: Check, now: datetime | None) -> Column:
         if now is None:
             raise ValueError("a freshness check needs the time to compare with (now=…)")
         newest = F.max(value.cast("timestamp")).cast("double")
-        return F.lit(now).cast("timestamp").cast("double") - newest
+        # a time without a zone is one of the session's, like those in the table
+        given = F.lit(now) if now.tzinfo else F.lit(now.isoformat(" "))
+        return given.cast("timestamp").cast("double") - newest
     raise ValueError(f"unknown check {check.kind!r}")
 
 
