@@ -90,7 +90,7 @@ media AS (
   FROM conversations)"""
 
 # half away from zero on the decimal text of a double, as Spark rounds
-ROUND_1 = "CAST(round(CAST(CAST({0} AS VARCHAR) AS DECIMAL(38, 12)), 1) AS DOUBLE)"
+ROUND_1 = "CAST(round(CAST(CAST({0} AS VARCHAR) AS DECIMAL(38, 20)), 1) AS DOUBLE)"
 PERCENT = ROUND_1.format(
     "((s.sale_price_usd - a.price_usd) * CAST(100 AS DOUBLE) / nullif(a.price_usd, 0))"
 )

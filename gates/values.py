@@ -273,7 +273,7 @@ def e18_price_difference(t):
     """
     SELECT l_orderkey, l_linenumber, l_partkey,
            CAST(round(CAST(CAST((l_extendedprice - base) * CAST(100 AS DOUBLE) / nullif(base, 0)
-             AS VARCHAR) AS DECIMAL(38, 12)), 1) AS DOUBLE) AS pct
+             AS VARCHAR) AS DECIMAL(38, 20)), 1) AS DOUBLE) AS pct
     FROM (SELECT *, l_quantity - 1 AS base FROM lineitem)
     """
 )
