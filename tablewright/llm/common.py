@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..session import stage
 
-__all__ = ["documents", "identity", "labels", "map_batches", "slices", "stage", "table", "text_bytes", "word_count"]
+__all__ = ["documents", "find_package", "identity", "labels", "map_batches", "slices", "stage", "table", "text_bytes", "word_count"]
 
 # A word is a run of anything but these six ASCII characters. ``bytes.split()``
 # splits at exactly the same ones.
@@ -22,6 +24,14 @@ WORD = rf"[^{SPACE}]+"
 SLICE_BYTES = 4 << 20
 
 
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers import this library from where the driver has it, if it is not installed there."""
+    environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([*filter(None, known), root])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

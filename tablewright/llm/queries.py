@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, packing, passages, simhash
-from .common import documents, table, word_count
+from . import fuzzy, lines, mixing, nearest, packing, passages, pii, quality, sharding, simhash
+from .common import documents, labels, table
 from .registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -20,11 +20,37 @@ def token_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def held_out() -> Column:
+    """Rows whose labels no model may learn from; a null key is none of them."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+@query("op1_quality_classifier")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = quality.fit(docs.select("doc_id", "text"), labels(spark, sf_dir).filter(~held_out()))
+    scored = quality.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op2_sharding")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = sharding.shard(documents(spark, sf_dir), shards=8)
+    return done.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 @query("op3_packing")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), token_file())
 
 
+@query("op4_document_fingerprints")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy.edit_trial(documents(spark, sf_dir)).withColumnRenamed("edited", "edited_sha256")
+
+
 @query("op5_simhash_near_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
@@ -33,7 +59,85 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op9_line_dedup")
+@query("op6_approximate_nearest_neighbours")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest.nearest(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
+MIX_SQL = r"""
+with d as (
+    select doc_id, source, cast(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as bigint) as size,
+        cast('0x' || substr(md5('mix:' || coalesce(cast(doc_id as varchar), md5(text), '')), 1, 13) as bigint)
+            / cast(4503599627370496 as double) as draw
+    from documents
+), s as (
+    select source, cast(sum(size) as bigint) as source_size,
+        case (row_number() over (order by source nulls last) - 1) % 3 when 0 then 5 when 1 then 2 else 1 end as weight
+    from d group by source
+), c as (
+    select *, 3 * source_size as cap,
+        sum(source_size) over () as whole, sum(weight) over () as weights,
+        coalesce(sum(3 * source_size) over before, 0) as capped, coalesce(sum(weight) over before, 0) as shut
+    from s window before as (order by 3.0 * source_size / weight, source nulls last
+        rows between unbounded preceding and 1 preceding)
+), l as (
+    select cast(whole - capped as double) / cast(weights - shut as double) as level from c
+    where weight * (cast(whole - capped as double) / cast(weights - shut as double)) <= cap
+    order by 3.0 * source_size / weight, source nulls last limit 1
+), t as (
+    select source, source_size, least(cast(cap as double), weight * level) as target,
+        case when source_size > 0 then least(cast(cap as double), weight * level) / source_size else 0 end as rate
+    from c, l
+), j as (
+    select d.doc_id, d.size, d.draw, t.* from d join t on d.source is not distinct from t.source
+), k as (
+    select j.*, turn, floor(rate) + case when draw + turn / cast(32 as double) - floor(draw + turn / cast(32 as double)) < rate - floor(rate)
+        then 1 else 0 end as copies
+    from j, (select cast(unnest(range(32)) as double) as turn)
+), b as (
+    select source, arg_min(turn, off) as turn from (
+        select source, turn, row(abs(cast(sum(size * copies) as double) - any_value(target)), turn) as off
+        from k group by source, turn) group by source
+)
+select k.doc_id, k.size, k.source_size, k.target, cast(k.size * k.copies as bigint) as taken
+from k join b on k.source is not distinct from b.source and k.turn = b.turn
+"""
+
+
+@query("op7_source_mixing", MIX_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = mixing.taken(documents(spark, sf_dir))
+    return done.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@query("op8_personal_data")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_spans(documents(spark, sf_dir))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans")
+    )
+
+
+LINES_SQL = r"""
+with d as (
+    select doc_id, string_split(coalesce(text, ''), chr(10)) as found, row_number() over () as n from documents
+), p as (
+    select n, doc_id, unnest(found) as line, unnest(range(len(found))) as place from d
+), k as (
+    select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from p
+), h as (
+    select key from k where key <> '' group by key having count(distinct n) >= 10
+)
+select any_value(k.doc_id) as doc_id, count(*) as n_lines, count(h.key) as n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) order by place) filter (where h.key is null), '')) as kept_sha256
+from k left join h on k.key = h.key group by n
+"""
+
+
+@query("op9_line_dedup", LINES_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = lines.dedup_lines(documents(spark, sf_dir), least=10)
     return done.select(
