@@ -3,13 +3,14 @@
 A rolling hash over the last ``WINDOW`` bytes decides where chunks end, so an
 edit disturbs the chunks near it and no others. A chunk gives one letter. The
 block size, the mean length of a chunk, is a power of two times ``LEAST_BLOCK``
-that follows the text's length; a fingerprint holds the letters at its block
-size and at twice that, so that texts of somewhat different length can be
-compared at a size that both have.
+that follows the text's length; a fingerprint holds the letters at ``SIZES``
+block sizes, each twice the one before, so that texts of somewhat different
+length can be compared at a size that both have.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,10 +23,13 @@ from .common import slices, stage
 
 WINDOW = 7
 LEAST_BLOCK = 3
-LETTERS = 64  # about so many chunks are aimed at
-RUN = 4  # so many letters in a row must be common to both for any likeness
+LETTERS = 128  # chunks at the smallest block size are at most about so many, and half of it at least
+SIZES = 3
+RUN = 4  # so many letters in a row must be common to both for any likeness, fewer in short ones
+REPEAT = 3  # letters of a longer run of one letter are not compared
 ALPHABET = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
 
+_LONG_RUN = re.compile(r"(.)\1{%d,}" % REPEAT)
 _ODD = 0x9E3779B97F4A7C15
 _powers = np.ones(1, np.uint64)
 _inverse = np.ones(1, np.uint64)
@@ -61,30 +65,25 @@ def _grow(size: int) -> None:
 
 
 def fingerprint(text: bytes) -> str:
-    """``block:letters:letters at twice the block``; without text no letters."""
+    """``block:letters:letters at twice the block:at four times``; without text no letters."""
     if not text:
-        return f"{LEAST_BLOCK}::"
+        return f"{LEAST_BLOCK}" + ":" * SIZES
     data = np.frombuffer(text, np.uint8).astype(np.uint32)
     _grow(len(data))
     hashes = _rolling(data)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data + np.uint32(1)) * _powers[: len(data)], dtype=np.uint64, out=sums[1:])
-    level = 0
-    while (LEAST_BLOCK << level) * LETTERS < len(data):
-        level += 1
-
-    def at(level: int) -> np.ndarray:
-        # hashes that end a chunk at a block size end one at half of it too
-        block = np.uint32(LEAST_BLOCK << level)
-        found = np.flatnonzero(hashes % block == block - np.uint32(1)) + 1
-        return found if len(found) and found[-1] == len(data) else np.append(found, len(data))
-
-    ends = at(level)
-    while level and len(ends) < LETTERS // 2:
-        level -= 1
-        ends = at(level)
-    once, twice = _letters(sums, _inverse, ends), _letters(sums, _inverse, at(level + 1))
-    return f"{LEAST_BLOCK << level}:{once.decode()}:{twice.decode()}"
+    block = LEAST_BLOCK
+    while block * LETTERS < len(data):
+        block *= 2
+    made, size = [], block
+    for _ in range(SIZES):
+        ends = np.flatnonzero(hashes % np.uint32(size) == np.uint32(size - 1)) + 1
+        if not len(ends) or ends[-1] < len(data):
+            ends = np.append(ends, len(data))
+        made.append(_letters(sums, _inverse, ends).decode())
+        size *= 2
+    return ":".join([str(block), *made])
 
 
 def _distance(a: str, b: str) -> int:
@@ -104,26 +103,28 @@ def _distance(a: str, b: str) -> int:
 def _alike(a: str, b: str) -> float:
     if a == b:
         return 1.0
-    run = min(RUN, len(a), len(b))
-    if not run or {a[i : i + run] for i in range(len(a) - run + 1)}.isdisjoint(
-        b[i : i + run] for i in range(len(b) - run + 1)
-    ):
+    a, b = (_LONG_RUN.sub(r"\1" * REPEAT, letters) for letters in (a, b))
+    if not a or not b:
+        return 0.0
+    run = max(1, min(RUN, len(a) // 4, len(b) // 4))
+    if {a[i : i + run] for i in range(len(a) - run + 1)}.isdisjoint(b[i : i + run] for i in range(len(b) - run + 1)):
         return 0.0
     return 1 - _distance(a, b) / (len(a) + len(b))
 
 
 def likeness(a: str, b: str) -> float:
-    """0 to 1: by the edit distance of the letters at a block size that both fingerprints have."""
+    """0 to 1: by the edit distance of the letters at the smallest block size that both fingerprints have.
+
+    1 only for equal fingerprints; 0 where no block size is common to both.
+    """
     if a == b:
         return 1.0
     (size, *own), (other, *its) = a.split(":"), b.split(":")
     size, other = int(size), int(other)
-    if size == other:
-        return max(_alike(own[0], its[0]), _alike(own[1], its[1]))
-    if size == 2 * other:
-        return _alike(own[0], its[1])
-    if other == 2 * size:
-        return _alike(own[1], its[0])
+    for block, letters in zip((size << i for i in range(SIZES)), own, strict=True):
+        for its_block, its_letters in zip((other << i for i in range(SIZES)), its, strict=True):
+            if block == its_block:
+                return min(_alike(letters, its_letters), 0.999)
     return 0.0
 
 
