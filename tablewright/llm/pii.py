@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,6 +62,7 @@ CUES = {
 }
 AGAINST = r"version|\bv\.?\s?$|isbn|invoice|order|page|\bid\b|hash|serial|ref\b|[=#$€£]\s?$"
 LABELERS = ("shape", "lists", "context", "borders", "separators")
+TRUST = (4, 1, 1, 1, 1)  # votes that a labeler's vote counts as where learning starts: shape has a checksum or bounds
 FEATURES = ("digits", "lists", "shape", "before", "after", "separators")
 ACCEPTED = 0.5
 
@@ -108,15 +110,21 @@ def _octets(value: Column) -> Column:
     return F.forall(parts, lambda p: (F.length(p) <= 3) & (F.lpad(p, 3, "0") <= "255"))
 
 
-def _valid(kind: str, value: Column) -> Column:
-    digits = _digits(value)
-    if kind == "ip":
-        return _octets(value)
-    if kind == "card":
-        return F.length(digits).between(13, 19) & F.luhn_check(digits)
-    if kind == "phone":
-        return F.length(digits).between(9, 15)
-    return F.lit(True)
+def _valid(kind: str) -> Callable[[Column], Column]:
+    """The test that a base span of a kind has to pass."""
+
+    def test(span: Column) -> Column:
+        value = span["value"]
+        digits = _digits(value)
+        if kind == "ip":
+            return _octets(value)
+        if kind == "card":
+            return F.length(digits).between(13, 19) & F.call_function("luhn_check", digits)
+        if kind == "phone":
+            return F.length(digits).between(9, 15)
+        return F.lit(True)
+
+    return test
 
 
 def _any(words: str) -> str:
@@ -135,7 +143,7 @@ def _votes(kind: str, span: Column) -> dict[str, Column]:
     shape = {
         "email": F.length(last) >= 2,
         "ip": _octets(value),
-        "card": F.length(digits).between(13, 19) & F.luhn_check(digits),
+        "card": F.length(digits).between(13, 19) & F.call_function("luhn_check", digits),
         "phone": F.length(digits).between(10, 13),
     }[kind]
     lists = {
@@ -181,9 +189,10 @@ def reliabilities(counts: dict[tuple, int], rounds: int = 60) -> dict[tuple, flo
     """Probability that a candidate is real, for each (kind, *votes), by EM over their counts.
 
     Real and unreal candidates differ in how often a labeler votes each way;
-    given that, labelers are taken to be independent. It starts from the majority.
+    given that, labelers are taken to be independent. It starts from the
+    majority of the votes, counted by ``TRUST``.
     """
-    real = {p: 1 / (1 + math.exp(-sum(p[1:]))) for p in counts}
+    real = {p: 1 / (1 + math.exp(-sum(t * v for t, v in zip(TRUST, p[1:], strict=True)))) for p in counts}
     for _ in range(rounds):
         mass: dict = defaultdict(float)
         for pattern, n in counts.items():
@@ -235,7 +244,7 @@ def _spans_of(docs: DataFrame, text: str, key: str) -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
     columns = {}
     for kind in KINDS:
-        found = F.filter(_located(body, BASE[kind], GUARD[kind]), lambda s, k=kind: _valid(k, s["value"]))
+        found = F.filter(_located(body, BASE[kind], GUARD[kind]), _valid(kind))
         columns[f"b_{kind}"] = F.transform(found, lambda s: F.struct(s["start"], s["end"]))
         columns[f"c_{kind}"] = _located(body, LOOSE[kind], LOOSE_GUARD[kind])
     return stage(docs.select(F.col(key), *[c.alias(n) for n, c in columns.items()]), "spans")
@@ -275,14 +284,17 @@ def find_spans(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Data
     def named(kind: str, spans: Column) -> Column:
         return F.transform(spans, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
 
+    def accepted(kind: str) -> Callable[[Column], Column]:
+        def test(span: Column) -> Column:
+            free = ~F.exists(F.col("every"), lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+            return free & (_probability(kind, span, weights) >= ACCEPTED)
+
+        return test
+
     every = F.concat(*[F.col(f"b_{k}") for k in KINDS])
     base, more = [], []
     for kind in KINDS:
-        def added(s: Column, kind: str = kind) -> Column:
-            free = ~F.exists(F.col("every"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-            return free & (_probability(kind, s, weights) >= ACCEPTED)
-
-        own = F.filter(f"c_{kind}", added)
+        own = F.filter(f"c_{kind}", accepted(kind))
         base.append(named(kind, F.col(f"b_{kind}")))
         more.append(named(kind, F.array_sort(F.concat(f"b_{kind}", F.transform(own, lambda s: F.struct(s["start"], s["end"]))))))
     return found.withColumn("every", every).select(key, F.concat(*base).alias("base"), F.concat(*more).alias("spans"))
