@@ -43,10 +43,12 @@ LOOSE = {
         r"(?:\x20?(?:\(dot\)|\[dot\]|\{dot\}|\.)\x20?[A-Za-z0-9-]{2,63})+"
     ),
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9])",
-    "card": r"(?<![0-9])(?:[0-9]{4}([\x20-])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{13,19})(?![0-9])",
+    "card": (
+        r"(?<![\p{L}0-9])(?:[0-9]{4}([\x20-])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{13,19})(?![\p{L}0-9])"
+    ),
     "phone": (
-        r"(?:\+[0-9]{1,3}[\x20.-]?\(?[0-9]{2,4}\)?|\([0-9]{3}\)|(?<![0-9+.-])[0-9]{3})"
-        r"[\x20.-]?[0-9]{3}[\x20.-]?[0-9]{4}(?![0-9])"
+        r"(?:\+[0-9]{1,3}[\x20.-]?\(?[0-9]{2,4}\)?[\x20.-]?[0-9]{3}[\x20.-]?[0-9]{4}"
+        r"|(?:\([0-9]{3}\)\x20?|(?<![\p{L}0-9+.-])[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4})(?![\p{L}0-9])"
     ),
 }
 LOOSE_GUARD = {"email": r"[(\[{]at[)\]}]", "ip": GUARD["ip"], "card": r"[0-9]{4}", "phone": r"[0-9]{3}"}
@@ -62,7 +64,7 @@ CUES = {
 }
 AGAINST = r"version|\bv\.?\s?$|isbn|invoice|order|page|\bid\b|hash|serial|ref\b|[=#$€£]\s?$"
 LABELERS = ("shape", "lists", "context", "borders", "separators")
-TRUST = (4, 1, 1, 1, 1)  # votes that a labeler's vote counts as where learning starts: shape has a checksum or bounds
+TRUST = (5, 1, 1, 1, 1)  # votes that a labeler's vote counts as where learning starts: shape has a checksum or bounds
 FEATURES = ("digits", "lists", "shape", "before", "after", "separators")
 ACCEPTED = 0.5
 
