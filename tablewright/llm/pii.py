@@ -66,7 +66,7 @@ AGAINST = r"version|\bv\.?\s?$|isbn|invoice|order|page|\bid\b|hash|serial|ref\b|
 LABELERS = ("shape", "lists", "context", "borders", "separators")
 TRUST = (5, 1, 1, 1, 1)  # votes that a labeler's vote counts as where learning starts: shape has a checksum or bounds
 FEATURES = ("digits", "lists", "shape", "before", "after", "separators")
-ACCEPTED = 0.5
+ACCEPTED = 0.9  # probability from which a candidate is added: what is added should be right
 
 _SPANS = "array<struct<start:int,end:int,value:string,before:string,after:string>>"
 
