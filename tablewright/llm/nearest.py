@@ -231,7 +231,7 @@ def _learned(rows: DataFrame, asked: DataFrame, size: int, k: int) -> Codes:
             names = ("query", "score", "far")
             yield pa.RecordBatch.from_pydict(dict(zip(names, map(list, zip(*flat, strict=True)), strict=True)))
 
-    near = rows.mapInArrow(compare, "query long, score double, far long").toPandas()
+    near = rows.mapInArrow(compare, "query long, score double, far long").toArrow().to_pandas()
     true = near.sort_values(["query", "score"], ascending=[True, False]).groupby("query").head(k)
     codes.radius = int(np.quantile(true["far"], COVERED, method="higher")) if len(true) else CODE_BITS
     return codes

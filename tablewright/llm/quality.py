@@ -162,7 +162,11 @@ def fit(
 
 
 def score(docs: DataFrame, model: QualityModel, target: str = "score", text: str = "text") -> DataFrame:
-    """``docs`` with the score of each whole text, 0 to 1; null and empty texts get that of the bias."""
+    """``docs`` with the score of each whole text, 0 to 1; null and empty texts get that of the bias.
+
+    A column of the name of ``target`` is replaced.
+    """
+    docs = docs.drop(target)
     sent = docs.sparkSession.sparkContext.broadcast((model.at, model.weights))
     names = docs.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)

@@ -49,7 +49,7 @@ def _range_of(splitters: np.ndarray):
 def _filled(rows: DataFrame, splitters: np.ndarray) -> pd.DataFrame:
     """Bytes and rows of every range, empty ones included."""
     sums = rows.groupBy(_range_of(splitters).alias("range")).agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
-    return sums.toPandas().set_index("range").reindex(range(len(splitters) + 1), fill_value=0)
+    return sums.toArrow().to_pandas().set_index("range").reindex(range(len(splitters) + 1), fill_value=0)
 
 
 def _sampled(rows: DataFrame, per_byte: float, place: Column) -> pd.DataFrame:
@@ -57,7 +57,7 @@ def _sampled(rows: DataFrame, per_byte: float, place: Column) -> pd.DataFrame:
     chance = F.least(F.col("size") * F.lit(per_byte), F.lit(1.0))
     dice = F.pmod(F.xxhash64("place", "size"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     drawn = rows.filter(dice < chance).select(place.alias("place"), (F.col("size") / chance).alias("weight"))
-    return drawn.groupBy("place").agg(F.sum("weight").alias("weight")).toPandas().sort_values("place")
+    return drawn.groupBy("place").agg(F.sum("weight").alias("weight")).toArrow().to_pandas().sort_values("place")
 
 
 def _quantiles(sample: pd.DataFrame, parts: int) -> np.ndarray:
