@@ -41,9 +41,9 @@ def p6_constant_column(t):
     return C.add_constant(t.supplier, "origin", "catalogue")
 
 
-@query("SELECT * EXCLUDE (o_totalprice, o_orderdate), o_totalprice AS total FROM orders")
+@query("SELECT * EXCLUDE (o_totalprice), o_totalprice AS total FROM orders")
 def p7_exclude_and_rename(t):
-    return C.move_renamed_last(t.orders.drop("o_orderdate"), {"o_totalprice": "total"})
+    return C.move_renamed_last(t.orders, {"o_totalprice": "total"})
 
 
 @query("SELECT * REPLACE (upper(c_name) AS c_name, c_nationkey + 1 AS c_nationkey) FROM customer")

@@ -9,11 +9,28 @@ from tablewright.session import fresh_path
 from tablewright.sources.readers import read_partitioned
 
 
-@query("SELECT * FROM customer")
+_DOCUMENTS_WITH_LABELS = "SELECT * FROM documents LEFT JOIN labels USING (doc_id)"
+
+
+def _documents_with_labels(t):
+    """Text with line breaks and quotes, and numbers that are null."""
+    return t.documents.join(t.labels, "doc_id", "left")
+
+
+@query(_DOCUMENTS_WITH_LABELS)
 def s1_csv_harvest(t):
+    csv, raw = fresh_path(t.spark, "csv"), fresh_path(t.spark, "raw")
+    rows = _documents_with_labels(t)
+    R.write_csv(rows, csv)
+    R.harvest_csv(t.spark, csv, rows.schema, raw, "documents_raw", multiline=True)
+    return R.read_raw_table(t.spark, raw, "documents_raw")
+
+
+@query("SELECT * REPLACE (CAST(c_custkey AS INTEGER) AS c_custkey, CAST(c_nationkey AS INTEGER) AS c_nationkey) FROM customer")
+def s1_csv_harvest_with_inferred_types(t):
     csv, raw = fresh_path(t.spark, "csv"), fresh_path(t.spark, "raw")
     R.write_csv(t.customer, csv)
-    R.harvest_csv(t.spark, csv, t.customer.schema, raw, "customer_raw")
+    R.harvest_csv(t.spark, csv, None, raw, "customer_raw")
     return R.read_raw_table(t.spark, raw, "customer_raw")
 
 
@@ -43,14 +60,13 @@ def s5_view_registration(t):
     return t.spark.sql("SELECT s_nationkey, count(*) AS n FROM gate_supplier GROUP BY s_nationkey")
 
 
-@query("SELECT s_suppkey, s_name, s_nationkey FROM supplier")
+@query("SELECT * FROM supplier")
 def s6_catalog_table(t):
     path = fresh_path(t.spark, "supplier")
     R.write_parquet(t.supplier, path)
     name = f"gate_{path[-32:]}"
     t.spark.catalog.createTable(name, path=path, source="parquet")
-    required = ["s_suppkey", "s_name", "s_nationkey"]
-    return R.read_table(t.spark, name, "default", required, "gate").select(*required)
+    return R.read_table(t.spark, name, "default", ["s_suppkey", "s_name"], "gate")
 
 
 @query(
@@ -119,10 +135,10 @@ def s8_xml_column(t):
     return parsed.drop("xml")
 
 
-@query("SELECT * FROM orders WHERE o_totalprice > 1000")
+@query("SELECT * FROM orders")
 def s9_parquet_sink(t):
     path = fresh_path(t.spark, "orders")
-    R.write_parquet(t.orders.filter("o_totalprice > 1000"), path)
+    R.write_parquet(t.orders, path)
     return t.spark.read.parquet(path)
 
 
@@ -136,11 +152,12 @@ def s10_json_sink(t):
     return t.spark.read.schema(joined.schema).json(path)
 
 
-@query("SELECT * FROM nation")
+@query(_DOCUMENTS_WITH_LABELS)
 def s11_json_array_source(t):
     path = fresh_path(t.spark, "json-array")
-    R.write_json_array(t.nation.orderBy("n_nationkey"), path)
-    return R.read_json_array(t.spark, path, t.nation.schema)
+    rows = _documents_with_labels(t)
+    R.write_json_array(rows, path)
+    return R.read_json_array_parts(t.spark, path, rows.schema)
 
 
 @query("SELECT event_id, user_id, value, event_type FROM events WHERE event_type = 'click'")
@@ -151,12 +168,12 @@ def s12_partitioned_parquet(t):
     return read_partitioned(t.spark, path, event_type="click")
 
 
-@query("SELECT s_suppkey, s_name, s_acctbal FROM supplier")
+@query(_DOCUMENTS_WITH_LABELS)
 def s13_csv_sink(t):
-    suppliers = t.supplier.select("s_suppkey", "s_name", "s_acctbal")
+    rows = _documents_with_labels(t)
     path = fresh_path(t.spark, "csv")
-    R.write_csv(suppliers, path)
-    return R.read_csv(t.spark, path, suppliers.schema)
+    R.write_csv(rows, path)
+    return R.read_csv(t.spark, path, rows.schema, multiline=True)
 
 
 @query("SELECT l_returnflag, sum(l_quantity) AS quantity FROM lineitem GROUP BY l_returnflag")

@@ -123,7 +123,8 @@ def l5_frame_profile(t):
 def l6_row_count_after_write(t):
     path = fresh_path(t.spark, "events")
     write_parquet(t.events, path)
-    return t.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))
+    rows = L.stored_rows(t.spark, path)
+    return t.spark.read.parquet(path).agg(F.lit(rows).cast("long").alias("rows"))
 
 
 def _example_sql(table, columns, where):

@@ -1,7 +1,6 @@
 """Search documents, sitemaps, manifests and enrichment."""
 
 import json
-import math
 
 from pyspark.sql import functions as F
 
@@ -26,15 +25,25 @@ def x1_search_documents(t):
     return P.search_documents(parts, "parts", prefix="test-", id_field="p_partkey")
 
 
-@query("SELECT 'docs' AS \"index\", count(*) AS sent, CAST(0 AS BIGINT) AS failed FROM documents")
+@query(
+    """
+    SELECT 'docs' AS "index", count(*) FILTER (WHERE doc_id % 7 > 0) AS sent,
+           count(*) FILTER (WHERE doc_id % 7 = 0) AS refused,
+           CAST(sum(doc_id) FILTER (WHERE doc_id % 7 = 0) AS BIGINT) AS refused_ids FROM documents
+    """
+)
 def x2_bulk_batches(t):
     documents = P.search_documents(t.documents, "docs", id_field="doc_id")
 
     def receive(items):
-        # a stand-in for a search service: it refuses what it cannot index
-        return sum(i["_id"] != str(json.loads(i["_source"])["doc_id"]) for i in items)
+        # a stand-in for a search service, which names what it refuses
+        return [i["_id"] for i in items if json.loads(i["_source"])["doc_id"] % 7 == 0]
 
-    return P.bulk_totals(P.bulk_batches(documents, receive, batch_size=100)).drop("batches")
+    batches = P.bulk_batches(documents, receive, batch_size=100)
+    ids = F.aggregate("failed_ids", F.lit(0).cast("long"), lambda s, i: s + i.cast("long"))
+    return batches.groupBy("index").agg(
+        F.sum("sent").alias("sent"), F.sum("failed").alias("refused"), F.sum(ids).alias("refused_ids")
+    )
 
 
 @query(
@@ -212,22 +221,22 @@ def x9_zoom_level(t):
     return _tiles(t).select("id", P.zoom_level("width", "height").alias("zoom"))
 
 
-def _letter_shares(texts):
-    """A deterministic stand-in for an embedding service: letter frequencies."""
-    vectors = []
-    for text in texts:
-        counts = [text.count(c) for c in "aeinorst"]
-        norm = math.sqrt(sum(c * c for c in counts)) or 1.0
-        vectors.append([c / norm for c in counts])
-    return vectors, sum(len(t.split()) for t in texts)
+def _letter_counts(texts):
+    """A deterministic stand-in for an embedding service: letters counted, a token a text."""
+    return [[float(text.count(c)) for c in "aeinorst"] for text in texts], len(texts)
 
 
 @query(
     """
     SELECT CAST(doc_id AS VARCHAR) AS embedding_id, text, 'letters' AS model,
-           CAST(8 AS BIGINT) AS dimensions FROM documents
+           CAST(8 AS BIGINT) AS dimensions, CAST(1 AS BIGINT) AS total_tokens,
+           array_to_string([CAST(length(text) - length(replace(text, c, '')) AS BIGINT) FOR c IN
+             ['a', 'e', 'i', 'n', 'o', 'r', 's', 't']], ',') AS counts FROM documents
     """
 )
 def x10_batch_enrichment(t):
-    enriched = P.embed_texts(t.documents, "text", _letter_shares, "letters", id_column="doc_id")
-    return enriched.select("embedding_id", "text", "model", "dimensions")
+    enriched = P.embed_texts(t.documents, "text", _letter_counts, "letters", id_column="doc_id")
+    counts = F.array_join(F.transform("embedding", lambda x: x.cast("long").cast("string")), ",")
+    return enriched.select(
+        "embedding_id", "text", "model", "dimensions", "total_tokens", counts.alias("counts")
+    )

@@ -89,18 +89,19 @@ def j5_not_in_with_nulls(t):
 @query(
     """
     SELECT coalesce(a.conv_id, b.conv_id) AS conv_id, a.questions, b.replies
-    FROM (SELECT conv_id, count(*) AS questions FROM conversations WHERE role = 'system'
+    FROM (SELECT conv_id, count(*) AS questions FROM conversations WHERE role <> 'assistant'
           GROUP BY conv_id) a
     FULL JOIN (SELECT conv_id, count(*) AS replies FROM conversations WHERE role = 'assistant'
                GROUP BY conv_id) b ON a.conv_id = b.conv_id
     """
 )
 def j6_full_outer_join(t):
-    def counted(role, name):
-        rows = t.conversations.filter(F.col("role") == role)
+    def counted(condition, name):
+        rows = t.conversations.filter(condition)
         return A.aggregate(rows, "conv_id", {name: "count(*)"})
 
-    return J.full_join(counted("system", "questions"), counted("assistant", "replies"), "conv_id")
+    questions = counted("role <> 'assistant'", "questions")
+    return J.full_join(questions, counted("role = 'assistant'", "replies"), "conv_id")
 
 
 @query(
@@ -422,7 +423,7 @@ def w1_window_columns(t):
 
 
 _RANKED = """
-    SELECT o_orderkey, o_totalprice, CAST(rank() OVER (ORDER BY cents DESC) AS INTEGER) AS place
+    SELECT o_orderkey, o_totalprice, rank() OVER (ORDER BY cents DESC) AS place
     FROM (SELECT *, CAST(floor(o_totalprice / 100) AS BIGINT) AS cents FROM orders)
     """
 
@@ -534,6 +535,39 @@ def w7_running_total_in_group(t):
     )
 
 
+_SPARSE = """
+    SELECT o_orderkey, CAST(sum(CASE WHEN o_orderdate >= DATE '1993-01-01' AND o_orderkey % 3 > 0
+             THEN CAST(o_totalprice AS DECIMAL(18, 2)) END)
+             OVER ({}ORDER BY o_orderdate) AS DOUBLE) AS running
+    FROM orders
+    """
+
+
+def _running_with_nulls(t, groups=(), **kwargs):
+    # nothing in the first year, and nothing in every third row after it
+    counts = (F.col("o_orderdate") >= F.lit("1993-01-01")) & (F.col("o_orderkey") % 3 > 0)
+    orders = t.orders.select(
+        "o_orderkey", "o_orderdate", *groups, F.when(counts, _money("o_totalprice")).alias("price")
+    )
+    total = W.running_total(orders, "o_orderdate", {"running": "price"}, groups, **kwargs)
+    return total.select("o_orderkey", F.col("running").cast("double").alias("running"))
+
+
+@query(_SPARSE.format(""))
+def w7_running_total_with_nulls(t):
+    return _running_with_nulls(t)
+
+
+@query(_SPARSE.format(""))
+def w7_running_total_with_nulls_distributed(t):
+    return _running_with_nulls(t, single_task_rows=100)
+
+
+@query(_SPARSE.format("PARTITION BY o_orderpriority "))
+def w7_running_total_with_nulls_in_group(t):
+    return _running_with_nulls(t, ["o_orderpriority"], single_task_rows=100)
+
+
 # --- sorts, limits, sets ---------------------------------------------------
 
 

@@ -126,14 +126,17 @@ def scale_to_priority(df: DataFrame, c: str, low: float = 0.5, high: float = 1.0
 
 
 def map_values(c, mapping: Mapping, default=None, keep_unmapped: bool = True) -> Column:
-    """Replace values by a small literal dictionary.
+    """Replace values by a small literal dictionary; a value may be mapped to null.
 
     For a dictionary that is itself a table, join it (``operators.joins.lookup``).
     """
     c = col(c)
     pairs = [F.lit(x) for pair in mapping.items() for x in pair]
-    found = F.try_element_at(F.create_map(*pairs), c) if pairs else F.lit(None)
-    return F.coalesce(found, c if keep_unmapped else value_of(default))
+    other = c if keep_unmapped else value_of(default)
+    if not pairs:
+        return F.coalesce(F.lit(None), other)
+    table = F.create_map(*pairs)
+    return F.when(F.map_contains_key(table, c), F.try_element_at(table, c)).otherwise(other)
 
 
 def age_in_years(year, reference_year: int) -> Column:

@@ -11,14 +11,22 @@ from tablewright.functions._column import col
 _SPLIT = float(2**26)
 
 
+# From here on doubles are whole numbers, and the text below needs too many digits.
+_LARGE = 1e15
+
+
 def _fixed(value: Column, digits: int) -> Column:
     """A non-negative double with ``digits`` decimals, as C's printf writes it.
 
-    Rounding looks at the exact binary value. That differs from rounding the
+    From ``_LARGE`` on the digits that follow from the shortest text of the
+    double are given, with zeros after it.
+
+        Rounding looks at the exact binary value. That differs from rounding the
     shortest decimal text only when this text ends exactly half way, so the
     half-way case compares the exact fraction with the half-way point: a double
     splits into two parts whose products with ``2 * 10^digits`` are exact.
     """
+    large, value = value, F.when(value < _LARGE, value)
     text = value.cast("decimal(38,15)")
     half_steps = F.lit(2 * 10**digits)
     doubled = text * half_steps.cast("decimal(5,0)")
@@ -43,7 +51,16 @@ def _fixed(value: Column, digits: int) -> Column:
     rounded = F.when(
         is_tie, (whole.cast("decimal(30,0)") / F.lit(10**digits)).cast(f"decimal(34,{digits})")
     ).otherwise(F.round(text, digits).cast(f"decimal(34,{digits})"))
-    return rounded.cast("string")
+    return F.when(large < _LARGE, rounded.cast("string")).otherwise(_whole(large, digits))
+
+
+def _whole(value: Column, digits: int) -> Column:
+    """A large double as digits, from its shortest text ``d.dddEn``."""
+    text = value.cast("string")
+    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
+    places = F.substring_index(text, "E", -1).cast("int")
+    figures = F.regexp_replace(mantissa, r"\.", "")
+    return F.concat(F.rpad(figures, F.greatest(places + 1, F.length(figures)), F.lit("0")), F.lit("." + "0" * digits))
 
 
 def display_value(c, data_type: T.DataType) -> Column:

@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from tablewright.operators.windows import group_measures, number_rows
 
 
+def quoted(name: str) -> Column:
+    """A column by its whole name, dots included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _keys(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
@@ -35,9 +40,10 @@ def sales_per_item(
 ) -> DataFrame:
     """Count, total, average and first and last date of the sales of each item.
 
-    Text can only be compared in an aggregate that sorts all rows by key. With
-    ``iso_text`` the dates are ISO text, are compared as dates in a hash
-    aggregate and come back as text; any other text raises.
+    Dates are compared as they are. Text can only be compared in an aggregate
+    that sorts all rows by key; where the dates are known to be ISO text of ten
+    characters, ``iso_text`` compares them as dates in a hash aggregate and gives
+    them back as text. Any other text then raises.
     """
     average = F.avg(price)
     value = F.col(date)
@@ -176,7 +182,8 @@ def distinct_count(column: str | Column, count_null: bool = True) -> Column:
     """Number of distinct values; null is one of them unless told otherwise."""
     c = F.col(column) if isinstance(column, str) else column
     distinct = F.count_distinct(c)
-    return distinct + F.max(c.isNull()).cast("int") if count_null else distinct
+    nulls = F.coalesce(F.max(c.isNull()), F.lit(False)).cast("int")
+    return distinct + nulls if count_null else distinct
 
 
 def summarise(
@@ -203,7 +210,7 @@ def summarise(
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row with the number of nulls in each column."""
-    return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns or df.columns])
+    return df.agg(*[F.count_if(quoted(c).isNull()).alias(c) for c in columns or df.columns])
 
 
 def group_total(df: DataFrame, keys: str | Sequence[str], column: str, target: str) -> DataFrame:

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.operators.aggregates import quoted
+
 
 @dataclass(frozen=True)
 class TableDiff:
@@ -34,13 +36,12 @@ def diff_tables(left: DataFrame, right: DataFrame) -> TableDiff:
     extra = [c for c in right.columns if c not in left.columns]
     if not common:
         return TableDiff(missing, extra, None)
-    sides = (
-        left.select(*common)
-        .withColumn("__left", F.lit(1))
-        .unionByName(right.select(*common).withColumn("__left", F.lit(0)))
+    names = [quoted(c) for c in common]
+    sides = left.select(*names, F.lit(1).alias("__left")).unionByName(
+        right.select(*names, F.lit(0).alias("__left"))
     )
     rows = (
-        sides.groupBy(*common)
+        sides.groupBy(*names)
         .agg(
             F.sum("__left").alias("left_count"),
             F.sum(1 - F.col("__left")).alias("right_count"),

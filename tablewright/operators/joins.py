@@ -8,8 +8,9 @@ for a key that holds a large part of all rows.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Iterator, Mapping, Sequence
+from itertools import count, product
+from string import ascii_lowercase
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -103,21 +104,27 @@ def join_chain(
     """Join several tables to a base and project.
 
     ``joins`` lists ``(table, left key, right key)``. The base has the alias
-    ``a``, the joined tables ``b``, ``c`` and so on; a left key with a dot is
-    used as it is, any other belongs to the base. ``select`` is SQL text.
+    ``a``, the joined tables ``b``, ``c`` and so on, after ``z`` ``aa``, ``ab``; a
+    left key with a dot names its table, any other belongs to the base. ``select``
+    is SQL text.
     """
     if how.lower() not in _HOW:
         raise ValueError(f"unknown join type {how!r}")
-    if len(joins) > 25:
-        raise ValueError("join_chain has aliases for 25 joined tables")
-    result = base.alias("a")
-    for position, (table, left_key, right_key) in enumerate(joins):
-        alias = chr(ord("b") + position)
-        left_ref = left_key if "." in left_key else f"a.{left_key}"
-        result = result.join(
-            table.alias(alias), F.col(left_ref) == F.col(f"{alias}.{right_key}"), how.lower()
-        )
-    return result.selectExpr(*select)
+    names = _aliases()
+    base_name = next(names)
+    joined = base.alias(base_name)
+    for table, own, other in joins:
+        name = next(names)
+        source, _, column = own.rpartition(".")
+        on = F.col(f"{source or base_name}.{column}") == F.col(f"{name}.{other}")
+        joined = joined.join(table.alias(name), on, how.lower())
+    return joined.selectExpr(*select)
+
+
+def _aliases() -> Iterator[str]:
+    """``a`` to ``z``, then ``aa``, ``ab`` and so on without an end."""
+    for size in count(1):
+        yield from map("".join, product(ascii_lowercase, repeat=size))
 
 
 def lookup(
@@ -132,8 +139,11 @@ def lookup(
     """Bring chosen columns of ``right`` to ``left``.
 
     Names that both sides have get the suffixes, on both sides, so no column is
-    ever ambiguous.
+    ever ambiguous. In a ``right`` or ``full`` join the left key of a row that
+    only ``right`` has is its right key.
     """
+    if how not in _HOW:
+        raise ValueError(f"unknown join type {how!r}")
     missing = [c for c in columns if c not in right.columns]
     if missing:
         raise MissingColumn("lookup", missing, right.columns)
@@ -144,7 +154,10 @@ def lookup(
     b = right.select(
         F.col(right_key).alias("__right_key"), *[F.col(c).alias(n) for c, n in new_right.items()]
     )
-    joined = a.join(b, F.col(new_left[left_key]) == F.col("__right_key"), how)
+    key = new_left[left_key]
+    joined = a.join(b, F.col(key) == F.col("__right_key"), how)
+    if how in ("right", "full"):
+        joined = joined.withColumn(key, F.coalesce(key, "__right_key"))
     return joined.drop("__right_key")
 
 
@@ -170,35 +183,25 @@ def spread_hot_keys(
 ) -> DataFrame:
     """Join on ``key`` with the rows of hot left keys spread over ``salts`` tasks.
 
-    Keys with more than ``hot_rows`` rows on the left are found by a count. Their
-    left rows are stored with a salt, their right rows repeated once for each
-    salt; all other rows, and rows without a key, are joined as usual. The
-    result is that of a plain join. Works for ``inner``, ``left``, ``left_semi``
-    and ``left_anti``, where only left rows are kept unmatched.
+    Keys with more than ``hot_rows`` rows on the left are found by a count of the
+    key alone. The left side is then read once and stored with a salt, which is 0
+    but for rows of hot keys, and the right rows of hot keys are repeated once
+    for each salt, so that one join does it all. The result is that of a plain
+    join. Works for ``inner``, ``left``, ``left_semi`` and ``left_anti``, where
+    only left rows are kept unmatched.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError("spread_hot_keys keeps unmatched rows of the left side only")
     counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
     # each hot key stands for more than hot_rows rows, so there are few of them
-    hot = stage(counts.filter(F.col("rows") > hot_rows), "hot-keys").select(
-        F.col(key).alias("__hot")
-    )
-    if hot.isEmpty():
+    hot = stage(counts.filter(F.col("rows") > hot_rows).filter(F.col(key).isNotNull()), "hot-keys")
+    keys = [r[0] for r in hot.select(key).collect()]
+    if not keys:
         return left.join(right, on=key, how=how)
-    is_hot = F.col(key) == F.col("__hot")
-    keyed = left.filter(F.col(key).isNotNull())
+    is_hot = F.coalesce(F.col(key).isin(keys), F.lit(False))
     # stored with its salt: a task that runs again must not deal the rows anew
-    salt = F.pmod(F.monotonically_increasing_id(), F.lit(salts))
-    hot_left = stage(keyed.join(hot, is_hot, "left_semi").withColumn(_SALT, salt), "hot-rows")
-    hot_right = right.join(hot, is_hot, "left_semi").withColumn(
-        _SALT, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
-    )
-    parts = [
-        hot_left.join(hot_right, on=[key, _SALT], how=how).drop(_SALT),
-        keyed.join(hot, is_hot, "left_anti").join(right, on=key, how=how),
-    ]
-    if how in ("left", "left_anti"):
-        # rows without a key match nothing and need no shuffle to find that out
-        unkeyed = left.filter(F.col(key).isNull())
-        parts.append(unkeyed.join(right.filter(F.lit(False)), on=key, how=how))
-    return reduce(DataFrame.unionByName, parts)
+    deal = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+    salted = stage(left.withColumn(_SALT, F.when(is_hot, deal).otherwise(0)), "salted")
+    last = F.when(is_hot, F.lit(salts - 1)).otherwise(0)
+    repeated = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), last)))
+    return salted.join(repeated, on=[key, _SALT], how=how).drop(_SALT)

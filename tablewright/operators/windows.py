@@ -74,7 +74,7 @@ def rank_rows(
     row_bound: int | None = None,
     single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
-    """``RANK()`` over all rows: ties share a rank and gaps follow.
+    """``RANK()`` over all rows, as long: ties share a rank and gaps follow.
 
     ``row_bound`` is a known upper bound of the row count; without it the rows
     are counted. Up to ``single_task_rows`` rows a plain window is used. Beyond,
@@ -85,17 +85,14 @@ def rank_rows(
     if row_bound is None:
         row_bound = df.count()
     if row_bound <= single_task_rows:
-        return df.withColumn(
-            target, F.rank().over(Window.orderBy(order_column(f"{column} {direction}")))
-        )
+        order = Window.orderBy(order_column(f"{column} {direction}"))
+        return df.withColumn(target, F.rank().over(order).cast("long"))
     values = df.groupBy(F.col(column).alias("__value")).agg(
         F.count(F.lit(1)).alias("__ties")
     )
     values = stage(values.withColumn("__seen", F.col("__ties")), "rank-values")
     seen = _prefix_sums(values, f"__value {direction}", ["__seen"], [], single_task_rows)
-    ranked = seen.select(
-        "__value", (F.col("__seen") - F.col("__ties") + 1).cast("int").alias(target)
-    )
+    ranked = seen.select("__value", (F.col("__seen") - F.col("__ties") + 1).alias(target))
     return df.join(ranked, F.col(column).eqNullSafe(F.col("__value")), "left").drop("__value")
 
 
@@ -148,7 +145,7 @@ def number_rows(
         numbered = _join_pieces(ranged, offsets, partition_by, hot_groups)
         parts.append(
             numbered.withColumn(
-                target, F.col(_ROW) - F.col(_START) + F.lit(1) + F.col(_LOCAL)
+                target, F.col(_ROW) - F.col(_START) + 1 + F.coalesce(_LOCAL, F.lit(0))
             ).select(*df.columns, target)
         )
     return reduce(DataFrame.unionByName, parts)
@@ -253,7 +250,7 @@ def _split_hot(df, groups, single_task_rows, row_bound=None):
 def _with_offsets(pieces, groups, columns):
     """Replace each column of ``pieces`` by its sum over the partitions before.
 
-    ``pieces`` has one row for each range partition and hot group in it: at most
+    Null where there is nothing to add up, as in a running sum.     ``pieces`` has one row for each range partition and hot group in it: at most
     the number of partitions plus the number of hot groups.
     """
     window = (
@@ -261,7 +258,7 @@ def _with_offsets(pieces, groups, columns):
         .orderBy(_PART)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    return pieces.withColumns({c: F.coalesce(F.sum(c).over(window), F.lit(0)) for c in columns})
+    return pieces.withColumns({c: F.sum(c).over(window) for c in columns})
 
 
 def _join_pieces(rows, pieces, groups, hot_groups):

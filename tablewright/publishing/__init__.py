@@ -5,7 +5,7 @@ from tablewright.publishing.manifests import image_manifests, zoom_level
 from tablewright.publishing.search import (
     bulk_batches,
     bulk_totals,
-    ndjson_sender,
+    write_bulk_files,
     search_documents,
 )
 from tablewright.publishing.sitemaps import (

@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators.windows import number_rows
+from tablewright.publishing._batches import batches_of
 
 ENRICHED_SCHEMA = (
     "embedding_id string, text string, embedding array<float>, model string, "
     "dimensions long, total_tokens long, processing_time_ms double"
 )
-# Fixed value: the most texts that one request may hold.
-MAX_BATCH = 128
+# Texts of one request. Services set a limit; this is a common one.
+BATCH = 128
 
 
 def embed_texts(
@@ -26,20 +27,21 @@ def embed_texts(
     model: str,
     id_column: str | None = None,
     order_by: Sequence[str] | None = None,
-    batch_size: int = MAX_BATCH,
+    batch_size: int = BATCH,
     retry_wait: float = 1.0,
 ) -> DataFrame:
     """id, text, embedding, model, dimensions, tokens, time per text, created_at.
 
     ``embed`` maps a list of texts to their vectors and the number of tokens of
     the whole batch; it is tried twice, and a second failure fails the task.
-    Tokens and time are spread evenly over the batch.
+    Tokens and time are spread evenly over the batch. ``batch_size`` has to fit
+    the service behind ``embed``; a task's batches are full but for its last one.
 
     Ids come from ``id_column``, or are ``embedding_{n}``, counted from 0 in the
     order of ``order_by``, which must end in a unique column.
     """
-    if not 1 <= batch_size <= MAX_BATCH:
-        raise ValueError(f"batch_size must lie between 1 and {MAX_BATCH}")
+    if batch_size < 1:
+        raise ValueError("batch_size must be at least 1")
     if id_column is not None:
         ids = df.select(F.col(id_column).cast("string").alias("id"), F.col(text).alias("text"))
     elif order_by:
@@ -58,23 +60,21 @@ def embed_texts(
             return embed(texts)
 
     def enrich(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for start in range(0, len(frame), batch_size):
-                batch = frame.iloc[start : start + batch_size]
-                began = time.perf_counter()
-                vectors, tokens = call(batch["text"].tolist())
-                elapsed = (time.perf_counter() - began) * 1000
-                yield pd.DataFrame(
-                    {
-                        "embedding_id": batch["id"].to_numpy(),
-                        "text": batch["text"].to_numpy(),
-                        "embedding": list(vectors),
-                        "model": model,
-                        "dimensions": [len(v) for v in vectors],
-                        "total_tokens": tokens // len(batch),
-                        "processing_time_ms": elapsed / len(batch),
-                    }
-                )
+        for batch in batches_of(frames, batch_size):
+            began = time.perf_counter()
+            vectors, tokens = call(batch["text"].tolist())
+            elapsed = (time.perf_counter() - began) * 1000
+            yield pd.DataFrame(
+                {
+                    "embedding_id": batch["id"].to_numpy(),
+                    "text": batch["text"].to_numpy(),
+                    "embedding": list(vectors),
+                    "model": model,
+                    "dimensions": [len(v) for v in vectors],
+                    "total_tokens": tokens // len(batch),
+                    "processing_time_ms": elapsed / len(batch),
+                }
+            )
 
     return ids.mapInPandas(enrich, ENRICHED_SCHEMA).withColumn(
         "created_at", F.current_timestamp()

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-import hashlib
-import json
-from collections.abc import Callable, Iterator
-from pathlib import Path
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.publishing._batches import batches_of
+from tablewright.session import stage
 from tablewright.sources.sinks import clean_numbers
 
-BATCH_SCHEMA = "`index` string, first_id string, sent long, failed long"
+BATCH_SCHEMA = (
+    "`index` string, first_id string, sent long, failed long, failed_ids array<string>, error string"
+)
+REPORT_COLUMNS = ["index", "first_id", "sent", "failed", "failed_ids", "error"]
 
 
 def search_documents(
@@ -36,32 +38,39 @@ def search_documents(
 
 def bulk_batches(
     documents: DataFrame,
-    sender: Callable[[list[dict]], int],
+    sender: Callable[[list[dict]], int | Iterable[str]],
     batch_size: int = 500,
 ) -> DataFrame:
-    """Send documents in batches and give one row for each batch.
+    """Send documents in batches, once, and give one stored row for each batch.
 
     ``sender`` gets a list of ``{"_index", "_id", "_source"}`` and returns how
-    many of them failed; an exception counts the whole batch as failed. Every
-    task sends its own rows. A task may run again, so a sender has to be
-    idempotent: documents with an id overwrite themselves.
+    many of them failed, or their ids. An exception counts the whole batch as
+    failed and its text is kept in ``error``. Every task sends its own rows, in
+    full batches but for its last one.
+
+    The documents are sent when this is called, and what happened is stored: to
+    use the result twice does not send them again. A task that is lost runs
+    again, so a sender has to be idempotent: documents with an id overwrite
+    themselves.
     """
+    if batch_size < 1:
+        raise ValueError("batch_size must be at least 1")
 
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            results = []
-            for start in range(0, len(frame), batch_size):
-                batch = frame.iloc[start : start + batch_size]
-                items = batch.to_dict("records")
-                try:
-                    failed = int(sender(items))
-                except Exception:
-                    failed = len(items)
-                first = items[0]
-                results.append((first["_index"], first["_id"], len(items) - failed, failed))
-            yield pd.DataFrame(results, columns=["index", "first_id", "sent", "failed"])
-
-    return documents.select("_index", "_id", "_source").mapInPandas(send, BATCH_SCHEMA)
+        for batch in batches_of(frames, batch_size):
+            items, error, ids = batch.to_dict("records"), None, None
+            try:
+                outcome = sender(items)
+                failed = outcome if isinstance(outcome, int) else len(ids := [str(i) for i in outcome])
+            except Exception as problem:
+                error = f"{type(problem).__name__}: {problem}"
+                failed, ids = len(items), [i["_id"] for i in items]
+            first = items[0]
+            row = (first["_index"], first["_id"], len(items) - failed, failed, ids, error)
+            yield pd.DataFrame([row], columns=REPORT_COLUMNS)
+
+    sent = documents.select("_index", "_id", "_source").mapInPandas(send, BATCH_SCHEMA)
+    return stage(sent, "bulk-batches")
 
 
 def bulk_totals(batches: DataFrame) -> DataFrame:
@@ -73,21 +82,15 @@ def bulk_totals(batches: DataFrame) -> DataFrame:
     )
 
 
-def ndjson_sender(folder: str) -> Callable[[list[dict]], int]:
-    """A sender that writes each batch as a bulk file, an action and a source line
-    per document. The file name comes from the content, so a repeat overwrites."""
-
-    def send(items: list[dict]) -> int:
-        lines = []
-        for item in items:
-            target = {"_index": item["_index"]}
-            if item["_id"] is not None:
-                target["_id"] = item["_id"]
-            lines += [json.dumps({"index": target}), item["_source"]]
-        body = "\n".join(lines) + "\n"
-        name = hashlib.sha1(body.encode()).hexdigest()
-        Path(folder).mkdir(parents=True, exist_ok=True)
-        Path(folder, f"{name}.ndjson").write_text(body, encoding="utf-8")
-        return 0
-
-    return send
+def write_bulk_files(
+    documents: DataFrame, path: str, batch_size: int = 500, mode: str = "overwrite"
+) -> None:
+    """Documents as bulk files of at most ``batch_size``: an action and a source line for each.
+
+    Written by Spark, so the folder may be on any file system that the cluster
+    reaches, and a task that runs again leaves its files once.
+    """
+    target = F.struct(F.col("_index"), F.col("_id"))
+    action = F.to_json(F.struct(target.alias("index")))
+    lines = documents.select(F.concat(action, F.lit("\n"), F.col("_source")).alias("value"))
+    lines.write.mode(mode).option("maxRecordsPerFile", batch_size).text(path)

@@ -4,6 +4,7 @@ from tablewright.sources.readers import (
     harvest_csv,
     read_csv,
     read_json_array,
+    read_json_array_parts,
     read_parquet_table,
     read_raw_table,
     read_raw_tables,

@@ -1,4 +1,4 @@
-"""Sources. Schemas are declared, so no read needs a pass to infer them."""
+"""Sources. Where a schema is declared, no read needs a pass to infer it."""
 
 from __future__ import annotations
 
@@ -22,17 +22,28 @@ RAW_VIEWS = {
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: str | T.StructType, **options
+    spark: SparkSession,
+    path: str,
+    schema: str | T.StructType | None = None,
+    multiline: bool = False,
+    **options,
 ) -> DataFrame:
-    """A CSV file or folder with a header; a malformed row raises."""
-    reader = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
+    """A CSV file or folder with a header; a malformed row raises.
+
+    Without a schema the types are inferred, which reads the files once more.
+    ``multiline`` allows line breaks inside quotes; then a file cannot be split,
+    and one task reads it from end to end.
+    """
+    reader = spark.read.option("header", True).option("mode", "FAILFAST").option("escape", '"')
+    reader = reader.option("multiLine", multiline)
+    reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
     return reader.options(**options).csv(path)
 
 
 def harvest_csv(
     spark: SparkSession,
     path: str,
-    schema: str | T.StructType,
+    schema: str | T.StructType | None,
     raw_dir: str,
     table: str,
     raw_schema: str = "raw",
@@ -174,6 +185,14 @@ def read_json_array(
     return (reader.schema(schema) if schema else reader).json(path)
 
 
+def read_json_array_parts(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    """The folder of a JSON array in parts (``sinks.write_json_array``), read in parallel."""
+    kind = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    body = F.regexp_replace("value", r"^[\[,]|\]$", "")
+    lines = spark.read.text(path).select(body.alias("body")).filter("body <> ''")
+    return lines.select(F.from_json("body", kind).alias("row")).select("row.*")
+
+
 def read_json_lines(
     spark: SparkSession, path: str, schema: str | T.StructType
 ) -> DataFrame:

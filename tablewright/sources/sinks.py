@@ -10,8 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A single JSON document is built in one task, so its size is checked first.
-MAX_ARRAY_ROWS = 100_000
+from tablewright.session import stage
 
 
 @dataclass(frozen=True)
@@ -42,10 +41,14 @@ def write_parquet(
 ) -> WriteResult:
     """Parquet, by default with zstd; ``partition_by`` gives Hive-style folders.
 
-    Partition columns are not used to shuffle the rows: a folder may get a file
-    from each task, so a folder with a large part of all rows stays spread out.
+    Rows are dealt out by the partition columns first, so that a folder does not
+    get a file from each task. The dealing splits what is too large for one task
+    (adaptive execution does, by bytes), so a folder with a large part of all
+    rows stays spread out.
     """
     observed, seen = _observed(df, metrics)
+    if partition_by:
+        observed = observed.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = observed.write.mode(mode).option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -56,7 +59,7 @@ def write_parquet(
 def clean_numbers(df: DataFrame) -> DataFrame:
     """NaN and infinities become null: JSON has no text for them.
 
-    Also inside lists and structs; columns without floating point stay as they are.
+    Also inside lists, structs and the values of maps; columns without floating point stay as they are.
     """
     cleaned = {
         f.name: _clean(F.col(f"`{f.name}`"), f.dataType)
@@ -71,6 +74,8 @@ def _has_float(data_type: T.DataType) -> bool:
         return _has_float(data_type.elementType)
     if isinstance(data_type, T.StructType):
         return any(_has_float(f.dataType) for f in data_type.fields)
+    if isinstance(data_type, T.MapType):
+        return _has_float(data_type.valueType)
     return isinstance(data_type, (T.FloatType, T.DoubleType))
 
 
@@ -79,6 +84,10 @@ def _clean(value: Column, data_type: T.DataType) -> Column:
         if not _has_float(data_type.elementType):
             return value
         return F.transform(value, lambda x: _clean(x, data_type.elementType))
+    if isinstance(data_type, T.MapType):
+        if not _has_float(data_type.valueType):
+            return value
+        return F.transform_values(value, lambda _, v: _clean(v, data_type.valueType))
     if isinstance(data_type, T.StructType):
         fields = [_clean(value.getField(f.name), f.dataType).alias(f.name) for f in data_type]
         return F.when(value.isNotNull(), F.struct(*fields))
@@ -100,25 +109,29 @@ def write_json(
     return WriteResult(path, seen.get)
 
 
-def write_json_array(
-    df: DataFrame, path: str, mode: str = "overwrite", max_rows: int = MAX_ARRAY_ROWS
-) -> WriteResult:
-    """One JSON array in one file, in the order of ``df``.
+def write_json_array(df: DataFrame, path: str, mode: str = "overwrite") -> WriteResult:
+    """One JSON array in the order of ``df``, in parts that every task writes.
 
-    Only for small outputs: more than ``max_rows`` rows raise, and then
-    ``write_json`` is the way. One task builds the document.
+    The part files in the order of their names, one after the other, are the
+    document: each line is an element, after ``[`` in the first line and ``,`` in
+    all others, and the last line ends in ``]``. ``read_json_array_parts`` reads
+    the folder in parallel. An empty table gives ``[]``.
     """
-    rows = df.count()
-    if rows > max_rows:
-        raise ValueError(f"{rows} rows are too many for one JSON document; use write_json")
-    line = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
-    document = (
-        clean_numbers(df)
-        .select(line.alias("line"))
-        .coalesce(1)
-        .agg(F.concat(F.lit("["), F.array_join(F.collect_list("line"), ",\n"), F.lit("]")))
+    spark = df.sparkSession
+    body = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    # stored, as the order within and among tasks has to stay what it was
+    lines = stage(
+        clean_numbers(df).select(F.monotonically_increasing_id().alias("at"), body.alias("body")), "json-lines"
     )
-    document.write.mode(mode).text(path)
+    first, last, rows = lines.agg(F.min("at"), F.max("at"), F.count(F.lit(1))).first()
+    if not rows:
+        spark.createDataFrame([("[]",)], "value string").write.mode(mode).text(path)
+        return WriteResult(path, {"record_count": 0})
+    opening = F.when(F.col("at") == first, "[").otherwise(",")
+    closing = F.when(F.col("at") == last, "]").otherwise("")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = lines.repartitionByRange(tasks, "at").sortWithinPartitions("at")
+    ordered.select(F.concat(opening, "body", closing).alias("value")).write.mode(mode).text(path)
     return WriteResult(path, {"record_count": rows})
 
 
@@ -132,19 +145,33 @@ def publish(
     """Filter and project a Parquet table into JSON Lines.
 
     Besides ``record_count`` the metrics hold ``filtered_from``, the rows before
-    the filter. It is counted from the Parquet footers, so that the filter can
-    still reach the scan.
+    the filter. Of a stored table it is counted from the Parquet footers, so that
+    the filter can still reach the scan; any other is computed once and counted
+    on its way to the filter.
     """
-    df = spark.read.parquet(source) if isinstance(source, str) else source
-    total = df.count()
+    if isinstance(source, str):
+        df = spark.read.parquet(source)
+        total, before = df.count(), None
+    else:
+        before = Observation(f"before-{uuid.uuid4().hex}")
+        df = source.observe(before, F.count(F.lit(1)).alias("rows"))
     kept = df.filter(where) if where else df
     result = write_json(kept.selectExpr(*select), path)
+    if before is not None:
+        total = before.get["rows"]
     return WriteResult(path, {**result.metrics, "filtered_from": total})
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", **options) -> WriteResult:
+    """CSV with a header and doubled quotes; white space at the ends of a text stays.
+
+    Text with line breaks is written as it is; ``read_csv(…, multiline=True)``
+    reads it back.
+    """
     observed, seen = _observed(df, None)
-    observed.write.mode(mode).option("header", True).options(**options).csv(path)
+    writer = observed.write.mode(mode).option("header", True).option("escape", '"')
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    writer.options(**options).csv(path)
     return WriteResult(path, seen.get)
 
 

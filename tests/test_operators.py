@@ -134,6 +134,54 @@ def test_join_chain_aliases(sales, artworks, frame, rows):
         J.join_chain(sales, [], how="sideways")
 
 
+def test_join_chain_has_no_end(spark):
+    tables = [spark.range(2).withColumnRenamed("id", f"k{i}") for i in range(30)]
+    out = J.join_chain(
+        spark.range(3), [(t, "id", f"k{i}") for i, t in enumerate(tables)], ["a.id", "ad.k28", "ae.k29"]
+    )
+    assert sorted(tuple(r) for r in out.collect() if r.k28 is not None) == [(0, 0, 0), (1, 1, 1)]
+    chained = J.join_chain(spark.range(3), [(tables[0], "id", "k0"), (tables[1], "b.k0", "k1")], ["id", "c.k1"])
+    assert chained.count() == 3
+
+
+@pytest.mark.parametrize("how", ["full", "right"])
+def test_lookup_keeps_the_key_of_either_side(frame, rows, how):
+    left, right = frame("k int, x string", (1, "a"), (2, "b")), frame("id int, y string", (2, "B"), (3, "C"))
+    found = rows(J.lookup(left, right, "k", "id", ["y"], how=how))
+    assert (3, None, "C") in found and (2, "b", "B") in found
+    assert ((1, "a", None) in found) == (how == "full")
+    with pytest.raises(ValueError):
+        J.lookup(left, right, "k", "id", ["y"], how="sideways")
+
+
+def test_hot_keys_are_spread_in_one_read(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for frame in frames:
+            seen.add(len(frame))
+            yield frame
+
+    left = spark.range(1000).selectExpr("if(id < 600, 1, id) k", "id v").mapInPandas(count, "k long, v long")
+    right = spark.range(1000).selectExpr("id k", "id * 2 w")
+    out = J.spread_hot_keys(left, right, "k", hot_rows=100, salts=4)
+    assert out.count() == 1000
+    # once for the count of its keys, once for the join
+    assert seen.value == 2000
+
+
+def test_empty_tables_have_no_distinct_values(frame, rows):
+    df = frame("v int, f boolean").limit(0)
+    assert rows(df.agg(A.distinct_count("v"))) == [(0,)]
+    assert rows(A.summarise(df, distinct=["v"])) == [(0, 0)]
+
+
+def test_names_with_dots(frame, rows):
+    df = frame("`a.b` int, c int", (None, 1), (2, None))
+    assert rows(A.null_counts(df)) == [(1, 1)]
+    assert diff_tables(df, df).matches() and not diff_tables(df, df.limit(1)).matches()
+
+
 def test_lookup_renames_clashes(frame, rows):
     left = frame("id int, artist_id int", (1, 100), (2, 101), (3, 100), (4, 9))
     right = frame("id int, artist_name string, extra int", (100, "Monet", 0), (101, "Van Gogh", 0))
@@ -251,10 +299,13 @@ def ranked(spark):
     """400 rows; one group and one value hold more than a third of them."""
     rng = random.Random(7)
     data = [
-        (i, rng.choice(["a", "a", "b", None]), rng.choice([1, 1, 1, 2, 3, 5, None]), rng.randrange(9))
+        (i, rng.choice(["a", "a", "b", None]), rng.choice([1, 1, 1, 2, 3, 5, None]), rng.choice([None, 0, 1, 8]),
+         rng.choice([float("nan"), -0.5, 2.0, 7.25, None]))
         for i in range(400)
-    ]
-    return spark.createDataFrame(data, "id long, g string, v int, w int")
+    ]
+    # nothing to add up for the first order values, in either direction
+    data = [(i, g, v, None if v in (1, None) or v == 5 else w, x) for i, g, v, w, x in data]
+    return spark.createDataFrame(data, "id long, g string, v int, w int, x double").repartition(40)
 
 
 @pytest.mark.parametrize("limit", [1_000_000, 90, 3])
@@ -265,6 +316,9 @@ def test_windows_without_one_task(ranked, limit):
     out = W.rank_rows(out, "v", "ra", descending=False, single_task_rows=limit)
     out = W.running_total(out, "v", {"s": "w"}, ["g"], single_task_rows=limit)
     out = W.running_total(out, "v desc", {"ss": "w"}, single_task_rows=limit)
+    out = W.rank_rows(out, "x", "rx", single_task_rows=limit)
+    out = W.running_total(out, "x", {"sx": "w", "xx": "x"}, ["g"], single_task_rows=limit)
+    out = W.running_total(out, "id", {"si": "w"}, single_task_rows=limit)
     out = W.group_measures(out, "g", {"gc": "count(*)", "gs": "sum(w)"})
     last = "NULLS LAST"
     expected = ranked.selectExpr(
@@ -275,9 +329,14 @@ def test_windows_without_one_task(ranked, limit):
         f"rank() over (order by v {last}) ra",
         f"sum(w) over (partition by g order by v {last}) s",
         f"sum(w) over (order by v desc {last}) ss",
+        f"rank() over (order by x desc {last}) rx",
+        f"sum(w) over (partition by g order by x {last}) sx",
+        f"sum(x) over (partition by g order by x {last}) xx",
+        f"sum(w) over (order by id {last}) si",
         "count(*) over (partition by g) gc",
         "sum(w) over (partition by g) gs",
     )
+    assert dict(out.dtypes)["r"] == "bigint"
     found = diff_tables(expected, out)
     assert found.matches(), found.rows.collect()[:3]
 

@@ -22,16 +22,28 @@ def test_search_documents_pick_an_id(frame, rows):
     assert rows(P.search_documents(df.withColumnRenamed("id", "_id"), "art"))[0][1] == "1"
 
 
-def test_bulk_batches_write_bulk_files_once(spark, folder, rows):
-    documents = P.search_documents(spark.range(1050).repartition(2), "n").cache()
-    for _ in range(2):
-        batches = P.bulk_batches(documents, P.ndjson_sender(folder()), batch_size=500)
-        assert rows(P.bulk_totals(batches))[0][:3] == ("n", 1050, 0)
-    lines = [x for f in Path(folder()).glob("*.ndjson") for x in f.read_text().splitlines()]
-    assert len(lines) == 2 * 1050
-    ids = {json.loads(x)["index"]["_id"] for x in lines[::2]}
+def test_bulk_files_are_bounded_and_whole(spark, folder):
+    documents = P.search_documents(spark.range(1050).repartition(2), "n")
+    P.write_bulk_files(documents, folder(), batch_size=100)
+    files = [f.read_text().splitlines() for f in Path(folder()).glob("part-*")]
+    assert max(len(f) for f in files) == 200 and sum(len(f) for f in files) == 2 * 1050
+    ids = {json.loads(x)["index"]["_id"] for f in files for x in f[::2]}
     assert ids == {str(i) for i in range(1050)}
-    documents.unpersist()
+    assert {json.loads(x)["id"] for f in files for x in f[1::2]} == set(range(1050))
+
+
+def test_bulk_batches_are_sent_once_in_full_batches(spark, folder, rows):
+    documents = P.search_documents(spark.range(25_100).coalesce(1), "n")
+    calls = Path(folder("calls"))
+    calls.mkdir()
+
+    def sender(items):
+        (calls / f"{items[0]['_id']}-{len(items)}").touch()
+        return 0
+
+    batches = P.bulk_batches(documents, sender, batch_size=12_500)
+    assert rows(P.bulk_totals(batches)) == [("n", 25_100, 0, 3)] and batches.count() == 3
+    assert sorted(int(f.name.split("-")[1]) for f in calls.iterdir()) == [100, 12_500, 12_500]
 
 
 def test_bulk_batches_count_failures(spark, rows):
@@ -43,8 +55,11 @@ def test_bulk_batches_count_failures(spark, rows):
         return sum(i["_id"] == "1" for i in items)
 
     assert rows(P.bulk_batches(documents, sender, batch_size=4)) == [
-        ("n", "0", 3, 1), ("n", "4", 0, 4), ("n", "8", 2, 0)
+        ("n", "0", 3, 1, None, None), ("n", "4", 0, 4, ["4", "5", "6", "7"], "OSError: down"),
+        ("n", "8", 2, 0, None, None),
     ]
+    named = P.bulk_batches(documents, lambda items: [i["_id"] for i in items[:1]], batch_size=6)
+    assert [r[2:5] for r in rows(named)] == [(5, 1, ["0"]), (3, 1, ["6"])]
 
 
 def test_url_joins_have_one_slash(frame, rows):
@@ -164,7 +179,7 @@ def test_embeddings_in_batches_with_one_retry(spark, frame, folder, rows):
     with pytest.raises(ValueError):
         P.embed_texts(df, "t", embed, "m1")
     with pytest.raises(ValueError):
-        P.embed_texts(df, "t", embed, "m1", id_column="k", batch_size=129)
+        P.embed_texts(df, "t", embed, "m1", id_column="k", batch_size=0)
 
 
 def test_column_lineage(spark, frame, rows):

@@ -100,16 +100,53 @@ def test_json_lines_keep_nulls_and_drop_nan(frame, folder):
     assert result.rows == 2 and result.metrics["top"] == 1.5
 
 
-def test_json_array_round_trip_and_limit(spark, frame, folder, rows):
-    df = frame("i int, s string", *[(i, None if i % 2 else str(i)) for i in range(20)])
-    R.write_json_array(df.orderBy(F.desc("i")), folder())
-    (document,) = ["\n".join(_lines(folder()))]
-    assert [r["i"] for r in json.loads(document)] == list(range(19, -1, -1))
-    assert rows(R.read_json_array(spark, folder(), df.schema)) == rows(df)
-    R.write_json_array(df.limit(0), folder("none"))
-    assert json.loads("\n".join(_lines(folder("none")))) == []
-    with pytest.raises(ValueError):
-        R.write_json_array(df, folder("big"), max_rows=10)
+@pytest.mark.parametrize("count", [0, 1, 20, 100_100])
+def test_json_array_in_parts(spark, folder, rows, count):
+    df = spark.range(count).selectExpr("cast(id as int) i", "if(id % 2 = 1, null, cast(id as string)) s")
+    assert R.write_json_array(df.orderBy(F.desc("i")), folder()).rows == count
+    document = "\n".join(_lines(folder()))
+    assert [r["i"] for r in json.loads(document)] == list(range(count - 1, -1, -1))
+    assert len(list(Path(folder()).glob("part-*"))) >= min(2, count // 1000)
+    assert rows(R.read_json_array_parts(spark, folder(), df.schema)) == rows(df)
+
+
+def test_json_array_in_one_file(spark, folder, rows):
+    Path(folder()).write_text('[{"i": 1},\n{"i": 2}]')
+    assert rows(R.read_json_array(spark, folder(), "i int")) == [(1,), (2,)]
+
+
+def test_partitioned_files_are_few(spark, folder):
+    df = spark.range(4000).repartition(40).selectExpr("id", "id % 20 as k")
+    R.write_parquet(df, folder(), partition_by=["k"])
+    assert len(list(Path(folder()).rglob("part-*"))) < 100
+    assert spark.read.parquet(folder()).count() == 4000
+
+
+def test_numbers_inside_maps_are_cleaned(spark, folder):
+    df = spark.sql("select map('a', double('nan'), 'b', 1.5D, 'c', null) m, map('k', 1) n")
+    (row,) = R.clean_numbers(df).collect()
+    assert row.m == {"a": None, "b": 1.5, "c": None} and row.n == {"k": 1}
+
+
+def test_publish_reads_a_plan_once(spark, folder):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for frame in frames:
+            seen.add(len(frame))
+            yield frame
+
+    df = spark.range(50).mapInPandas(count, "id long")
+    result = R.publish(spark, df, folder(), "id >= 10")
+    assert result.metrics == {"record_count": 40, "filtered_from": 50} and seen.value == 50
+
+
+def test_csv_types_are_inferred_if_asked_for(spark, folder, rows):
+    Path(folder("in")).mkdir()
+    Path(folder("in"), "a.csv").write_text('id,price,day,name\n1,2.5,2020-01-01,"x\ny"\n2,,,z\n')
+    df = R.read_csv(spark, folder("in"), multiline=True)
+    assert [t for _, t in df.dtypes] == ["int", "double", "date", "string"] and df.count() == 2
+    assert rows(df.select("name")) == [("x\ny",), ("z",)]
 
 
 def test_publish_counts_before_and_after(spark, frame, folder, rows):
@@ -120,9 +157,9 @@ def test_publish_counts_before_and_after(spark, frame, folder, rows):
 
 
 def test_csv_sink(spark, frame, folder, rows):
-    df = frame("id int, s string", (1, 'a,"b"'), (2, "line\nbreak"))
-    assert R.write_csv(df, folder(), quoteAll=True, escape='"').rows == 2
-    assert rows(R.read_csv(spark, folder(), df.schema, multiLine=True, escape='"')) == rows(df)
+    df = frame("id int, s string", (1, 'a,"b"'), (2, "line\nbreak"), (None, " back\\slash "), (4, None))
+    assert R.write_csv(df, folder()).rows == 4
+    assert rows(R.read_csv(spark, folder(), df.schema, multiline=True)) == rows(df)
 
 
 CATALOG = """<?xml version="1.0" encoding="UTF-8"?>

@@ -344,3 +344,17 @@ def test_display_value_of_other_types(frame, rows):
     df = frame("s string, l array<int>, d double, n long", ("x", [1], float("nan"), None))
     out = df.select(*[E.display_value(f.name, f.dataType) for f in df.schema])
     assert rows(out) == [("x", "[1]", "$nan", None)]
+
+
+def test_large_numbers_are_displayed(frame, rows):
+    df = frame("v double", (2e30,), (-2.5e29,), (1.5e22,), (123456789.0,), (1e300,))
+    shown = [r[0] for r in rows(df.select(E.display_value("v", T.DoubleType())), True)]
+    assert shown[0] == "$2" + "0" * 24 + ".0M" and shown[1] == "-$25" + "0" * 22 + ".0M"
+    assert shown[2] == "$15000000000000000.0M" and shown[3] == "$123.5M" and len(shown[4]) == 1 + 295 + 3
+
+
+def test_a_value_may_be_mapped_to_null(frame, rows):
+    df = frame("s string", ("a",), ("b",), ("c",), (None,))
+    mapped = df.select(E.map_values("s", {"a": None, "b": "B"}))
+    assert rows(mapped, True) == [(None,), ("B",), ("c",), (None,)]
+    assert rows(df.select(E.map_values("s", {"a": None}, "x", keep_unmapped=False)), True) == [(None,), ("x",), ("x",), ("x",)]
