@@ -106,8 +106,8 @@ def m3_media_parts(t):
 
 @query(f"{_CATALOGUE} SELECT * FROM artworks_transform")
 def m3_artworks_transform_distributed(t):
-    # the route for more artworks than one task may rank
-    return _media_as_text(_artworks_transform(t, single_task_rows=100))
+    # the route for more artworks than one task may rank, with dates known to be ISO text
+    return _media_as_text(_artworks_transform(t, single_task_rows=100, iso_dates=True))
 
 
 @query(
@@ -178,7 +178,7 @@ def m5_sales_by_threshold(t):
 )
 def m6_artworks_by_tier(t):
     return plans.artworks_by_tier(
-        artworks(t), artists(t), sales(t), media(t), BOUNDS, single_task_rows=100
+        artworks(t), artists(t), sales(t), media(t), BOUNDS, single_task_rows=100, iso_dates=True
     )
 
 

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +39,10 @@ def sql_transform(
 
 
 def _is_temp_view(spark: SparkSession, name: str) -> bool:
-    return any(t.name == name and t.isTemporary for t in spark.catalog.listTables())
+    try:
+        return spark.catalog.getTable(name).isTemporary
+    except AnalysisException:
+        return False
 
 
 def sql_query(spark: SparkSession, sql: str) -> DataFrame:

@@ -81,15 +81,16 @@ def catalogue(
 
 
 def with_sales(
-    items: DataFrame, sales: DataFrame, digits: int | None = 0
+    items: DataFrame, sales: DataFrame, digits: int | None = 0, iso_dates: bool = False
 ) -> DataFrame:
     """Add the sales history of each artwork.
 
     Sales of unknown artworks need no filter of their own: their groups find no
-    artwork to join.
+    artwork to join. Dates are text and compared as such; ``iso_dates`` says that
+    all are ISO dates, which saves a sort of all sales.
     """
     history = sales_per_item(
-        sales, "artwork_id", "sale_price_usd", "sale_date", digits, iso_text=True
+        sales, "artwork_id", "sale_price_usd", "sale_date", digits, iso_text=iso_dates
     )
     return items.join(history, "artwork_id", "left")
 
@@ -99,20 +100,24 @@ def media_summary(
 ) -> DataFrame:
     """Number of media, the primary image and the ordered media list, per artwork.
 
-    One pass over the media. The primary image is the one with sort order 1;
-    among several, the one with the smallest file name.
+    The primary image is the one with sort order 1; among several, the one with
+    the smallest file name. Without lists, the media are counted by a hash
+    aggregate over the key alone, and only the few with sort order 1 are sorted.
     """
-    primary = first_match(
-        {"primary_image": "filename", "primary_image_alt": "alt_text"},
-        "sort_order = 1",
-        ["filename", "alt_text"],
-    )
-    extra = [struct_list("sort_order", fields).alias("media")] if lists else []
-    summary = media.groupBy("artwork_id").agg(
-        primary.alias("__primary"), F.count(F.lit(1)).cast("int").alias("media_count"), *extra
-    )
-    listed = ["media"] if lists else []
-    return summary.select("artwork_id", "__primary.*", "media_count", *listed)
+    picked = {"primary_image": "filename", "primary_image_alt": "alt_text"}
+    order = ["filename", "alt_text"]
+    counted = F.count(F.lit(1)).cast("int").alias("media_count")
+    if not lists:
+        leading = media.filter("sort_order = 1").groupBy("artwork_id")
+        primary = leading.agg(first_match(picked, "true", order).alias("__primary"))
+        counts = media.groupBy("artwork_id").agg(counted)
+        return counts.join(primary, "artwork_id", "left").select(
+            "artwork_id", *[F.col(f"__primary.{n}").alias(n) for n in picked], "media_count"
+        )
+    primary = first_match(picked, "sort_order = 1", order).alias("__primary")
+    listed = struct_list("sort_order", fields).alias("media")
+    summary = media.groupBy("artwork_id").agg(primary, counted, listed)
+    return summary.select("artwork_id", "__primary.*", "media_count", "media")
 
 
 def media_parts(
@@ -140,18 +145,26 @@ def artworks_transform(
     ordered: bool = True,
     media_lists: bool = True,
     single_task_rows: int = SINGLE_TASK_ROWS,
+    iso_dates: bool = False,
 ) -> DataFrame:
     """The enriched catalogue, by total sales value and then by id.
 
     ``ties="rank"`` gives artworks with equal totals the same rank;
     ``ties="ordinal"`` numbers them by id. ``media_lists=False`` leaves the media
-    column out (see ``media_parts``). Above ``single_task_rows`` artworks
-    the rows are staged before they are ranked, so the sales are read once.
+    column out (see ``media_parts``): a list is one cell, so take it for
+    works whose media fit one. ``iso_dates`` is that of ``with_sales``. Above
+    ``single_task_rows`` artworks the sales history is stored, ranks are made of
+    ids and totals alone and meet the wide rows by id.
     """
     if ties not in ("rank", "ordinal"):
         raise ValueError("ties must be rank or ordinal")
     items = catalogue(artworks, artists, upper("name"), how)
-    rows = with_sales(items, sales).withColumns(
+    bound = artworks.count()
+    narrow = bound > single_task_rows
+    rows = with_sales(items, sales, iso_dates=iso_dates)
+    if narrow:
+        rows = stage(rows, "catalogue")
+    rows = rows.withColumns(
         {
             "has_sold": F.coalesce(F.col("sale_count") > 0, F.lit(False)),
             "sale_count": F.coalesce("sale_count", F.lit(0)).cast("long"),
@@ -159,12 +172,10 @@ def artworks_transform(
             "price_tier": price_tier("list_price_usd", bounds),
         }
     )
-    bound = artworks.count()
-    if bound > single_task_rows:
-        rows = stage(rows, "catalogue")
+    to_rank = rows.select("artwork_id", "total_sales_value") if narrow else rows
     if ties == "rank":
         ranked = rank_rows(
-            rows,
+            to_rank,
             "total_sales_value",
             "sales_rank",
             row_bound=bound,
@@ -172,12 +183,14 @@ def artworks_transform(
         )
     else:
         ranked = number_rows(
-            rows,
+            to_rank,
             ["total_sales_value desc", "artwork_id"],
             "sales_rank",
             row_bound=bound,
             single_task_rows=single_task_rows,
         )
+    if narrow:
+        ranked = rows.join(ranked.select("artwork_id", "sales_rank"), "artwork_id")
     listed = ["media"] if media_lists else []
     result = (
         ranked.join(media_summary(media, lists=media_lists), "artwork_id", "left")
@@ -204,6 +217,7 @@ def artworks_by_tier(
     media: DataFrame,
     bounds: Sequence[float] = TIER_BOUNDS,
     single_task_rows: int = SINGLE_TASK_ROWS,
+    iso_dates: bool = False,
 ) -> DataFrame:
     """The variant ranked within price tiers.
 
@@ -214,7 +228,7 @@ def artworks_by_tier(
     media with sort order 1.
     """
     items = catalogue(artworks, artists, normalise_name("name"), "inner")
-    rows = with_sales(items, sales, digits=None).withColumns(
+    rows = with_sales(items, sales, digits=None, iso_dates=iso_dates).withColumns(
         {
             "has_sold": F.col("sale_count") > 0,
             "sale_count": F.coalesce("sale_count", F.lit(0)).cast("long"),
@@ -233,10 +247,11 @@ def artworks_by_tier(
         row_bound=bound,
         single_task_rows=single_task_rows,
     )
-    first = F.col("sort_order") == 1
-    images = media.groupBy("artwork_id").agg(
-        F.min(F.when(first, F.col("filename"))).alias("primary_image"),
-        F.min(F.when(first, F.col("alt_text"))).alias("primary_image_alt"),
-        F.count(F.lit(1)).alias("media_count"),
+    # all media are counted by hash; only those that may give an image are sorted
+    counts = media.groupBy("artwork_id").agg(F.count(F.lit(1)).alias("media_count"))
+    images = media.filter("sort_order = 1").groupBy("artwork_id").agg(
+        F.min("filename").alias("primary_image"), F.min("alt_text").alias("primary_image_alt")
     )
-    return ranked.join(images, "artwork_id", "left")
+    found = counts.join(images, "artwork_id", "left")
+    columns = [*ranked.columns, "primary_image", "primary_image_alt", "media_count"]
+    return ranked.join(found, "artwork_id", "left").select(*columns)

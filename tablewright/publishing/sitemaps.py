@@ -9,13 +9,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.operators.aggregates import ordered_struct_parts
-from tablewright.operators.windows import number_rows
+from tablewright.operators.windows import number_rows, running_total
+from tablewright.session import stage
 
 # Name spaces and limits of the sitemap protocol.
 SITEMAP_NAMESPACE = "http://www.sitemaps.org/schemas/sitemap/0.9"
 IMAGE_NAMESPACE = "http://www.google.com/schemas/sitemap-image/1.1"
 MAX_URLS = 50_000
 MAX_IMAGES_PER_URL = 1_000
+MAX_BYTES = 50_000_000
+
+SHARE = 1_000  # units that an entry takes of a file's ``max_urls * SHARE``, at least
+TAGS = 3  # times the bytes of an entry's JSON that its XML has at most, by its tags and escapes
 
 
 def join_url(base_url: str, path) -> Column:
@@ -63,26 +68,39 @@ def sitemap_urls(
     return df.select(*columns)
 
 
-def sitemap_shards(urls: DataFrame, max_urls: int = MAX_URLS, **kwargs) -> DataFrame:
+def sitemap_shards(
+    urls: DataFrame, max_urls: int = MAX_URLS, max_bytes: int | None = None, **kwargs
+) -> DataFrame:
     """Add ``shard``: the number of the sitemap file, from 1, in the order of loc.
 
-    No file gets more than ``max_urls`` URLs. The numbering is distributed.
+    No file gets more than ``max_urls`` URLs nor, with ``max_bytes``, more than
+    so many bytes and one entry. The numbering is distributed.
     """
     order = ["loc", *[c for c in urls.columns if c != "loc" and _sortable(urls, c)]]
     numbered = number_rows(urls, order, "__n", unique=False, **kwargs)
-    shard = (F.floor((F.col("__n") - 1) / max_urls) + 1).cast("int")
-    return numbered.withColumn("shard", shard).drop("__n")
+    if max_bytes is None:
+        shard = (F.floor((F.col("__n") - 1) / max_urls) + 1).cast("int")
+        return numbered.withColumn("shard", shard).drop("__n")
+    # an entry takes its share of URLs or of bytes, whichever is more, in whole units
+    size = F.octet_length(F.to_json(F.struct(*urls.columns))) * TAGS
+    units = F.greatest(F.lit(SHARE), F.ceil(size * F.lit(float(max_urls * SHARE) / max_bytes)))
+    weighed = stage(numbered.withColumn("__units", units.cast("long")), "sitemap-entries")
+    single = {k: v for k, v in kwargs.items() if k == "single_task_rows"}
+    places = running_total(weighed.select("__n", "__units"), "__n", {"__sum": "__units"}, **single)
+    shard = (F.floor((F.col("__sum") - F.col("__units")) / (max_urls * SHARE)) + 1).cast("int")
+    return weighed.drop("__units").join(places.select("__n", shard.alias("shard")), "__n").drop("__n")
 
 
 def _sortable(df: DataFrame, column: str) -> bool:
     return not isinstance(df.schema[column].dataType, (T.ArrayType, T.MapType, T.StructType))
 
 
-def _write(shards: DataFrame, path: str, root: str, mode: str) -> None:
+def _write(shards: DataFrame, path: str, root: str, mode: str, *order: Column) -> None:
     # one shard is at most one file's worth of rows, so it fits a task;
     # names with a prefix are right, but the name check knows no prefixes
     (
         shards.repartition("shard")
+        .sortWithinPartitions("shard", "loc", *order)
         .write.mode(mode)
         .format("xml")
         .partitionBy("shard")
@@ -143,17 +161,26 @@ def image_urls(
 
 
 def write_image_sitemaps(
-    urls: DataFrame, path: str, max_urls: int = MAX_URLS, mode: str = "overwrite", **kwargs
+    urls: DataFrame,
+    path: str,
+    max_urls: int = MAX_URLS,
+    mode: str = "overwrite",
+    max_bytes: int = MAX_BYTES,
+    **kwargs,
 ) -> DataFrame:
-    """Write the result of ``image_urls`` as image sitemaps; returns the shards."""
-    shards = sitemap_shards(urls, max_urls, **kwargs)
+    """Write the result of ``image_urls`` as image sitemaps; returns the shards.
+
+    A file is bounded by its URLs and, as an entry may hold very many images, by
+    its bytes.
+    """
+    shards = stage(sitemap_shards(urls, max_urls, max_bytes, **kwargs), "image-sitemaps")
     fields = shards.schema["images"].dataType.elementType.names
     tagged = F.transform(
         "images", lambda i: F.struct(*[i.getField(f).alias(f"image:{f}") for f in fields])
     )
     named = shards.select("loc", tagged.alias("image:image"), "shard")
     root = f'urlset xmlns="{SITEMAP_NAMESPACE}" xmlns:image="{IMAGE_NAMESPACE}"'
-    _write(named, path, root, mode)
+    _write(named, path, root, mode, F.get(F.col("image:image"), F.lit(0)))
     return shards.groupBy("shard").agg(
         F.count(F.lit(1)).alias("urls"), F.sum(F.size("images")).alias("images")
     )
@@ -166,12 +193,20 @@ def sitemap_index(shards: DataFrame, base_url: str, pattern: str = "sitemap-%05d
     return shards.select(join_url(base_url, name).alias("loc"), lastmod.alias("lastmod"))
 
 
-def write_sitemap_index(index: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write the index; it holds one entry for each sitemap file."""
+def write_sitemap_index(
+    index: DataFrame, path: str, mode: str = "overwrite", max_entries: int = MAX_URLS
+) -> None:
+    """Write the index, a folder ``index=n`` for each file of at most ``max_entries`` entries."""
+    numbered = number_rows(index, ["loc", "lastmod"], "__n", unique=False)
+    part = (F.floor((F.col("__n") - 1) / max_entries) + 1).cast("int")
     (
-        index.coalesce(1)
+        numbered.withColumn("index", part)
+        .drop("__n")
+        .repartition("index")
+        .sortWithinPartitions("index", "loc")
         .write.mode(mode)
         .format("xml")
+        .partitionBy("index")
         .option("rootTag", f'sitemapindex xmlns="{SITEMAP_NAMESPACE}"')
         .option("rowTag", "sitemap")
         .save(path)

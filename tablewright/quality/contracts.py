@@ -16,6 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.session import stage
+
 LIMITS = {
     "must_be": "=",
     "must_be_greater_than": ">",
@@ -219,9 +221,24 @@ def duplicate_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counts.agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
 
 
+def _is_scan(df: DataFrame) -> bool:
+    """Whether reading ``df`` again costs a scan of files and no more."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    nodes = [line.lstrip(" :+-") for line in plan.splitlines()]
+    return all(n.startswith(("Relation", "Project", "Filter", "LocalRelation", "Range")) for n in nodes if n)
+
+
 def run_contract(df: DataFrame, contract: Contract, now: datetime | None = None) -> DataFrame:
-    """One row for each check: check_name, value, limit, passed."""
+    """One row for each check: check_name, value, limit, passed.
+
+    All checks but those of duplicates are taken in one pass, and each of the
+    latter needs one of its own. Stored tables are scanned for each, only the
+    columns that it needs; any other input is computed once and stored before.
+    """
     single = [c for c in contract.checks if c.kind != "duplicate"]
+    passes = len(contract.checks) - len(single) + bool(single)
+    if passes > 1 and not _is_scan(df):
+        df = stage(df, "checked")
     results = []
     if single:
         metrics = df.agg(*[_metric(c, now).alias(f"m{i}") for i, c in enumerate(single)])

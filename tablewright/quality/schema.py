@@ -15,6 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.session import stage
+
 ERROR_TYPE = "struct<`column`:string,`check`:string,failure_case:string>"
 ERRORS = "_errors"
 
@@ -255,7 +257,12 @@ def invalid_rows(df: DataFrame, schema: TableSchema) -> DataFrame:
 
 
 def remove_invalid(df: DataFrame, schema: TableSchema) -> tuple[DataFrame, int]:
-    """The rows without errors, and how many were left out."""
-    table, rules, _ = _prepare(df, schema)
-    removed = table.agg(F.count_if(_any(rules))).first()[0]
-    return valid_rows(df, schema), removed
+    """The rows without errors, and how many were left out.
+
+    The input is read once: its rows are stored with a flag, and both results
+    come from there.
+    """
+    table, rules, kept = _prepare(df, schema)
+    flagged = stage(table.withColumn("__wrong", _any(rules)), "checked-rows")
+    removed = flagged.filter("__wrong").count()
+    return flagged.filter(~F.col("__wrong")).select(*kept), removed

@@ -178,10 +178,23 @@ def test_measured_artworks_give_the_same_sales(sales, artworks, artists):
     assert diff_tables(plain, measured).matches()
 
 
-def test_dates_that_are_not_iso_are_refused(sales, artworks, artists, media):
+def test_dates_are_text_unless_said_to_be_iso(sales, artworks, artists, media):
     odd = sales.withColumn("sale_date", F.concat(F.lit("on "), "sale_date"))
+    plain = plans.artworks_transform(artworks, artists, sales, media).filter("artwork_id = 101").first()
+    found = plans.artworks_transform(artworks, artists, odd, media).filter("artwork_id = 101").first()
+    assert found.first_sale_date == "on " + plain.first_sale_date
+    assert found.last_sale_date == "on " + plain.last_sale_date
+    iso = plans.artworks_transform(artworks, artists, sales, media, iso_dates=True)
+    assert diff_tables(plans.artworks_transform(artworks, artists, sales, media).drop("media"), iso.drop("media")).matches()
     with pytest.raises(Exception, match="not an ISO date"):
-        plans.artworks_transform(artworks, artists, odd, media).collect()
+        plans.artworks_transform(artworks, artists, odd, media, iso_dates=True).collect()
+
+
+def test_tiers_do_not_sort_all_media(artworks, artists, sales, media):
+    out = plans.artworks_by_tier(artworks, artists, sales, media, iso_dates=True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    counts = [line for line in plan.splitlines() if "SortAggregate" in line and "count(" in line]
+    assert not counts
 
 
 def test_media_in_parts(media, artworks, artists, sales, rows):

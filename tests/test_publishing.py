@@ -135,6 +135,20 @@ def test_image_sitemap_splits_large_pages(frame, folder, limit):
     assert sum(i.find("i:title", NS) is not None for i in images) == 7
 
 
+def test_image_sitemaps_are_bounded_by_bytes_and_the_index_by_entries(spark, folder):
+    df = spark.range(400).selectExpr("concat('p', id % 8) page", "concat(id, '.jpg') img")
+    urls = P.image_urls(df, "page", "img", "https://x.org", images_per_url=10)
+    shards = P.write_image_sitemaps(urls, folder(), max_bytes=6000, single_task_rows=5)
+    files = list(Path(folder()).rglob("part-*.xml"))
+    assert len(files) == shards.count() > 3
+    assert all(f.stat().st_size < 2 * 6000 for f in files)
+    assert sum(len(t.findall(".//i:image", NS)) for t in _trees(folder())) == 400
+    index = P.sitemap_index(shards, "https://x.org")
+    P.write_sitemap_index(index, folder("index"), max_entries=2)
+    trees = _trees(folder("index"))
+    assert all(len(t) <= 2 for t in trees) and sum(len(t) for t in trees) == len(files)
+
+
 def test_zoom_levels(frame, rows):
     sizes = [(1, 1), (256, 10), (257, 10), (512, 512), (513, 1), (1, 1 << 20), ((1 << 20) + 1, 1)]
     df = frame("w int, h int", *sizes)

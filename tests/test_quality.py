@@ -256,3 +256,28 @@ def test_warnings_report(people, orders, rows):
     assert report.count() == 6 + 2
     assert rows(K.warnings_status(report)) == [("warnings", 8)]
     assert rows(K.warnings_status(report.limit(0))) == [("clean", 0)]
+
+
+def test_plans_are_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for frame in frames:
+            seen.add(len(frame))
+            yield frame
+
+    df = spark.range(100).selectExpr("id", "id % 10 as k").mapInPandas(count, "id long, k long")
+    contract = R.Contract.from_dict(
+        {
+            "dataset": "d",
+            "columns": [{"name": "id", "checks": [{"missing": {"must_be": 0}}]}],
+            "checks": [
+                {"duplicate": {"columns": ["id"], "must_be": 0}},
+                {"duplicate": {"columns": ["k"], "must_be": 90}},
+            ],
+        }
+    )
+    assert all(r.passed for r in R.run_contract(df, contract).collect()) and seen.value == 100
+    rules = S.TableSchema("t", {"id": S.Field("bigint"), "k": S.Field("bigint", gt=0)})
+    clean, removed = S.remove_invalid(df, rules)
+    assert (clean.count(), removed, seen.value) == (90, 10, 200)
