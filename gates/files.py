@@ -109,6 +109,32 @@ def s7_xml_source(t):
     )
 
 
+@query(
+    """
+    SELECT CAST(p_partkey AS VARCHAR) AS id,
+           '[{"kind":"' || p_type || '","size":"' || CAST(p_size AS VARCHAR) || '"'
+             || CASE WHEN p_size % 2 = 0 THEN ',"brand":"' || p_brand || '"' ELSE '' END
+             || ',"value":"' || p_name || '"}]' AS bodies
+    FROM part
+    """
+)
+def s7_xml_nested_in_full(t):
+    body = F.struct(
+        F.col("p_type").alias("_kind"),
+        F.array(F.lit(-1), F.col("p_size")).alias("size"),  # the last of repeated children counts
+        F.when(F.col("p_size") % 2 == 0, F.col("p_brand")).alias("brand"),
+        F.col("p_name").alias("_VALUE"),
+    )
+    path = fresh_path(t.spark, "xml")
+    records = t.part.select(F.struct(F.col("p_partkey").alias("_id"), body.alias("body")).alias("item"))
+    records.write.format("xml").option("rootTag", "parts").option("rowTag", "part").save(path)
+    bodies = R.read_xml(t.spark, path, "part/item", {"id": "./@id"}, {"bodies": ("./body", None)})
+    parts = F.from_json("bodies", "array<map<string,string>>")[0]
+    keys = [F.when(F.map_contains_key(parts, k), F.concat(F.lit(f'"{k}":"'), parts[k], F.lit('"')))
+            for k in ("kind", "size", "brand", "value")]
+    return bodies.select("id", F.concat(F.lit("[{"), F.concat_ws(",", *keys), F.lit("}]")).alias("bodies"))
+
+
 @query(
     """
     SELECT doc_id, lang, CAST(n_chars AS VARCHAR) AS size, source, text FROM documents

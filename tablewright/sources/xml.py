@@ -99,21 +99,29 @@ def _value(path: _Path, root: _Node, record) -> Column:
 def _nested(path: _Path, keys: Sequence[str], root: _Node, record) -> Column:
     node = root.child(path.steps)
 
+    def entry(name: str, value: Column, there: Column) -> Column:
+        return F.struct(F.lit(name).alias("key"), value.alias("value"), there.alias("there"))
+
     def item(element: Column) -> Column:
-        parts = []
+        entries = []
         for key in keys:
             if key == "value":
                 trimmed = F.btrim(node.text(element))
-                parts.append(F.when(trimmed != "", trimmed).alias("value"))
+                entries.append(entry("value", trimmed, F.coalesce(trimmed != "", F.lit(False))))
             elif key.startswith("@"):
-                parts.append(element.getField(_ATTRIBUTE + key[1:]).alias(key[1:]))
+                value = element.getField(_ATTRIBUTE + key[1:])
+                entries.append(entry(key[1:], value, value.isNotNull()))
             else:
-                child = F.get(element.getField(key), F.lit(0))
-                parts.append(node.children[key].text(child).alias(key))
-        return F.struct(*parts)
+                children = F.coalesce(element.getField(key), F.array())
+                last = F.get(children, F.size(children) - 1)
+                text = F.nullif(node.children[key].text(last), F.lit(""))
+                entries.append(entry(key, text, F.size(children) > 0))
+        there = F.filter(F.array(*entries), lambda e: e["there"])
+        return F.map_from_entries(F.transform(there, lambda e: F.struct(e["key"], e["value"])))
 
     found = _elements(record, path.steps)
-    return F.when(F.size(found) > 0, F.to_json(F.transform(found, item)))
+    listed = F.to_json(F.transform(found, item), {"ignoreNullFields": "false"})
+    return F.when(F.size(found) > 0, listed)
 
 
 def _plan(fields: Mapping[str, str], nested: Mapping[str, tuple[str, Sequence[str]]]):
@@ -149,21 +157,46 @@ def read_xml(
     path: str,
     record_tag: str,
     fields: Mapping[str, str],
-    nested: Mapping[str, tuple[str, Sequence[str]]] | None = None,
+    nested: Mapping[str, tuple[str, Sequence[str] | None]] | None = None,
     **options,
 ) -> DataFrame:
     """One row for each ``record_tag`` element of the files at ``path``.
 
     ``nested`` maps names to ``(path, keys)``: ``@type`` takes an attribute,
-    ``value`` the text of the element and any other key the text of a child. A
-    record inside a record of the same tag belongs to the outer one.
+    ``value`` the text of the element and any other key the text of a child, the
+    last one if it is repeated; what an element does not have is left out, and an
+    empty child is null. ``None`` for the keys takes all attributes and children,
+    which are found by one more pass over the files. A record inside a record of
+    the same tag belongs to the outer one.
+
+    A ``record_tag`` of several steps, ``list/item``, takes only records at that
+    path. Then one element of the first step is read at a time, so that should
+    not be one that holds a whole file.
     """
-    root, paths, lists, schema = _plan(fields, nested or {})
+    nested = {
+        name: (text, _all_keys(spark, path, text, options) if keys is None else keys)
+        for name, (text, keys) in (nested or {}).items()
+    }
+    root, paths, lists, schema = _plan(fields, nested)
+    outer, *steps = [s.rpartition(":")[2] for s in record_tag.strip("/").split("/")]
+    for step in reversed(steps):
+        schema = T.StructType([T.StructField(step, T.ArrayType(schema))])
     reader = spark.read.format("xml").schema(schema).options(**_OPTIONS)
-    df = reader.option("rowTag", record_tag).options(**options).load(path)
+    df = reader.option("rowTag", outer).options(**options).load(path)
+    for step in steps:
+        df = df.select(F.inline(step))
     return df.select(*_project(root, paths, lists, F.col))
 
 
+def _all_keys(spark: SparkSession, path: str, element_path: str, options: Mapping) -> list[str]:
+    """Keys of everything that the elements at a path have, from their inferred schema."""
+    tag = _Path.parse(element_path).steps[-1]
+    reader = spark.read.format("xml").options(**_OPTIONS).option("inferSchema", False)
+    names = reader.option("rowTag", tag).options(**options).load(path).schema.names
+    keys = ["@" + n.removeprefix(_ATTRIBUTE) for n in names if n.startswith(_ATTRIBUTE) and n != _TEXT]
+    return [*keys, *(n for n in names if not n.startswith(_ATTRIBUTE)), "value"]
+
+
 def parse_xml_column(
     df: DataFrame,
     column: str,

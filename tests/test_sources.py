@@ -205,3 +205,21 @@ def test_xml_column(frame, rows):
     cells = [("<PLANT id=" + r.split("</c:CATALOG>")[0],) for r in records]
     df = R.parse_xml_column(frame("xml string", *cells), "xml", FIELDS, NESTED)
     assert rows(df.drop("xml")) == EXPECTED
+
+
+ITEMS = """<?xml version="1.0"?>
+<all><list><rec><i t="a" u="b"><n>1</n><n>2</n><z>q</z><e/> txt </i><i v="c"/></rec></list>
+<list><rec><i><n>3</n></i></rec></list><other><rec><i t="x"/></rec></other></all>
+"""
+
+
+def test_nested_elements_in_full(spark, folder):
+    Path(folder()).write_text(ITEMS)
+    found = [json.loads(r.i) for r in R.read_xml(spark, folder(), "rec", {}, {"i": ("./i", None)}).collect()]
+    assert found == [
+        [{"t": "a", "u": "b", "n": "2", "z": "q", "e": None, "value": "txt"}, {"v": "c"}],
+        [{"n": "3"}],
+        [{"t": "x"}],
+    ]
+    at_path = R.read_xml(spark, folder(), "list/rec", {}, {"i": ("./i", ["n"])}).collect()
+    assert [json.loads(r.i) for r in at_path] == [[{"n": "2"}, {}], [{"n": "3"}]]
