@@ -399,6 +399,54 @@ def a14_ordered_list(t):
     return lists.select("conv_id", F.array_join("roles", ">").alias("roles"))
 
 
+_NUMBERED_SUPPLIERS = """
+    SELECT *, CASE WHEN s_acctbal > 0 THEN s_name END AS name,
+           row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1 AS n,
+           row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal DESC, s_suppkey) - 1 AS m
+    FROM supplier
+    """
+
+
+@query(
+    f"""
+    SELECT s_nationkey, CAST(floor(n / 4) AS BIGINT) AS part, len(list(name)) AS n,
+           array_to_string(list(name ORDER BY s_suppkey), ',') AS names
+    FROM ({_NUMBERED_SUPPLIERS}) GROUP BY s_nationkey, floor(n / 4)
+    """
+)
+def a6_implode_in_parts(t):
+    name = F.when(F.col("s_acctbal") > 0, F.col("s_name"))
+    rows = t.supplier.select("s_nationkey", "s_suppkey", name.alias("name"))
+    parts = A.list_parts(rows, "s_nationkey", "name", ["s_suppkey"], "names", part_rows=4)
+    return parts.select(
+        "s_nationkey", "part", F.size("names").cast("long").alias("n"), F.array_join("names", ",").alias("names")
+    )
+
+
+@query(
+    f"""
+    SELECT s_nationkey, CAST(floor(m / 4) AS BIGINT) AS part,
+           string_agg(s_name, ', ' ORDER BY s_acctbal DESC, s_suppkey) AS names
+    FROM ({_NUMBERED_SUPPLIERS}) GROUP BY s_nationkey, floor(m / 4)
+    """
+)
+def a13_ordered_text_in_parts(t):
+    order = ["s_acctbal desc", "s_suppkey"]
+    return A.text_parts(t.supplier, "s_nationkey", "s_name", order, "names", part_rows=4, single_task_rows=10)
+
+
+@query(
+    """
+    SELECT conv_id, CAST(floor(turn / 3) AS BIGINT) AS part,
+           array_to_string(list(role ORDER BY turn), '>') AS roles
+    FROM conversations GROUP BY conv_id, floor(turn / 3)
+    """
+)
+def a14_ordered_list_in_parts(t):
+    parts = A.list_parts(t.conversations, "conv_id", "role", ["turn"], "roles", part_rows=3)
+    return parts.select("conv_id", "part", F.array_join("roles", ">").alias("roles"))
+
+
 # --- windows ---------------------------------------------------------------
 
 

@@ -105,13 +105,50 @@ def ordered_struct_parts(
     any size stays whole without ever being one cell or one task. ``order_by``
     must end in a unique column.
     """
+    return _in_parts(df, keys, order_by, F.struct(*fields), target, part_rows, kwargs)
+
+
+def _in_parts(df, keys, order_by, item: Column, target, part_rows, options) -> DataFrame:
     keys = _keys(keys)
-    numbered = number_rows(df, order_by, "__position", keys, **kwargs)
+    numbered = number_rows(df, order_by, "__position", keys, **options)
     part = F.floor((F.col("__position") - 1) / part_rows).cast("long")
-    items = sorted_items(F.col("__position"), F.struct(*fields))
+    items = sorted_items(F.col("__position"), item)
     return numbered.withColumn("part", part).groupBy(*keys, "part").agg(items.alias(target))
 
 
+def list_parts(
+    df: DataFrame,
+    keys: str | Sequence[str],
+    column: str,
+    order_by: Sequence[str],
+    target: str,
+    part_rows: int = 10_000,
+    **kwargs,
+) -> DataFrame:
+    """Like ``implode`` and ``ordered_list``, in parts as in ``ordered_struct_parts``."""
+    return _in_parts(df, keys, order_by, F.col(column), target, part_rows, kwargs)
+
+
+def text_parts(
+    df: DataFrame,
+    keys: str | Sequence[str],
+    column: str,
+    order_by: Sequence[str],
+    target: str,
+    sep: str = ", ",
+    part_rows: int = 10_000,
+    **kwargs,
+) -> DataFrame:
+    """Like ``ordered_text``, in parts: the parts of a group, joined by ``sep``, are its text.
+
+    Null values are left out; a part that has no others is null.
+    """
+    lists = list_parts(df, keys, column, order_by, "__items", part_rows, **kwargs)
+    there = F.filter("__items", lambda x: x.isNotNull())
+    text = F.when(F.size(there) > 0, F.array_join(there, sep))
+    return lists.select(*_keys(keys), "part", text.alias(target))
+
+
 def first_where(
     df: DataFrame,
     keys: str | Sequence[str],
