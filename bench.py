@@ -47,9 +47,6 @@ def main() -> None:
         spark_sql_shuffle_partitions=cpus,
         spark_ui_enabled="false",
         spark_driver_memory="16g",
-        # each test file is one row group, so one task reads it; a local shuffle
-        # read would keep the rest of the plan in that one task as well
-        spark_sql_adaptive_localShuffleReader_enabled="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
 

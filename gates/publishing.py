@@ -179,35 +179,37 @@ def _tiles(t):
     )
 
 
+# the whole document, with @n for the image's address and @w for its size
+_MANIFEST = (
+    '{"@context":"http://iiif.io/api/presentation/3/context.json","id":"@n/manifest.json",'
+    '"type":"Manifest","label":{"en":["@t"]},'
+    '"metadata":[{"label":{"en":["Artist"]},"value":{"en":["@a"]}}],'
+    '"items":[{"id":"@n/canvas","type":"Canvas",@w,'
+    '"items":[{"id":"@n/page","type":"AnnotationPage",'
+    '"items":[{"id":"@n/annotation","type":"Annotation","motivation":"painting",'
+    '"body":{"id":"@n/full/max/0/default.jpg","type":"Image","format":"image/jpeg",'
+    '"service":[{"id":"@n","type":"ImageService3","profile":"level2",@w}],@w},'
+    '"target":"@n/canvas"}]}]}]}'
+)
+
+
 @query(
-    """
-    SELECT id, 'https://example.org/iiif/' || id || '/manifest.json' AS url, title, artist, width,
-           target
-    FROM (SELECT p_partkey AS id, CAST(p_partkey * 7 + 1 AS INTEGER) AS width,
-                 coalesce(s_name, 'Artwork ' || p_partkey) AS title,
-                 coalesce(CAST(s_nationkey AS VARCHAR), 'Unknown') AS artist,
-                 'https://example.org/iiif/' || p_partkey || '/canvas' AS target
-          FROM part LEFT JOIN supplier ON p_partkey = s_suppkey)
+    f"""
+    SELECT p_partkey AS id,
+           replace(replace(replace(replace('{_MANIFEST}',
+             '@n', 'https://example.org/iiif/' || p_partkey),
+             '@w', '"width":' || (p_partkey * 7 + 1) || ',"height":' || (p_size * 300)),
+             '@t', coalesce(s_name, 'Artwork ' || p_partkey)),
+             '@a', coalesce(CAST(s_nationkey AS VARCHAR), 'Unknown')) AS manifest
+    FROM part LEFT JOIN supplier ON p_partkey = s_suppkey
     """
 )
 def x8_image_manifests(t):
     metadata = t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("title"), "s_nationkey")
-    manifests = P.image_manifests(
+    return P.image_manifests(
         _tiles(t), metadata, "id", "https://example.org/iiif/", labels={"Artist": "s_nationkey"}
     )
 
-    def at(path):
-        return F.get_json_object("manifest", path)
-
-    return manifests.select(
-        "id",
-        at("$.id").alias("url"),
-        at("$.label.en[0]").alias("title"),
-        at("$.metadata[0].value.en[0]").alias("artist"),
-        at("$.items[0].items[0].items[0].body.service[0].width").cast("int").alias("width"),
-        at("$.items[0].items[0].items[0].target").alias("target"),
-    )
-
 
 @query(
     """

@@ -44,6 +44,9 @@ def build_session(app_name: str = "tablewright", master: str | None = None, **co
     return builder.getOrCreate()
 
 
+_OWN_FOLDERS: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by the session.
 
@@ -55,9 +58,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder for staged tables")
-    own = tempfile.mkdtemp(prefix="tablewright-stage-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    application = spark.sparkContext.applicationId
+    if application not in _OWN_FOLDERS:  # the setting itself is fixed when a session starts
+        _OWN_FOLDERS[application] = tempfile.mkdtemp(prefix="tablewright-stage-")
+    return _OWN_FOLDERS[application]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -76,3 +80,14 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete every table that this application has staged.
+
+    For a long-lived session between two runs: DataFrames that read a staged
+    table cannot be used any more.
+    """
+    path = f"{checkpoint_dir(spark)}/{spark.sparkContext.applicationId}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -223,3 +223,20 @@ def test_nested_elements_in_full(spark, folder):
     ]
     at_path = R.read_xml(spark, folder(), "list/rec", {}, {"i": ("./i", ["n"])}).collect()
     assert [json.loads(r.i) for r in at_path] == [[{"n": "2"}, {}], [{"n": "3"}]]
+
+
+def test_staged_tables_can_be_dropped(spark, tmp_path, monkeypatch):
+    from tablewright import session
+
+    monkeypatch.setattr(session, "checkpoint_dir", lambda _: str(tmp_path))
+    assert session.stage(spark.range(5).toDF("i")).count() == 5 and list(tmp_path.iterdir())
+    session.drop_stages(spark)
+    assert not list(tmp_path.iterdir())
+
+
+def test_a_local_session_without_a_shared_folder_gets_one(spark, monkeypatch):
+    from tablewright import session
+
+    monkeypatch.setattr(type(spark.conf), "get", lambda *_: None)
+    first = session.checkpoint_dir(spark)
+    assert Path(first).is_dir() and session.checkpoint_dir(spark) == first
