@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import os
+import time
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..session import stage
 
-__all__ = ["documents", "find_package", "identity", "labels", "map_batches", "slices", "stage", "table", "text_bytes", "word_count"]
+__all__ = ["documents", "find_package", "identity", "labels", "map_batches", "slices", "stage", "stage_and_free", "table", "text_bytes", "word_count"]
 
 # A word is a run of anything but these six ASCII characters. ``bytes.split()``
 # splits at exactly the same ones.
@@ -32,6 +34,25 @@ def find_package(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([*filter(None, known), root])
 
 
+def stage_and_free(df: DataFrame, label: str) -> DataFrame:
+    """``stage``, after which the shuffle files that ``df`` was made from may go.
+
+    Nothing needs them any more, but Spark deletes them only when the driver
+    collects the objects that stand for them, first in Python and then in the
+    JVM, which may be long after. Both are asked to do so, a moment later, as
+    Spark's listeners hold a query until they have heard of its end; no result
+    depends on whether they do.
+    """
+    made = stage(df, label)
+    jvm = df.sparkSession.sparkContext._jvm
+    del df
+    for _ in range(2):
+        time.sleep(1)
+        gc.collect()
+        jvm.System.gc()
+    return made
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

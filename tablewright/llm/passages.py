@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import map_batches, stage, text_bytes
+from .common import map_batches, stage_and_free, text_bytes
 
 PERIOD = 13
 COVER = (0, 1, 3, 9)  # all differences modulo 13 occur among these
@@ -139,7 +139,7 @@ def _shared_anchors(docs: DataFrame, window: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(tag[shared]), pa.array(h[shared])], ["tag", "h"])
             held = (kind[-1], h[-1], tag[-1], bool(shared[-1]))
 
-    return dealt.mapInArrow(repeated, "tag int, h long")
+    return stage_and_free(dealt.mapInArrow(repeated, "tag int, h long"), "shared-anchors")
 
 
 def _copies(docs: DataFrame) -> DataFrame:
@@ -208,7 +208,7 @@ def dedup_passages(
                     continue
                 body = batch.column("text")[i].as_py() or ""
                 words = body.encode().split()
-                row = batch.column("key")[i].as_py(), r1[i], len(words)
+                row = batch.column("key")[i].as_py(), tags[i], len(words)
                 if len(words) >= window and r1[i] in copied:
                     out.closed(row, len(words), render([]))
                 elif len(words) >= window and known and len(starts := _beside(words, known, window)):
@@ -220,7 +220,7 @@ def dedup_passages(
         if out.rows:
             yield out.flush()
 
-    judged = stage(dealt.mapInArrow(judge, _Judged.schema.format(kind)), "passages")
+    judged = stage_and_free(dealt.mapInArrow(judge, _Judged.schema.format(kind)), "passages")
     return _settle(judged, window, render, kind, arrow_key).withColumnRenamed("key", key)
 
 
@@ -241,11 +241,11 @@ class _Judged:
     only the first has to travel, and the places of the others go to ``late``.
     """
 
-    schema = "key {}, r1 long, n_words long, n_removed long, kept binary, text string, w array<long>, x array<long>, late binary"
-    names = ["key", "r1", "n_words", "n_removed", "kept", "text", "w", "x", "late"]
+    schema = "key {}, tag int, n_words long, n_removed long, kept binary, text string, w array<long>, x array<long>, late binary"
+    names = ["key", "tag", "n_words", "n_removed", "kept", "text", "w", "x", "late"]
 
     def __init__(self, arrow_key: pa.DataType):
-        self.types = [arrow_key, *[pa.int64()] * 3, pa.binary(), pa.string(), *[pa.list_(pa.int64())] * 2, pa.binary()]
+        self.types = [arrow_key, pa.int32(), *[pa.int64()] * 2, pa.binary(), pa.string(), *[pa.list_(pa.int64())] * 2, pa.binary()]
         self._clear()
 
     def _clear(self):
@@ -311,59 +311,62 @@ def _settle(judged: DataFrame, window: int, render, kind: str, arrow_key: pa.Dat
     """Open rows lose the words of every window that is not the first of its hash."""
     clear = judged.filter("text is null").select("key", "n_words", "n_removed", "kept")
     opened = judged.filter("text is not null")
-    listed = opened.select("key", "r1", F.explode(F.arrays_zip("w", "x")).alias("z")).select(
-        "key", "r1", F.col("z.w").alias("w"), F.shiftrightunsigned("z.x", 32).alias("top"),
-        F.col("z.x").bitwiseAND(F.lit(0xFFFFFFFF).cast("long")).alias("place"),
-    )
-    dealt = listed.repartition("w").sortWithinPartitions("w", "top", F.asc_nulls_last("key"), "place")
+    listed = opened.select("key", "tag", F.explode(F.arrays_zip("w", "x")).alias("z")).select("key", "tag", "z.w", "z.x")
+    top, place = F.shiftrightunsigned("x", 32), F.col("x").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
+    dealt = listed.repartition("w").sortWithinPartitions("w", top, F.asc_nulls_last("key"), place)
 
     def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = None  # the head of the run that the last batch ended in
         for batch in batches:
             if first is not None:
                 batch = pa.concat_batches([first, batch])
-            w, top, place = (batch.column(c).to_numpy() for c in ("w", "top", "place"))
+            w, x = (batch.column(c).to_numpy().view(np.uint64) for c in ("w", "x"))
+            top, place = x >> np.uint64(32), (x & np.uint64(0xFFFFFFFF)).astype(np.int32)
             start = np.append(True, (w[1:] != w[:-1]) | (top[1:] != top[:-1]))[: len(w)]
             head = np.maximum.accumulate(np.where(start, np.arange(len(w)), 0))
             if len(w):
                 level = _levels(batch.column("key"))
                 late = (level != level[head]) | (place != place[head])
-                yield batch.select(["key", "r1", "place"]).filter(pa.array(late))
+                columns = [batch.column("key"), batch.column("tag"), pa.array(place)]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "tag", "place"]).filter(pa.array(late))
                 first = batch.slice(int(head[-1]), 1)
 
-    gone = dealt.mapInArrow(later, f"key {kind}, r1 long, place long")
+    gone = dealt.mapInArrow(later, f"key {kind}, tag int, place int")
     nothing = F.lit(None)
     parts = gone.select(
-        "key", "r1", F.lit(0).alias("kind"), "place", nothing.cast("binary").alias("late"), nothing.cast("string").alias("text")
-    ).union(opened.select("key", "r1", F.lit(1), nothing.cast("long"), "late", "text"))
+        "key", "tag", F.lit(0).alias("kind"), "place", nothing.cast("binary").alias("late"), nothing.cast("string").alias("text")
+    ).union(opened.select("key", "tag", F.lit(1), nothing.cast("int"), "late", "text"))
     # the places of a row come before the row itself
-    regrouped = parts.repartition("r1", "key").sortWithinPartitions("r1", "key", "kind")
+    regrouped = parts.repartition("tag", "key").sortWithinPartitions("tag", "key", "kind")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
         for batch in batches:
-            kinds, r1 = batch.column("kind").to_numpy(), batch.column("r1").to_numpy()
+            kinds, tags, keys = (batch.column(c) for c in ("kind", "tag", "key"))
+            rows = list(zip(tags.to_pylist(), keys.to_pylist(), strict=True))
             place = batch.column("place").fill_null(0).to_numpy()
-            out, start = [], 0
-            for i in [*np.flatnonzero(kinds == 1).tolist(), len(kinds)]:
-                if i > start:
-                    if r1[i - 1] != at:
-                        at, held = r1[i - 1], []
-                    held.append(place[start:i][r1[start:i] == at])
-                start = i + 1
-                if i == len(kinds):
+            out, first = [], 0
+            for i in [*np.flatnonzero(kinds.to_numpy() == 1).tolist(), len(rows)]:
+                if i > first:  # places, of the row at i or, at the end of a batch, of one in the next
+                    if rows[i - 1] != at:
+                        at, held = rows[i - 1], []
+                    while rows[first] != at:
+                        first += 1
+                    held.append(place[first:i])
+                first = i + 1
+                if i == len(rows):
                     break
-                if r1[i] != at:
-                    at, held = r1[i], []
+                if rows[i] != at:
+                    at, held = rows[i], []
                 words = batch.column("text")[i].as_py().encode().split()
-                late = np.frombuffer(batch.column("late")[i].as_py(), "<i4").astype(np.int64)
+                late = np.frombuffer(batch.column("late")[i].as_py(), "<i4")
                 starts = np.unique(np.concatenate([late, *held]))
                 edge = np.zeros(len(words) + 1, np.int64)
                 edge[starts] += 1
                 edge[starts + window] -= 1
                 gone = np.cumsum(edge)[:-1] > 0
                 kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
-                out.append((batch.column("key")[i].as_py(), len(words), int(gone.sum()), render(kept)))
+                out.append((at[1], len(words), int(gone.sum()), render(kept)))
             if out:
                 types = [arrow_key, pa.int64(), pa.int64(), pa.binary()]
                 columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
