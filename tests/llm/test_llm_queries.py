@@ -56,6 +56,38 @@ def test_pipeline_stages(spark):
     assert sum(r.length for r in pieces if r.start == 0 and r.length == r.doc_tokens) <= sum(r.doc_tokens for r in pieces)
 
 
+def test_pipeline_against_plain_python(spark):
+    """Line dedup, near-dedup, mixing and packing, each on all that the stage before it kept."""
+    from test_text_operators import plain_components, plain_fingerprint, plain_lines
+
+    from tablewright.llm import mixing, packing
+    from tablewright.llm.queries import token_file
+
+    docs = stage(corpus_pipeline.classify(spark, spark.read.parquet(f"{SMALL}/documents.parquet"), SMALL))
+    rows = [(r.doc_id, r.text, r.source) for r in docs.collect()]
+    docs = stage(corpus_pipeline.drop_shared_lines(spark, docs, SMALL))
+    want = {doc: text for doc, text, _, _ in plain_lines(rows, 10)}
+    assert {r.doc_id: r.text for r in docs.collect()} == want
+    assert all(r.n_chars == len(r.text) for r in docs.collect())
+
+    order = sorted(want)
+    roots = plain_components([plain_fingerprint(want[d]) for d in order], 2)
+    docs = stage(corpus_pipeline.drop_near_copies(spark, docs, SMALL))
+    assert sorted(r.doc_id for r in docs.collect()) == sorted({order[r] for r in roots})
+
+    copies = {r.doc_id: r.copies for r in mixing.taken(docs).collect() if r.copies}
+    docs = stage(corpus_pipeline.mix_sources(spark, docs, SMALL))
+    assert Counter(r.doc_id for r in docs.collect()) == copies
+
+    encode, tokens = packing.tokenizer(token_file()), Counter()
+    for doc, times in copies.items():
+        tokens[doc] = times * (len(encode.encode(want[doc], add_special_tokens=False).ids) + 1)
+    found = Counter()
+    for r in corpus_pipeline.pack(spark, docs, SMALL).collect():
+        found[r.doc_id] += r.length
+    assert found == tokens
+
+
 def test_pipeline_keeps_clean_documents(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     labels = spark.read.parquet(f"{SMALL}/labels.parquet")
