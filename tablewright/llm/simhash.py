@@ -8,6 +8,10 @@ guaranteed minimum. (Lists of a single byte would each hold 1/256 of all
 fingerprints, and tallying over them would emit a number of pairs that grows
 with the square of the corpus.) Within a list only the other ``max_bits`` bytes
 are free, so it never holds more than 256 ** max_bits distinct fingerprints.
+
+At 2 bits of 64 few copies with changed words are linked. ``keep_dissimilar``
+looks for those: fingerprints of 64 bytes over five words, an index of pairs of
+positions, a tally of shared bytes, and candidates verified on their texts.
 """
 
 from __future__ import annotations
@@ -27,6 +31,12 @@ from .components import connected_components
 SEED = 42
 FEW = 256  # lists up to this length are compared pair by pair
 
+# Near copies by similarity: bytes of a fingerprint, pairs of positions that are
+# indexed, bytes that candidates share, rows of a list that a row is tallied with,
+# and partners up to which a list gives all pairs. At a Jaccard similarity of 0.8
+# a byte is shared with a probability of 0.27, 17 of 64 on average.
+WIDE, CHOICES, SHARED, NEXT, PARTNERS = 64, 48, 8, 2048, 8
+
 
 def fingerprint(text: bytes, words: int = 3) -> int:
     """SimHash of the word shingles of a text, ASCII letters lower-cased.
@@ -179,10 +189,224 @@ def keep_one(docs: DataFrame, max_bits: int = 2, words: int = 3, text: str = "te
     among rows of one key the identity of key and text decides, and of rows that
     agree in both one stays.
     """
-    found = near_duplicates(docs, max_bits, words, text, key)
+    return _leaders(docs, near_duplicates(docs, max_bits, words, text, key), text, key)
+
+
+def _leaders(docs: DataFrame, found: DataFrame, text: str, key: str) -> DataFrame:
     first = F.min(F.struct(F.col(key).isNull(), F.col(key), "r1", "r2")).alias("first")
     lead = found.groupBy("root").agg(first).select(F.col("first.r1").alias("__r1"), F.col("first.r2").alias("__r2"))
     r1, r2 = identity(key, text)
     kept = docs.withColumns({"__r1": r1, "__r2": r2}).join(lead, ["__r1", "__r2"], "left_semi")
     same = Window.partitionBy("__r1", "__r2").orderBy("__r1")
     return kept.withColumn("__n", F.row_number().over(same)).filter("__n = 1").select(*docs.columns)
+
+
+def _shingles(text: bytes, words: int = 5) -> np.ndarray:
+    """The hashes of a text's distinct word shingles, ascending, ASCII letters lower-cased; none without words."""
+    found = text.lower().split()
+    if not found:
+        return np.empty(0, np.uint64)
+    flat = b" ".join(found)
+    size = min(words, len(found))
+    lengths = np.fromiter(map(len, found), np.int64, len(found)) + 1
+    ends = np.cumsum(lengths)
+    starts = (ends - lengths)[: len(found) - size + 1].tolist()
+    stops = (ends - 1)[size - 1 :].tolist()
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(flat[i:j], SEED) for i, j in zip(starts, stops, strict=True)], np.uint64))
+
+
+def _wide(hashes: np.ndarray) -> bytes:
+    """SimHash of ``WIDE`` bytes of distinct shingles; of a tied bit the least hash decides."""
+    if not len(hashes):
+        return bytes(WIDE)
+    counts = np.zeros(8 * WIDE, np.int64)
+    salts = (np.arange(1, WIDE // 8 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[None, :]
+    for at in range(0, len(hashes), 255):  # a block's counts fit a byte
+        mixed = hashes[at : at + 255, None] + salts
+        mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        mixed ^= mixed >> np.uint64(31)
+        bits = np.unpackbits(mixed.view(np.uint8), axis=1)
+        least = bits[0] if not at else least
+        counts += bits.sum(axis=0, dtype=np.uint8)
+    return np.packbits(2 * counts + least > len(hashes)).tobytes()
+
+
+def _choices() -> np.ndarray:
+    """``CHOICES`` pairs of the byte positions, each position in as many as any other, or one more."""
+    dice, pairs = np.random.default_rng(SEED), []
+    while len(pairs) < CHOICES:
+        drawn = [tuple(sorted(p)) for p in dice.permutation(WIDE).reshape(-1, 2).tolist()]
+        pairs += [p for p in drawn if p not in pairs]
+    return np.array(pairs[:CHOICES])
+
+
+def wide_prints(docs: DataFrame, words: int = 5, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(key, node, fp, r1, r2): ``node``, 64 bits, stands for the set of a text's shingles, ``fp`` is its wide fingerprint."""
+
+    def of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [_shingles(t, words) for t in text_bytes(batch.column("text"))]
+        nodes = np.array([xxhash.xxh64_intdigest(h.tobytes(), SEED) for h in found], np.uint64)
+        prints = pa.array([_wide(h) for h in found], pa.binary())
+        columns = [batch.column("key"), pa.array(nodes.view(np.int64)), prints, batch.column("r1"), batch.column("r2")]
+        return pa.RecordBatch.from_arrays(columns, ["key", "node", "fp", "r1", "r2"])
+
+    kind = docs.schema[key].dataType.simpleString()
+    r1, r2 = identity(key, text)
+    narrow = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), r1.alias("r1"), r2.alias("r2"))
+    return map_batches(narrow, of, f"key {kind}, node long, fp binary, r1 long, r2 long")
+
+
+def _forest(count: int, a: np.ndarray, b: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """Which of the edges (a, b) are in the minimum spanning forest of nodes 0 to ``count`` - 1."""
+    order = np.argsort(far, kind="stable")
+    a, b, taken = a[order], b[order], np.zeros(len(far), bool)
+    tree = np.arange(count)
+    rank = np.arange(len(far))
+    while len(rank):
+        ta, tb = tree[a[rank]], tree[b[rank]]
+        apart = ta != tb
+        rank, ta, tb = rank[apart], ta[apart], tb[apart]
+        best = np.full(count, len(far))
+        np.minimum.at(best, ta, rank)
+        np.minimum.at(best, tb, rank)
+        joined = np.flatnonzero(best < len(far))
+        taken[best[joined]] = True
+        parent = np.arange(count)
+        parent[joined] = tree[a[best[joined]]] + tree[b[best[joined]]] - joined
+        mutual = joined[(parent[parent[joined]] == joined) & (joined < parent[joined])]
+        parent[mutual] = mutual
+        while (parent != parent[parent]).any():
+            parent = parent[parent]
+        tree = parent[tree]
+    made = np.zeros(len(far), bool)
+    made[order] = taken
+    return made
+
+
+def _pairs(lists: np.ndarray, nodes: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, far) of nodes in one list that share ``SHARED`` bytes, rows being ordered by list.
+
+    Nodes with more than ``PARTNERS`` partners keep those that the list's
+    minimum spanning forest needs, so a list of n gives O(n) pairs.
+    """
+    made, at = [], np.arange(len(lists))
+    for step in range(1, NEXT + 1):
+        at = at[at < len(lists) - step]
+        at = at[lists[at] == lists[at + step]]
+        if not len(at):
+            break
+        differ = prints[at] ^ prints[at + step]
+        tally = (differ.view(np.uint8) == 0).sum(axis=1)
+        near = tally >= SHARED
+        made.append((at[near], at[near] + step, np.bitwise_count(differ[near]).sum(axis=1, dtype=np.int64)))
+    if not made:
+        return (np.empty(0, np.int64),) * 3
+    a, b, far = (np.concatenate([m[k] for m in made]) for k in range(3))
+    partners = np.bincount(np.concatenate([a, b]), minlength=len(lists))
+    kept = ((partners[a] <= PARTNERS) & (partners[b] <= PARTNERS)) | _forest(len(lists), a, b, far)
+    a, b = nodes[a[kept]], nodes[b[kept]]
+    return np.minimum(a, b), np.maximum(a, b), far[kept]
+
+
+def candidates(prints: DataFrame) -> DataFrame:
+    """(a, b, far): nodes whose wide fingerprints share enough bytes, and the bits that they differ in.
+
+    ``prints`` holds distinct nodes. A posting list stands for two positions and
+    their bytes. A row is tallied with the next ``NEXT`` of its list, all of a
+    list up to that size; longer ones are ordered by further bytes.
+    """
+    chosen = _choices()
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            prints = np.frombuffer(b"".join(batch.column("fp").to_pylist()), np.uint8).reshape(-1, WIDE)
+            lists = (np.arange(CHOICES) << 16) + prints[:, chosen[:, 0]] * np.int64(256) + prints[:, chosen[:, 1]]
+            of = pa.array(np.repeat(np.arange(len(prints)), CHOICES))
+            columns = [pa.array(lists.ravel().astype(np.int32)), batch.column("node").take(of), batch.column("fp").take(of)]
+            yield pa.RecordBatch.from_arrays(columns, ["list", "node", "fp"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists, nodes = np.empty(0, np.int32), np.empty(0, np.int64)
+        prints = np.empty((0, WIDE // 8), np.uint64)
+
+        def out(upto: int) -> pa.RecordBatch:
+            made = _pairs(lists[:upto], nodes[:upto], prints[:upto])
+            return pa.RecordBatch.from_arrays([pa.array(m) for m in made], ["a", "b", "far"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            more = np.frombuffer(b"".join(batch.column("fp").to_pylist()), np.uint64).reshape(-1, WIDE // 8)
+            lists = np.concatenate([lists, batch.column("list").to_numpy()])
+            nodes = np.concatenate([nodes, batch.column("node").to_numpy()])
+            prints = np.concatenate([prints, more])
+            upto = int(np.searchsorted(lists, lists[-1]))
+            if upto:
+                yield out(upto)
+                lists, nodes, prints = lists[upto:], nodes[upto:], prints[upto:]
+        if len(lists):
+            yield out(len(lists))
+
+    dealt = prints.select("node", "fp").mapInArrow(deal, "list int, node long, fp binary").repartition("list")
+    after = F.expr(f"substring(fp, 1 + (list >> 16) * 7 % {WIDE - 7}, 8)")
+    return dealt.sortWithinPartitions("list", after).mapInArrow(meet, "a long, b long, far long").distinct()
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, least: float, words: int) -> DataFrame:
+    """The (a, b) of ``pairs`` whose texts, (node, text), have a Jaccard similarity of ``least`` in distinct shingles."""
+
+    def of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        kept, last, one = [], None, None
+        a, left, right = batch.column("a").to_pylist(), text_bytes(batch.column("text")), text_bytes(batch.column("other"))
+        for row, node in enumerate(a):
+            if node != last:
+                last, one = node, _shingles(left[row], words)
+            two = _shingles(right[row], words)
+            shared = len(np.intersect1d(one, two, assume_unique=True))
+            if shared >= least * (len(one) + len(two) - shared):
+                kept.append(row)
+        return batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
+
+    left = texts.select(F.col("node").alias("a"), "text")
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("other"))
+    return map_batches(pairs.select("a", "b").join(right, "b").join(left, "a"), of, "a long, b long")
+
+
+def similar_groups(docs: DataFrame, least: float = 0.8, words: int = 5, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(key, r1, r2, root): rows whose shingle sets are linked by a Jaccard similarity of ``least`` share ``root``.
+
+    Texts of equal sets are folded first, those without words among them. Every
+    link is verified on the texts; a pair is missed if its fingerprints share no
+    choice of positions. The nearest candidate of each node is verified first,
+    then all that still lie between two groups: the others would change nothing.
+    """
+    prints = stage(wide_prints(docs, words, text, key), "wide")
+    distinct = stage(prints.groupBy("node").agg(F.first("fp").alias("fp")), "distinct")
+    pairs = stage(candidates(distinct), "candidates")
+    ends = pairs.select(F.col("a").alias("node"), "a", "b", "far").union(pairs.select(F.col("b").alias("node"), "a", "b", "far"))
+    nodes = ends.select("node").distinct()
+    lead = prints.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("r1", "r2")).alias("one"))
+    r1, r2 = identity(key, text)
+    bodies = docs.select(r1.alias("r1"), r2.alias("r2"), F.col(text).alias("text"))
+    texts = bodies.join(lead.select("node", "one.r1", "one.r2"), ["r1", "r2"]).select("node", "text")
+    texts = stage(texts.dropDuplicates(["node"]), "texts")
+    nearest = ends.groupBy("node").agg(F.min(F.struct("far", "a", "b")).alias("one")).select("one.a", "one.b").distinct()
+    first = stage(_similar(nearest, texts, least, words), "verified")
+    roots = connected_components(first)
+    to_a = roots.select(F.col("node").alias("a"), F.col("root").alias("of_a"))
+    to_b = roots.select(F.col("node").alias("b"), F.col("root").alias("of_b"))
+    apart = F.coalesce("of_a", "a") != F.coalesce("of_b", "b")
+    rest = pairs.join(to_a, "a", "left").join(to_b, "b", "left").filter(apart).select("a", "b")
+    rest = stage(rest.join(nearest, ["a", "b"], "left_anti"), "rest")
+    roots = connected_components(first.union(_similar(rest, texts, least, words)))
+    found = prints.join(roots, "node", "left")
+    return found.select(F.col("key").alias(key), "r1", "r2", F.coalesce("root", "node").alias("root"))
+
+
+def keep_dissimilar(docs: DataFrame, least: float = 0.8, words: int = 5, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """One row of each group of ``similar_groups``, with all its columns, chosen as in ``keep_one``."""
+    return _leaders(docs, similar_groups(docs, least, words, text, key), text, key)
