@@ -209,13 +209,14 @@ def _runs(steps: list[tuple[dict[int, int], int]]) -> list[tuple[int, int, int,
 
 
 def pack(items: DataFrame, size: int = SIZE, salts: int = SALTS) -> DataFrame:
-    """``items`` with ``sequence_id`` and ``offset``; needs length (1 to ``size``), r1, r2 and start.
+    """``items`` with ``copy``, ``sequence_id`` and ``offset``; needs length (1 to ``size``), r1, r2 and start.
 
     Rows are numbered within (length, salt), a salt being drawn from the row's
     identity, and the counts of the salts before are added: a length that a third
     of all rows have is numbered in ``salts`` parts. The plan has a row for each
     step and length, at most ``size`` steps, and is joined to the length's
-    numbers as a range. Repeated rows are placed one by one. An empty table gives
+    numbers as a range. Repeated rows are placed one by one; ``copy`` numbers
+    them from 0, the pieces of one copy alike. An empty table gives
     no rows. ``items`` has to be a stored table, as it is read twice.
     """
     spark = items.sparkSession
@@ -224,11 +225,10 @@ def pack(items: DataFrame, size: int = SIZE, salts: int = SALTS) -> DataFrame:
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     before = F.sum("n").over(Window.partitionBy("length").orderBy("__salt")) - F.col("n")
     offsets = counts.select("length", "__salt", before.alias("__before"))
-    numbered = salted.join(offsets, ["length", "__salt"]).withColumn(
-        "__rank",
-        F.col("__before")
-        + F.row_number().over(Window.partitionBy("length", "__salt").orderBy("r1", "r2", "start"))
-        - 1,
+    order = Window.partitionBy("length", "__salt").orderBy("r1", "r2", "start")
+    number = F.row_number().over(order)
+    numbered = salted.join(offsets, ["length", "__salt"]).withColumns(
+        {"__rank": F.col("__before") + number - 1, "copy": (number - F.rank().over(order)).cast("long")}
     )
     runs = spark.createDataFrame(
         _runs(plan(histogram, size)),
@@ -245,14 +245,22 @@ def pack(items: DataFrame, size: int = SIZE, salts: int = SALTS) -> DataFrame:
         placed.withColumn("__run", run)
         .withColumn("sequence_id", F.col("__run.sequence") + F.floor(within / F.col("__run.per")).cast("long"))
         .withColumn("offset", F.col("__run.base") + within % F.col("__run.per") * F.col("length"))
-        .select(*items.columns, "sequence_id", "offset")
+        .select(*items.columns, "copy", "sequence_id", "offset")
     )
 
 
-def pack_documents(docs: DataFrame, path: str, end: int = 1, size: int = SIZE, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Every document's pieces, placed: (key, start, length, ids_crc32, doc_tokens, sequence_id, offset)."""
-    items = stage(pieces(docs, path, end, size, text=text, key=key), "pieces")
-    return pack(items, size).drop("r1", "r2")
+def pack_documents(
+    docs: DataFrame, path: str, end: int = 1, size: int = SIZE, ids: bool = False, text: str = "text", key: str = "doc_id"
+) -> DataFrame:
+    """Every document's pieces, placed: (key, start, length, ids_crc32, doc_tokens, sequence_id, offset).
+
+    With ``ids`` also the row's identity, the pieces' ids and the number of the
+    copy: (key, r1, r2, start, length, ids_crc32, doc_tokens, ids, copy,
+    sequence_id, offset). ``sequences`` makes the sequences of that, and (r1, r2,
+    copy) tells the documents apart, repeated rows included.
+    """
+    placed = pack(stage(pieces(docs, path, end, size, ids, text, key), "pieces"), size)
+    return placed if ids else placed.drop("r1", "r2", "copy")
 
 
 def sequences(placed: DataFrame, size: int = SIZE, pad: int = 0) -> DataFrame:

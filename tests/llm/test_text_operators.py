@@ -234,6 +234,26 @@ def test_packing_of_nothing(no_docs):
     assert packing.pack_documents(no_docs, token_file()).count() == 0
 
 
+def test_packed_documents_rebuild_sequences_and_copies(tricky_docs, tricky_rows):
+    path = token_file()
+    encode = packing.tokenizer(path)
+    placed = packing.stage(packing.pack_documents(tricky_docs, path, ids=True))
+    rows, want, found = placed.collect(), Counter(), defaultdict(dict)
+    for doc, text, _ in tricky_rows:
+        want[doc, np.array([*encode.encode(text or "", add_special_tokens=False).ids, 1], "<u4").tobytes()] += 1
+    for r in rows:
+        parts = found[r.doc_id, r.r1, r.r2, r.copy]
+        assert r.start not in parts
+        parts[r.start] = r.ids
+    assert Counter((doc, b"".join(parts[s] for s in sorted(parts))) for (doc, *_), parts in found.items()) == want
+    whole = {r.sequence_id: r.ids for r in packing.sequences(placed).collect()}
+    assert {r.sequence_id for r in rows} == set(whole)
+    assert all(whole[r.sequence_id][4 * r.offset : 4 * (r.offset + r.length)] == r.ids for r in rows)
+    assert packing.pack_documents(tricky_docs, path).columns == [
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    ]
+
+
 def test_encoder_equals_the_tokenizer():
     path = token_file()
     encode, plain = packing.encoder(path), packing.tokenizer(path)
