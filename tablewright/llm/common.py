@@ -73,9 +73,10 @@ def word_count(text: Column) -> Column:
 def identity(key: str = "doc_id", text: str = "text") -> tuple[Column, Column]:
     """128 bits that stand for a row's key and whole text, null or not.
 
-    Rows that agree in both are one to the operators that use it.
+    Rows that agree in both are one to the operators that use it. The hash skips
+    nulls, so whether each is null is hashed as well.
     """
-    both = F.col(key).cast("string"), F.col(text)
+    both = F.col(key).isNull(), F.col(text).isNull(), F.col(key).cast("string"), F.col(text)
     return F.xxhash64(*both), F.xxhash64(F.lit(1), *both)
 
 

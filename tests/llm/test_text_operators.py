@@ -190,6 +190,12 @@ def test_links_lose_nothing(spark, bits):
     assert all(len(g) == 1 for g in groups.values()) and len(set(map(min, groups.values()))) == len(groups)
 
 
+def test_identity_tells_nulls_apart(as_documents):
+    docs = as_documents([(None, "5", "s"), (5, None, "s")])
+    assert simhash.fingerprints(docs).select("r1", "r2").distinct().count() == 2
+    assert counted(simhash.keep_one(docs).select("doc_id", "text")) == Counter([(None, "5"), (5, None)])
+
+
 def test_near_duplicates_of_nothing(no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0 and simhash.keep_one(no_docs).count() == 0
 
