@@ -31,7 +31,7 @@ QUERY_BLOCK = 1024
 ROW_BLOCK = 65536
 
 
-def usable(vector: Column, size: int) -> Column:
+def usable(vector: Column, size: int | Column) -> Column:
     """A vector of the right length whose components are finite and not all 0."""
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return vector.isNotNull() & (F.size(vector) == size) & finite & F.exists(vector, lambda x: x != 0)
@@ -141,14 +141,15 @@ def nearest(
 
     Vectors that are null, zero, of another length or hold null or non-finite
     components take no part, nor do null keys. Repeated rows are candidates
-    each. The length is that of most usable vectors in the training sample. With
+    each. The length is that of most vectors that are usable otherwise. With
     fewer rows than ``k`` all are returned; an empty table gives no rows.
     """
     spark = vectors.sparkSession
     out = "query_id long, row long, score double"
     plain = [F.col(key).cast("long").alias("row"), F.transform(vector, lambda x: x.cast("double")).alias("v")]
     sized = vectors.select(*plain).filter("row is not null and v is not null")
-    size = sized.groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), "size").first()
+    whole = sized.filter(usable(F.col("v"), F.size("v")))
+    size = whole.groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), "size").first()
     size = size["size"] if size else 1
     rows = stage(sized.filter(usable(F.col("v"), size)), "vectors")
     asked = stage(

@@ -82,3 +82,12 @@ def test_probing_finds_every_code_within_the_radius():
     far = np.bitwise_count(codes ^ codes[0]).sum(axis=1)
     for radius in (0, 1, 3, 4, 6, 9, 13, 20, 64):
         assert set(index.within(codes[0], radius)) == set(np.flatnonzero(far <= radius)), radius
+
+
+def test_length_is_that_of_usable_vectors(spark):
+    dice = np.random.default_rng(8)
+    rows = [(i, dice.normal(size=6).tolist()) for i in range(30)]
+    rows += [(100 + i, []) for i in range(40)] + [(200 + i, [0.0, 0.0]) for i in range(50)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = nearest.nearest(vectors, vectors, k=3).collect()
+    assert {r.query_id for r in found} == set(range(30)) and len(found) == 90
