@@ -7,7 +7,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fuzzy, lines, mixing, nearest, packing, passages, pii, quality, sharding, simhash
+from . import fuzzy, hmm, lexical, lines, mixing, nearest, packing, passages, pii, quality, sharding, simhash, tries
 from .common import documents, labels, table
 from .registry import ORACLES, QUERIES, query
 
@@ -157,3 +157,102 @@ def hex_digest(words: list[bytes]) -> bytes:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = passages.dedup_passages(documents(spark, sf_dir), window=20, render=hex_digest)
     return done.select("doc_id", "n_words", "n_removed", F.col("kept").cast("string").alias("kept_sha256"))
+
+
+@query("op11_language_model")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    done = hmm.score_texts(documents(spark, sf_dir), held)
+    return done.select(
+        "doc_id", F.col("held").alias("held_out"), "n_tokens", "n_known",
+        F.col("tokens").alias("train_tokens"), F.col("base").alias("base_score"), "score",
+    )
+
+
+# CRC-32 by its polynomial: a byte is added, then eight bits are shifted out.
+TRIE_SQL = r"""
+with ids as (
+    select distinct conv_id from conversations where conv_id is not null
+), h as (
+    select conv_id, conv_id - conv_id % 5 as base, cast(xor(4294967295, list_reduce(
+        list_prepend(cast(4294967295 as bigint), flatten(list_transform(string_split(cast(conv_id as varchar), ''),
+            lambda c: list_concat([cast(ord(c) as bigint)], list_transform(range(8), lambda i: cast(-1 as bigint)))))),
+        lambda s, b: case when b >= 0 then xor(s, b) when s % 2 = 1 then xor(s // 2, 3988292384) else s // 2 end)) % 9 as bigint) as h
+    from ids
+), t as (
+    select conv_id, row_number() over (partition by conv_id order by turn nulls first, role, body) - 1 as place, body, size
+    from (select conv_id, turn, coalesce(role, '') as role, cast(octet_length(encode(coalesce(text, ''))) as bigint) as size,
+        md5(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) as body
+        from conversations where conv_id is not null)
+), r as (
+    select h.conv_id, t.place, t.body, t.size from h join t on t.conv_id = h.base and t.place < h.h
+    union all
+    select h.conv_id, t.place, t.body, t.size from h join t on t.conv_id = h.conv_id and t.place >= h.h
+), p as (
+    select conv_id, row_number() over w as depth, md5(string_agg(body, '') over w) as path, size
+    from r window w as (partition by conv_id order by place rows between unbounded preceding and current row)
+    union all
+    select conv_id, 0, '', 0 from ids
+), n as (
+    select depth, path, min(conv_id) as conv_id, count(*) as n_convs, any_value(size) as size from p group by depth, path
+), u as (
+    select n.*, up.path as up, upper.conv_id as parent_conv_id from n
+    left join p as up on up.conv_id = n.conv_id and up.depth = n.depth - 1
+    left join n as upper on upper.depth = n.depth - 1 and upper.path = up.path
+), c as (
+    select depth - 1 as depth, up as path, count(*) as n_children from u where depth > 0 group by depth, up
+), f as (
+    select u.*, coalesce(c.n_children, 0) as n_children from u left join c on u.depth = c.depth and u.path = c.path
+), s as (
+    select a.depth, a.path, sum(case when f.n_children = 0 then 1 else 0 end) as n_leaves, sum((f.n_convs - 1) * f.size) as saved_tokens
+    from f join p as a on a.conv_id = f.conv_id and a.depth <= f.depth group by a.depth, a.path
+), e as (
+    select depth, path, sha256(string_agg(cast(conv_id as varchar), ',' order by conv_id)) as ends
+    from p where (conv_id, depth) in (select (conv_id, max(depth)) from p group by conv_id) group by depth, path
+)
+select f.conv_id, f.depth, f.parent_conv_id, f.n_convs, f.n_children, cast(s.n_leaves as bigint) as n_leaves,
+    cast(s.saved_tokens as bigint) as saved_tokens, coalesce(e.ends, sha256('')) as ends_sha256
+from f join s on f.depth = s.depth and f.path = s.path left join e on f.depth = e.depth and f.path = e.path
+"""
+
+
+@query("op12_conversation_trie", TRIE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = tries.paths(table(spark, sf_dir, "conversations"))
+    return tries.prefix_trie(tries.rethreaded(held, block=5, most=9)).withColumnRenamed("ends", "ends_sha256")
+
+
+SEARCH_SQL = r"""
+with d as (
+    select row_number() over () as row, doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from documents
+), s as (
+    select row, count(*) as n from d group by row
+), w as (
+    select cast(count(*) as bigint) as documents, cast(sum(n) as bigint) as terms from s
+), q as (
+    select distinct item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark
+), p as (
+    select row, any_value(doc_id) as doc_id, term, count(*) as tf from d where term in (select term from q) group by row, term
+), f as (
+    select term, cast(floor(1000 * ln((2 * documents + 2) / (2 * count(*) + 1))) as bigint) as weight from p, w group by term, documents
+), m as (
+    select row, 50 + (50 * n * documents) // terms as m from s, w
+), c as (
+    select item_id, p.row, any_value(p.doc_id) as doc_id,
+        cast(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m))) as bigint) as score
+    from q join p on q.term = p.term join f on f.term = p.term join m on m.row = p.row group by item_id, p.row
+), k as (
+    select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id nulls last) as integer) as rank, doc_id, score
+    from c where score > 0
+)
+select * from k where rank <= 50
+"""
+
+
+@query("op13_lexical_search", SEARCH_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"), k=50)
