@@ -129,8 +129,8 @@ def _statistics(index: DataFrame, asked: list[bytes]) -> tuple[int, int, np.ndar
 class _Plan:
     """Queries at hand: their terms as numbers, in the order of falling weight, cut into pairs from the back."""
 
-    def __init__(self, ids: list, asked: list[list[int]], weights: np.ndarray):
-        self.ids, self.weights = ids, weights
+    def __init__(self, ids: list, asked: list[list[int]], weights: np.ndarray, run: int):
+        self.ids, self.weights, self.run = ids, weights, run
         self.parts: list[list[tuple[int, ...]]] = []
         pairs: dict[tuple[int, int], int] = {}
         for own in asked:
@@ -168,7 +168,7 @@ def _impacts(index: DataFrame, sent, documents: int, total: int) -> DataFrame:
         ]
 
         def runs(d: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            run = d // RUN
+            run = d // plan.run
             new = np.flatnonzero(np.append(True, run[1:] != run[:-1])) if len(run) else np.empty(0, np.int64)
             return run[new], np.maximum.reduceat(most, new) if len(new) else most[:0]
 
@@ -227,7 +227,7 @@ def _impacts(index: DataFrame, sent, documents: int, total: int) -> DataFrame:
 class _Block:
     """One row of ``_impacts``."""
 
-    def __init__(self, batch: pa.RecordBatch, i: int):
+    def __init__(self, batch: pa.RecordBatch, i: int, run: int):
         def array(name: str, kind) -> np.ndarray:
             return np.frombuffer(batch.column(name)[i].as_py(), kind)
 
@@ -236,7 +236,7 @@ class _Block:
         self.starts, self.docs, self.impacts = array("starts", np.int64), array("docs", np.int32), array("impacts", np.int32)
         self.top = array("top_starts", np.int64), array("top_runs", np.int32), array("top_most", np.int32)
         self.pair = array("pair_starts", np.int64), array("pair_runs", np.int32), array("pair_most", np.int64)
-        self.runs = (self.n - 1) // RUN + 1
+        self.run, self.runs = run, (self.n - 1) // run + 1
 
     def bound(self, plan: _Plan, part: tuple[int, ...]) -> np.ndarray | None:
         """By run, the most that a document can get from one or two terms; None if the block has neither."""
@@ -262,7 +262,7 @@ class _Block:
         for i in range(len(known) - 1, -1, -1):
             rest[i] = rest[i + 1] + known[i][1]
         alive = rest[0] >= max(least, 1)
-        scores = np.zeros(self.runs * RUN, np.int64)
+        scores = np.zeros(self.runs * self.run, np.int64)
         for i, (part, _) in enumerate(known):
             if not alive.any():
                 break
@@ -270,10 +270,10 @@ class _Block:
                 if t in self.at:
                     start, stop = self.starts[self.at[t] : self.at[t] + 2]
                     docs = self.docs[start:stop]
-                    looked = alive[docs // RUN]
+                    looked = alive[docs // self.run]
                     scores[docs[looked]] += plan.weights[t] * self.impacts[start:stop][looked]
-            alive &= scores.reshape(-1, RUN).max(axis=1) + rest[i + 1] >= max(least, 1)
-        scores = np.where(np.repeat(alive, RUN), scores, 0)[: self.n]
+            alive &= scores.reshape(-1, self.run).max(axis=1) + rest[i + 1] >= max(least, 1)
+        scores = np.where(np.repeat(alive, self.run), scores, 0)[: self.n]
         docs = np.flatnonzero(scores >= max(least, 1))
         if len(docs) > k:
             edge = np.partition(scores[docs], len(docs) - k)[len(docs) - k]
@@ -298,7 +298,7 @@ def _found(impacts: DataFrame, sent, k: int, kind: str, arrow_key: pa.DataType,
         held: list[list[tuple[pa.Array, np.ndarray]]] = [[] for _ in plan.parts]
         for batch in batches:
             for i in range(batch.num_rows):
-                block = _Block(batch, i)
+                block = _Block(batch, i, plan.run)
                 level = None
                 for q, parts in enumerate(plan.parts):
                     docs, scores = block.best(plan, parts, k, floor[q])
@@ -384,7 +384,7 @@ def _round(index: DataFrame, queries: DataFrame, k: int, query_key: str, key: st
     documents, total, df = _statistics(index, vocabulary)
     weights = np.array([weight(documents, int(n)) if n else 0 for n in df], np.int64)
     place = {t: i for i, t in enumerate(vocabulary)}
-    plan = _Plan(ids, [[place[t] for t in asked[i]] for i in ids], weights)
+    plan = _Plan(ids, [[place[t] for t in asked[i]] for i in ids], weights, RUN)
     sent = spark.sparkContext.broadcast((vocabulary, plan))
     impacts = _impacts(index, sent, documents, max(total, 1))
     kind = index.schema["keys"].dataType.elementType
