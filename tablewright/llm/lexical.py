@@ -20,11 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import stage, text_bytes
+from .common import slices, stage, text_bytes
 
 RUN = 128  # documents that share a bound
 BLOCK_BYTES = 12 << 20  # text of a block
@@ -50,7 +51,7 @@ def _starts(counts: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(counts)])
 
 
-def build(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def build(docs: DataFrame, text: str = "text", key: str = "doc_id", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The index of ``docs``, stored: a row for each block of documents.
 
     ``keys`` and ``sizes`` (terms with repeats) are its documents, those without
@@ -58,41 +59,48 @@ def build(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
     many documents each occurs; ``docs`` and ``tfs`` its postings by term.
     """
     kind = docs.schema[key].dataType
-    arrow_key = to_arrow_type(kind)
     names = ["keys", "sizes", "terms", "counts", "docs", "tfs"]
 
-    def block(keys: list, found: list[list[bytes]]) -> pa.RecordBatch:
-        sizes = np.array([len(f) for f in found], np.int64)
-        coded = pa.array([t for f in found for t in f], pa.binary()).dictionary_encode()
-        vocabulary = coded.dictionary.to_pylist()
-        order = sorted(range(len(vocabulary)), key=vocabulary.__getitem__)
+    def block(parts: list[tuple]) -> pa.RecordBatch:
+        keys, sizes = pa.concat_arrays([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        coded = pa.chunked_array([p[2] for p in parts]).unify_dictionaries()
+        vocabulary = coded.chunk(0).dictionary
+        order = pc.sort_indices(vocabulary)
         rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        held, tfs = np.unique(
-            rank[coded.indices.to_numpy()] * len(keys) + np.repeat(np.arange(len(keys)), sizes), return_counts=True
-        )
+        rank[order.to_numpy()] = np.arange(len(order))
+        held, at = [], 0
+        for own, chunk in zip((p[1] for p in parts), coded.chunks, strict=True):
+            number = np.repeat(np.arange(at, at + len(own)), own)
+            held.append(np.stack(np.unique(rank[chunk.indices.to_numpy()] * len(keys) + number, return_counts=True)))
+            at += len(own)
+        held, tfs = np.concatenate(held, axis=1)
+        by = np.argsort(held)
+        held, tfs = held[by], tfs[by]
         counts = np.bincount(held // len(keys), minlength=len(order))
         row = [
-            pa.array([keys], pa.list_(arrow_key)),
+            pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys),
             pa.array([sizes.tobytes()], pa.binary()),
-            pa.array([[vocabulary[i] for i in order]], pa.list_(pa.binary())),
+            pa.ListArray.from_arrays(pa.array([0, len(order)], pa.int32()), vocabulary.take(order)),
             *[pa.array([a.astype(np.int32).tobytes()], pa.binary()) for a in (counts, held % len(keys), tfs)],
         ]
         return pa.RecordBatch.from_arrays(row, names)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, found, size = [], [], 0
+        parts, size = [], 0
         for batch in batches:
-            for own, body in zip(batch.column("key").to_pylist(), text_bytes(batch.column("text")), strict=True):
-                if made := terms(body):
-                    keys.append(own)
-                    found.append(made)
-                    size += len(body)
-                if size > BLOCK_BYTES:
-                    yield block(keys, found)
-                    keys, found, size = [], [], 0
-        if keys:
-            yield block(keys, found)
+            for piece in slices(batch, "text"):
+                bodies = text_bytes(piece.column("text"))
+                found = [terms(body) for body in bodies]
+                sizes = np.array([len(f) for f in found], np.int64)
+                coded = pa.array([t for f in found for t in f], pa.binary()).dictionary_encode()
+                parts.append((piece.column("key").filter(pa.array(sizes > 0)), sizes[sizes > 0], coded))
+                size += sum(map(len, bodies))
+                if size > block_bytes:
+                    if any(len(p[1]) for p in parts):
+                        yield block(parts)
+                    parts, size = [], 0
+        if any(len(p[1]) for p in parts):
+            yield block(parts)
 
     narrow = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     schema = f"keys array<{kind.simpleString()}>, sizes binary, terms array<binary>, counts binary, docs binary, tfs binary"
@@ -283,8 +291,6 @@ class _Block:
 
 def _rank_keys(keys: pa.Array) -> np.ndarray:
     """Numbers in the order of the keys, nulls last."""
-    import pyarrow.compute as pc
-
     return pc.rank(keys, null_placement="at_end", tiebreaker="dense").to_numpy()
 
 
@@ -363,7 +369,7 @@ def search(
     blocks; the driver gets their terms and counts, and k rows a query at most
     from the first look.
     """
-    index = build(docs, text, key)
+    index = build(docs, text, key, BLOCK_BYTES)
     sizes = queries.agg(_bytes(F.col(query_text))).first()[0]
     rounds = int(sizes // QUERY_BYTES) + 1
     found = None
