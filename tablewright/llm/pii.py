@@ -40,7 +40,7 @@ GUARD = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "ph
 LOOSE = {
     "email": (
         r"[A-Za-z0-9._%+-]{1,64}+\x20?(?:\(at\)|\[at\]|\{at\})\x20?[A-Za-z0-9-]{1,63}"
-        r"(?:\x20?(?:\(dot\)|\[dot\]|\{dot\}|\.)\x20?[A-Za-z0-9-]{2,63})+"
+        r"(?:\x20?(?:\(dot\)|\[dot\]|\{dot\}|\.)\x20?[A-Za-z0-9-]{2,63}+)++"
     ),
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9])",
     "card": (
@@ -68,38 +68,81 @@ TRUST = (5, 1, 1, 1, 1)  # votes that a labeler's vote counts as where learning
 FEATURES = ("digits", "lists", "shape", "before", "after", "separators")
 ACCEPTED = 0.9  # probability from which a candidate is added: what is added should be right
 
-_SPANS = "array<struct<start:int,end:int,value:string,before:string,after:string>>"
+_BLOCK = 128  # elements of an array that are added up one by one
 
 
-def _located(text: Column, pattern: str, guard: str) -> Column:
-    """Leftmost non-overlapping matches with their places in code points and what stands around them."""
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """Totals of an array of integers from 0 on, so far, by ``join`` (a sum or a maximum).
+
+    An array grows by copying, so only ``_BLOCK`` elements are totalled at a time
+    and the blocks after that: a million elements take about a second.
+    """
+
+    def within(part: Column) -> Column:
+        def step(held: Column, value: Column) -> Column:
+            total = join(held["at"], value)
+            return F.struct(total.alias("at"), F.concat(held["done"], F.array(total)).alias("done"))
+
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("done"))
+        return F.aggregate(part, start, step, lambda held: held["done"])
+
+    def glue(blocks: Column) -> Column:
+        def shifted(before: Column) -> Column:
+            def shift(block: Column, i: Column) -> Column:
+                return F.when(i == 0, block).otherwise(F.transform(block, lambda v: join(F.get(before, i - 1), v)))
+
+            return F.flatten(F.transform(blocks, shift))
+
+        return _bind(within(F.transform(blocks, lambda b: F.element_at(b, -1))), shifted)
+
+    def cut(values: Column) -> Column:
+        firsts = F.sequence(F.lit(1), F.size(values), F.lit(_BLOCK))
+        blocks = F.transform(firsts, lambda first: within(F.slice(values, first, F.lit(_BLOCK))))
+        return F.when(F.size(values) == 0, F.array().cast("array<int>")).otherwise(_bind(blocks, glue))
+
+    return _bind(values, cut)
+
+
+def _located(text: Column, pattern: str, guard: str, around: bool) -> Column:
+    """Leftmost non-overlapping matches with their places in code points and, if asked, what stands ``around`` them.
+
+    Places are running sums of the lengths of matches and gaps, and the context
+    comes from the gaps and matches before, so that the time is nearly linear in
+    the text; taking it from the text would read that from its start each time.
+    """
+    kind = "array<struct<start:int,end:int,value:string" + (",before:string,after:string>>" if around else ">>")
 
     def place(found: Column) -> Column:
         matches, gaps = found["matches"], found["gaps"]
 
-        def step(held: Column, i: Column) -> Column:
-            start = held["at"] + F.length(F.get(gaps, i))
-            value = F.get(matches, i)
-            end = start + F.length(value)
-            left = F.greatest(start - BEFORE, F.lit(0))
-            span = F.struct(
-                start.alias("start"), end.alias("end"), value.alias("value"),
-                F.lower(F.substring(text, left + 1, start - left)).alias("before"),
-                F.substring(text, end + 1, F.lit(1)).alias("after"),
-            )
-            return F.struct(end.alias("at"), F.concat(held["spans"], F.array(span)).alias("spans"))
-
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("spans"))
-        return F.when(
-            F.size(matches) > 0, F.aggregate(F.sequence(F.lit(0), F.size(matches) - 1), start, step)["spans"]
-        ).otherwise(F.array().cast(_SPANS))
+        def spans(ends: Column, tails: Column) -> Column:
+            def span(value: Column, i: Column) -> Column:
+                end = F.get(ends, i)
+                parts = [(end - F.length(value)).alias("start"), end.alias("end"), value.alias("value")]
+                if around:
+                    # four matches are longer than the context
+                    pieces = [F.coalesce(F.get(a, i - k + n), F.lit("")) for k in range(4, 0, -1) for n, a in enumerate((matches, tails))]
+                    after = F.left(F.get(gaps, i + 1), F.lit(1))
+                    after = F.when(after == "", F.coalesce(F.left(F.get(matches, i + 1), F.lit(1)), F.lit(""))).otherwise(after)
+                    parts += [F.lower(F.right(F.concat(*pieces), F.lit(BEFORE))).alias("before"), after.alias("after")]
+                return F.struct(*parts)
+
+            return F.transform(matches, span)
+
+        sizes = F.transform(matches, lambda m, i: F.length(F.get(gaps, i)) + F.length(m))
+        tails = F.transform(gaps, lambda g: F.right(g, F.lit(BEFORE))) if around else F.array(F.lit(""))
+        return _bind(_running(sizes, lambda a, b: a + b), lambda ends: _bind(tails, lambda own: spans(ends, own)))
 
     both = F.struct(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("matches"), F.split(text, pattern, -1).alias("gaps")
     )
     holds = text.contains(guard) if guard == "@" else text.rlike(guard)
-    # the array of one binds the matches, so that they are found once
-    return F.when(holds, F.get(F.transform(F.array(both), place), F.lit(0))).otherwise(F.array().cast(_SPANS))
+    return F.when(holds, _bind(both, place)).otherwise(F.array()).cast(kind)
 
 
 def _digits(value: Column) -> Column:
@@ -241,15 +284,15 @@ def _probability(kind: str, span: Column, weights: dict[str, float]) -> Column:
     return 1 / (1 + F.exp(-total))
 
 
-def _spans_of(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """(key, b_<kind>, c_<kind>): base spans and candidates of each row, stored; texts are read once."""
+def _spans_of(docs: DataFrame, text: str, kept: list[Column]) -> DataFrame:
+    """``kept``, and b_<kind>, c_<kind>: base spans and candidates of each row, stored; texts are read once."""
     body = F.coalesce(F.col(text), F.lit(""))
     columns = {}
     for kind in KINDS:
-        found = F.filter(_located(body, BASE[kind], GUARD[kind]), _valid(kind))
+        found = F.filter(_located(body, BASE[kind], GUARD[kind], False), _valid(kind))
         columns[f"b_{kind}"] = F.transform(found, lambda s: F.struct(s["start"], s["end"]))
-        columns[f"c_{kind}"] = _located(body, LOOSE[kind], LOOSE_GUARD[kind])
-    return stage(docs.select(F.col(key), *[c.alias(n) for n, c in columns.items()]), "spans")
+        columns[f"c_{kind}"] = _located(body, LOOSE[kind], LOOSE_GUARD[kind], True)
+    return stage(docs.select(*kept, *[c.alias(n) for n, c in columns.items()]), "spans")
 
 
 def train(spans: DataFrame) -> dict[str, float]:
@@ -272,34 +315,62 @@ def train(spans: DataFrame) -> dict[str, float]:
     return fit_classifier(rows)
 
 
-def find_spans(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, base, spans): arrays of (kind, start, end), by kind and then by start.
+def _free(candidates: Column, base: Column) -> Column:
+    """The candidates that touch no base span.
 
-    ``spans`` holds the base spans and the accepted candidates that touch none of
-    them. Places are code points, the end exclusive. Null and empty texts have no
-    spans; repeated rows have the same ones each; an empty table gives no rows;
-    other columns are not looked at.
+    Starts of base spans and ends of candidates are sorted together. A candidate
+    is free if no base span that starts before its end reaches past its start.
     """
-    found = _spans_of(docs, text, key)
+
+    def event(at: Column, kind: int, value: Column, number: Column) -> Column:
+        return F.struct(at.alias("at"), F.lit(kind).alias("kind"), value.alias("value"), number.alias("number"))
+
+    starts = F.transform(base, lambda b: event(b["start"], 1, b["end"], F.lit(-1)))
+    ends = F.transform(candidates, lambda c, i: event(c["end"], 0, c["start"], i))
+
+    def pick(events: Column) -> Column:
+        reach = F.transform(events, lambda e: F.when(e["kind"] == 1, e["value"]).otherwise(0))
+
+        def chosen(reached: Column) -> Column:
+            free = F.filter(events, lambda e, i: (e["kind"] == 0) & (F.get(reached, i) <= e["value"]))
+            return F.transform(free, lambda e: F.get(candidates, e["number"]))
+
+        return _bind(_running(reach, F.greatest), chosen)
+
+    merged = _bind(F.sort_array(F.concat(starts, ends)), pick)
+    return F.when((F.size(candidates) == 0) | (F.size(base) == 0), candidates).otherwise(merged)
+
+
+def _judged(found: DataFrame, kept: list[str]) -> DataFrame:
+    """``kept``, base and spans, by a classifier trained on all candidates of ``found``."""
     weights = train(found)
 
     def named(kind: str, spans: Column) -> Column:
         return F.transform(spans, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
 
     def accepted(kind: str) -> Callable[[Column], Column]:
-        def test(span: Column) -> Column:
-            free = ~F.exists(F.col("every"), lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
-            return free & (_probability(kind, span, weights) >= ACCEPTED)
-
-        return test
+        return lambda s: _probability(kind, s, weights) >= ACCEPTED
 
     every = F.concat(*[F.col(f"b_{k}") for k in KINDS])
     base, more = [], []
     for kind in KINDS:
-        own = F.filter(f"c_{kind}", accepted(kind))
+        free = _free(F.col(f"c_{kind}"), F.col("every"))
+        own = F.filter(free, accepted(kind))
         base.append(named(kind, F.col(f"b_{kind}")))
-        more.append(named(kind, F.array_sort(F.concat(f"b_{kind}", F.transform(own, lambda s: F.struct(s["start"], s["end"]))))))
-    return found.withColumn("every", every).select(key, F.concat(*base).alias("base"), F.concat(*more).alias("spans"))
+        more.append(named(kind, F.sort_array(F.concat(f"b_{kind}", F.transform(own, lambda s: F.struct(s["start"], s["end"]))))))
+    return found.withColumn("every", every).select(*kept, F.concat(*base).alias("base"), F.concat(*more).alias("spans"))
+
+
+def find_spans(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(key, base, spans): arrays of (kind, start, end), by kind and then by start.
+
+    ``spans`` holds the base spans and the accepted candidates that touch none of
+    them. Places are code points, the end exclusive. Null and empty texts have no
+    spans; repeated rows have the same ones each; an empty table gives no rows;
+    other columns are not looked at. Texts of millions of matches take time in
+    proportion.
+    """
+    return _judged(_spans_of(docs, text, [F.col(key).alias("key")]), ["key"]).withColumnRenamed("key", key)
 
 
 def listed(spans: Column) -> Column:
@@ -307,21 +378,30 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def mask(docs: DataFrame, spans: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``docs`` with every span of ``spans`` replaced by ``<kind>``; keys must be unique and not null."""
-    body = F.col(text)
-    ordered = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"], s["end"], s["kind"])))
-
-    def step(held: Column, s: Column) -> Column:
-        start = F.greatest(s["start"], held["at"])
-        piece = F.substring(body, held["at"] + 1, start - held["at"])
-        mark = F.when(s["end"] > held["at"], F.concat(F.lit("<"), s["kind"], F.lit(">"))).otherwise("")
-        return F.struct(
-            F.greatest(s["end"], held["at"]).alias("at"), F.concat(held["done"], piece, mark).alias("done")
-        )
-
-    walked = F.aggregate(ordered, F.struct(F.lit(0).alias("at"), F.lit("").alias("done")), step)
-    rest = F.substring(body, F.col("__w.at") + 1, F.length(body))
-    joined = docs.join(spans.select(F.col(key), "spans"), key, "left")
-    masked = F.when(F.size("spans") > 0, F.concat("__w.done", rest)).otherwise(body)
-    return joined.withColumn("__w", walked).withColumn(text, masked).select(*docs.columns)
+def mask(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with every span of each row replaced by ``<kind>``; spans that overlap run together.
+
+    A row keeps its spans, so null and repeated keys and repeated rows do no harm,
+    and columns may have any names. Null texts stay null.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    found = _judged(_spans_of(docs.select(row, F.col(f"`{text}`").alias("body")), "body", [F.col("row"), F.col("body")]), ["row", "body"])
+    # four bytes a character, so that a piece is cut without reading the text before it
+    wide = F.encode("body", "UTF-32")
+
+    def pieces(spans: Column, reached: Column) -> Column:
+        def piece(s: Column, i: Column) -> Column:
+            at = F.when(i == 0, F.lit(0)).otherwise(F.get(reached, i - 1))
+            gap = F.decode(F.substring(F.col("wide"), at * 4 + 1, F.greatest(s["start"] - at, F.lit(0)) * 4), "UTF-32")
+            return F.concat(gap, F.when(s["end"] > at, F.concat(F.lit("<"), s["kind"], F.lit(">"))).otherwise(""))
+
+        rest = F.substring(F.col("wide"), F.element_at(reached, -1) * 4 + 1, F.length("wide"))
+        return F.concat(F.array_join(F.transform(spans, piece), ""), F.decode(rest, "UTF-32"))
+
+    def masked(spans: Column) -> Column:
+        return _bind(_running(F.transform(spans, lambda s: s["end"]), F.greatest), lambda reached: pieces(spans, reached))
+
+    ordered = F.sort_array(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    done = F.when(F.size("spans") > 0, _bind(ordered, masked)).otherwise(F.col("body")).alias("made")
+    cleaned = found.withColumn("wide", wide).select("row", done)
+    return cleaned.select(*[F.col("made").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns])

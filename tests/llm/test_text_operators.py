@@ -1,7 +1,9 @@
 """Operators on documents against plain Python on small tables with every awkward case."""
 
 import hashlib
+import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -432,11 +434,72 @@ def test_personal_data(as_documents, tricky_rows):
         assert set(want) <= {tuple(s) for s in got[doc].spans}
 
 
-def test_personal_data_of_nothing_and_masked(no_docs, as_documents):
-    assert pii.find_spans(no_docs).count() == 0
-    docs = as_documents([(1, "to é@x me@x.de, 1.2.3.4!", "s"), (2, None, "s"), (3, "none", "s")])
-    masked = {r.doc_id: r.text for r in pii.mask(docs, pii.find_spans(docs)).collect()}
-    assert masked == {1: "to é@x <email>, <ip>!", 2: None, 3: "none"}
+def plain_masked(text, spans):
+    made, at = "", 0
+    for start, end, kind in sorted((s, e, k) for k, s, e in spans):
+        made += text[at:start] if start > at else ""
+        made += f"<{kind}>" if end > at else ""
+        at = max(at, end)
+    return made + text[at:]
+
+
+def test_personal_data_of_nothing_and_masked(no_docs, as_documents, tricky_rows):
+    assert pii.find_spans(no_docs).count() == 0 and pii.mask(no_docs).count() == 0
+    docs = as_documents([(1, "to é@x me@x.de, 1.2.3.4!", "s"), (2, None, "s"), (3, "none", "s"), (None, "👍 a@b.co", "s"), (None, "c@d.eu", "t"), (3, "+1 (555) 555-2368", "s")])
+    masked = pii.mask(docs)
+    assert masked.columns == docs.columns and masked.dtypes == docs.dtypes
+    assert Counter((r.doc_id, r.text, r.source) for r in masked.collect()) == Counter(
+        [(1, "to é@x <email>, <ip>!", "s"), (2, None, "s"), (3, "none", "s"), (None, "👍 <email>", "s"), (None, "<email>", "t"), (3, "<phone>", "s")]
+    )
+    rows = [(i, t, "s") for i, t in enumerate(PRIVATE)] + tricky_rows
+    rows = [(1000 + i, t, s) for i, (_, t, s) in enumerate(rows)]
+    found = {r.doc_id: [tuple(s) for s in r.spans] for r in pii.find_spans(as_documents(rows)).collect()}
+    assert {r.doc_id: r.text for r in pii.mask(as_documents(rows)).collect()} == {
+        doc: None if text is None else plain_masked(text, found[doc]) for doc, text, _ in rows
+    }
+
+
+def test_places_and_surroundings_of_matches(as_documents):
+    """Places and contexts as slices of the text give them, with short gaps and none."""
+    dice, rows = random.Random(2), []
+    for i in range(60):
+        parts = [dice.choice(["1.2.3.4", "10.0.0.1", ".", " ", "é", "x y z", "9" * dice.randint(1, 4), "👍" * dice.randint(0, 40)]) for _ in range(40)]
+        rows.append((i, dice.choice(["", " ", "-"]).join(parts), "s"))
+    pattern = pii.LOOSE["ip"]
+    found = as_documents(rows).select("doc_id", pii._located(F.col("text"), pattern, pii.LOOSE_GUARD["ip"], True).alias("s")).collect()
+    texts = {doc: t for doc, t, _ in rows}
+    for r in found:
+        text = texts[r.doc_id]
+        want = [(m.start(), m.end(), m[0], text[max(0, m.start() - 24) : m.start()].lower(), text[m.end() : m.end() + 1]) for m in re.finditer(pattern, text)]
+        assert [tuple(s) for s in r.s] == want
+
+
+@pytest.mark.parametrize("size", [0, 1, 127, 128, 129, 1000])
+def test_running_totals(spark, size):
+    dice = np.random.default_rng(size)
+    values = dice.integers(0, 50, size).tolist()
+    df = spark.createDataFrame([(values,)], "v array<int>")
+    row = df.select(pii._running(F.col("v"), lambda a, b: a + b).alias("s"), pii._running(F.col("v"), F.greatest).alias("m")).first()
+    assert row.s == np.cumsum(values).tolist() and row.m == (np.maximum.accumulate(values).tolist() if size else [])
+
+
+def test_candidates_that_touch_no_base_span(spark):
+    dice = random.Random(6)
+    for _ in range(5):
+        base = [(s, s + dice.randint(1, 9)) for s in (dice.randint(0, 3000) for _ in range(200))]
+        found = sorted((s, s + dice.randint(1, 9)) for s in (dice.randint(0, 3000) for _ in range(300)))
+        df = spark.createDataFrame([(found, base)], "c array<struct<start:int,end:int>>, b array<struct<start:int,end:int>>")
+        got = df.select(pii._free(F.col("c"), F.col("b")).alias("f")).first().f
+        assert sorted(map(tuple, got)) == [c for c in found if not any(b[0] < c[1] and c[0] < b[1] for b in base)]
+
+
+def test_texts_of_many_matches_and_nested_labels(as_documents):
+    """Long texts take time in proportion, and none needs a deep stack."""
+    rows = [(1, "a(at)b" + ".aa" * 20_000, "s"), (2, "555-123-4567 " * 300_000, "s"), (3, "4111111111111111, 1.2.3.4 x@y.zz " * 20_000, "s")]
+    start = time.perf_counter()
+    got = {r.doc_id: r for r in pii.find_spans(as_documents(rows)).select("doc_id", F.size("base").alias("base"), F.size("spans").alias("spans")).collect()}
+    assert got[3].base == 60_000 and got[2].base == 0
+    assert time.perf_counter() - start < 150
 
 
 def test_labelers_that_agree_are_believed():
