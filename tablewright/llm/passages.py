@@ -16,11 +16,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import map_batches, stage_and_free, text_bytes
+from .common import identity, map_batches, stage_and_free, text_bytes
 
 PERIOD = 13
 COVER = (0, 1, 3, 9)  # all differences modulo 13 occur among these
@@ -78,13 +79,13 @@ def anchors(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _tag(r1: str = "r1"):
-    """32 bits of a row's identity. Rows that share them at most compare more windows than needed."""
+    """32 bits of a row's identity, by which its anchors find it. Rows that share them at most compare more windows than needed."""
     return F.shiftright(F.col(r1), 32).cast("int")
 
 
 def _keyed(docs: DataFrame, text: str, key: str) -> DataFrame:
-    both = F.col(key).cast("string"), F.col(text)
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(*both).alias("r1"))
+    r1, r2 = identity(key, text)
+    return docs.select(F.col(key).alias("key"), F.col(text).alias("text"), r1.alias("r1"), r2.alias("r2"))
 
 
 def _shared_anchors(docs: DataFrame, window: int) -> DataFrame:
@@ -143,12 +144,12 @@ def _shared_anchors(docs: DataFrame, window: int) -> DataFrame:
 
 
 def _copies(docs: DataFrame) -> DataFrame:
-    """(tag): rows whose whole text stands in an earlier document; all of their windows start there too."""
+    """(r1, r2): rows whose whole text stands in an earlier document; all of their windows start there too."""
     narrow = docs.filter("text is not null and key is not null").select(
-        "key", "r1", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2")
+        "key", "r1", "r2", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2")
     )
     first = narrow.groupBy("t1", "t2").agg(F.min("key").alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    return narrow.join(first, ["t1", "t2"]).filter("key > least").select("r1")
+    return narrow.join(first, ["t1", "t2"]).filter("key > least").select("r1", "r2")
 
 
 def words_joined(words: list[bytes]) -> bytes:
@@ -177,11 +178,11 @@ def dedup_passages(
     rows = _keyed(docs, text, key)
     nothing = F.lit(None)
     parts = (
-        _shared_anchors(rows, window).select("tag", F.lit(0).alias("kind"), "h", nothing.cast("long").alias("r1"),
+        _shared_anchors(rows, window).select("tag", F.lit(0).alias("kind"), "h", nothing.cast("long").alias("r2"),
                                              nothing.cast(kind).alias("key"), nothing.cast("string").alias("text"))
-        .union(_copies(rows).select(_tag().alias("tag"), F.lit(1).alias("kind"), nothing.cast("long"), "r1",
+        .union(_copies(rows).select(_tag().alias("tag"), F.lit(1).alias("kind"), nothing.cast("long"), "r2",
                                           nothing.cast(kind), nothing.cast("string")))
-        .union(rows.select(_tag().alias("tag"), F.lit(2).alias("kind"), nothing.cast("long"), "r1", "key", "text"))
+        .union(rows.select(_tag().alias("tag"), F.lit(2).alias("kind"), nothing.cast("long"), "r2", "key", "text"))
     )
     # a row's anchors come before the row itself
     dealt = parts.repartition("tag").sortWithinPartitions("tag", "kind")
@@ -191,7 +192,7 @@ def dedup_passages(
         for batch in batches:
             kinds, tags = batch.column("kind").to_numpy(), batch.column("tag").to_numpy()
             h = batch.column("h").fill_null(0).to_numpy()
-            r1 = batch.column("r1").fill_null(0).to_numpy()
+            r2 = batch.column("r2").fill_null(0).to_numpy()
             start = 0
             for i in [*np.flatnonzero(kinds > 0).tolist(), len(kinds)]:
                 if i > start:  # rows of kind 0, perhaps of several tags
@@ -204,12 +205,12 @@ def dedup_passages(
                 if tags[i] != at:
                     at, known, copied = tags[i], [], set()
                 if kinds[i] == 1:
-                    copied.add(r1[i])
+                    copied.add(r2[i])
                     continue
                 body = batch.column("text")[i].as_py() or ""
                 words = body.encode().split()
-                row = batch.column("key")[i].as_py(), tags[i], len(words)
-                if len(words) >= window and r1[i] in copied:
+                row = batch.column("key")[i].as_py(), out.number(), len(words)
+                if len(words) >= window and r2[i] in copied:
                     out.closed(row, len(words), render([]))
                 elif len(words) >= window and known and len(starts := _beside(words, known, window)):
                     out.opened(row, body, word_hashes(words), starts, window)
@@ -241,13 +242,19 @@ class _Judged:
     only the first has to travel, and the places of the others go to ``late``.
     """
 
-    schema = "key {}, tag int, n_words long, n_removed long, kept binary, text string, w array<long>, x array<long>, late binary"
-    names = ["key", "tag", "n_words", "n_removed", "kept", "text", "w", "x", "late"]
+    schema = "key {}, row long, n_words long, n_removed long, kept binary, text string, w array<long>, x array<long>, late binary"
+    names = ["key", "row", "n_words", "n_removed", "kept", "text", "w", "x", "late"]
 
     def __init__(self, arrow_key: pa.DataType):
-        self.types = [arrow_key, pa.int32(), *[pa.int64()] * 2, pa.binary(), pa.string(), *[pa.list_(pa.int64())] * 2, pa.binary()]
+        self.types = [arrow_key, *[pa.int64()] * 3, pa.binary(), pa.string(), *[pa.list_(pa.int64())] * 2, pa.binary()]
+        self.given = TaskContext.get().partitionId() << 33
         self._clear()
 
+    def number(self) -> int:
+        """Another number for each row of the table that is written."""
+        self.given += 1
+        return self.given
+
     def _clear(self):
         self.rows, self.spans, self.windows, self.held = [], [], [], 0
 
@@ -308,10 +315,13 @@ def _not_first(w: np.ndarray, top: np.ndarray, level: np.ndarray, place: np.ndar
 
 
 def _settle(judged: DataFrame, window: int, render, kind: str, arrow_key: pa.DataType) -> DataFrame:
-    """Open rows lose the words of every window that is not the first of its hash."""
+    """Open rows lose the words of every window that is not the first of its hash.
+
+    Places go back to their rows by the number that each row was stored with.
+    """
     clear = judged.filter("text is null").select("key", "n_words", "n_removed", "kept")
     opened = judged.filter("text is not null")
-    listed = opened.select("key", "tag", F.explode(F.arrays_zip("w", "x")).alias("z")).select("key", "tag", "z.w", "z.x")
+    listed = opened.select("key", "row", F.explode(F.arrays_zip("w", "x")).alias("z")).select("key", "row", "z.w", "z.x")
     top, place = F.shiftrightunsigned("x", 32), F.col("x").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
     dealt = listed.repartition("w").sortWithinPartitions("w", top, F.asc_nulls_last("key"), place)
 
@@ -327,23 +337,22 @@ def _settle(judged: DataFrame, window: int, render, kind: str, arrow_key: pa.Dat
             if len(w):
                 level = _levels(batch.column("key"))
                 late = (level != level[head]) | (place != place[head])
-                columns = [batch.column("key"), batch.column("tag"), pa.array(place)]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "tag", "place"]).filter(pa.array(late))
+                columns = [batch.column("row"), pa.array(place)]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "place"]).filter(pa.array(late))
                 first = batch.slice(int(head[-1]), 1)
 
-    gone = dealt.mapInArrow(later, f"key {kind}, tag int, place int")
+    gone = dealt.mapInArrow(later, "row long, place int")
     nothing = F.lit(None)
     parts = gone.select(
-        "key", "tag", F.lit(0).alias("kind"), "place", nothing.cast("binary").alias("late"), nothing.cast("string").alias("text")
-    ).union(opened.select("key", "tag", F.lit(1), nothing.cast("int"), "late", "text"))
+        "row", F.lit(0).alias("kind"), "place", nothing.cast(kind).alias("key"), nothing.cast("binary").alias("late"), nothing.cast("string").alias("text")
+    ).union(opened.select("row", F.lit(1), nothing.cast("int"), "key", "late", "text"))
     # the places of a row come before the row itself
-    regrouped = parts.repartition("tag", "key").sortWithinPartitions("tag", "key", "kind")
+    regrouped = parts.repartition("row").sortWithinPartitions("row", "kind")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
         for batch in batches:
-            kinds, tags, keys = (batch.column(c) for c in ("kind", "tag", "key"))
-            rows = list(zip(tags.to_pylist(), keys.to_pylist(), strict=True))
+            kinds, keys, rows = batch.column("kind"), batch.column("key"), batch.column("row").to_pylist()
             place = batch.column("place").fill_null(0).to_numpy()
             out, first = [], 0
             for i in [*np.flatnonzero(kinds.to_numpy() == 1).tolist(), len(rows)]:
@@ -366,7 +375,7 @@ def _settle(judged: DataFrame, window: int, render, kind: str, arrow_key: pa.Dat
                 edge[starts + window] -= 1
                 gone = np.cumsum(edge)[:-1] > 0
                 kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
-                out.append((at[1], len(words), int(gone.sum()), render(kept)))
+                out.append((keys[i].as_py(), len(words), int(gone.sum()), render(kept)))
             if out:
                 types = [arrow_key, pa.int64(), pa.int64(), pa.binary()]
                 columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
