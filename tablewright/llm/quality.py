@@ -115,8 +115,9 @@ def fit(
 ) -> QualityModel:
     """A model of ``label`` (0 or 1) by the texts of ``docs``.
 
-    It learns from at most ``sample`` rows of ``labels``, those of the lowest
-    hash of the key; only their keys are broadcast, and one task holds their
+    It learns from at most ``sample`` documents of at most ``sample`` rows of
+    ``labels``, those of the lowest hash of the key and, where many documents have
+    one key, of key and text; only the keys are broadcast, and one task holds the
     vectors. Null keys and labels teach nothing, a null text is empty, keys that
     repeat teach each time. Without labelled rows every weight is 0.
     """
@@ -127,7 +128,7 @@ def fit(
         .limit(sample)
     )
     rows = docs.join(F.broadcast(chosen), docs[key] == F.col("__key")).select(
-        F.xxhash64("__key").alias("order"), F.col("__label").alias("label"), F.col(text).alias("text")
+        F.xxhash64("__key").alias("order"), F.xxhash64("__key", text).alias("again"), F.col("__label").alias("label"), F.col(text).alias("text")
     )
 
     def vectors(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -138,7 +139,8 @@ def fit(
             at.append(own.astype(np.int32))
             shares.append((counts * (SCALE / max(len(found), 1))).astype(np.float32))
         made = [pa.array(at, pa.list_(pa.int32())), pa.array(shares, pa.list_(pa.float32()))]
-        return pa.RecordBatch.from_arrays([batch.column("order"), batch.column("label"), *made], ["order", "label", "at", "shares"])
+        own = ["order", "again", "label"]
+        return pa.RecordBatch.from_arrays([*[batch.column(c) for c in own], *made], [*own, "at", "shares"])
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
@@ -156,8 +158,8 @@ def fit(
         used = np.flatnonzero(weights)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(weights[used])], ["at", "weight"])
 
-    sparse = map_batches(rows, vectors, "order long, label int, at array<int>, shares array<float>")
-    found = sparse.repartition(1).mapInArrow(train, "at long, weight double").toArrow()
+    sparse = map_batches(rows, vectors, "order long, again long, label int, at array<int>, shares array<float>")
+    found = sparse.orderBy("order", "again", "label").limit(sample).repartition(1).mapInArrow(train, "at long, weight double").toArrow()
     return QualityModel(found.column("at").to_numpy(), found.column("weight").to_numpy())
 
 
