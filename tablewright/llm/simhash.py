@@ -11,7 +11,8 @@ are free, so it never holds more than 256 ** max_bits distinct fingerprints.
 
 At 2 bits of 64 few copies with changed words are linked. ``keep_dissimilar``
 looks for those: fingerprints of 64 bytes over five words, an index of pairs of
-positions, a tally of shared bytes, and candidates verified on their texts.
+positions (of three of them for very many texts), a tally of shared bytes, and
+candidates verified on their texts.
 """
 
 from __future__ import annotations
@@ -22,20 +23,24 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.windows import number_rows
 from .common import identity, map_batches, stage, text_bytes
 from .components import connected_components
 
 SEED = 42
 FEW = 256  # lists up to this length are compared pair by pair
 
-# Near copies by similarity: bytes of a fingerprint, pairs of positions that are
-# indexed, bytes that candidates share, rows of a list that a row is tallied with,
-# and partners up to which a list gives all pairs. At a Jaccard similarity of 0.8
-# a byte is shared with a probability of 0.27, 17 of 64 on average.
-WIDE, CHOICES, SHARED, NEXT, PARTNERS = 64, 48, 8, 2048, 8
+# Near copies by similarity: bytes of a fingerprint, bytes that candidates share,
+# rows of a list that are compared at once, and partners in one list beyond which
+# pairs are thinned at first. At a Jaccard similarity of 0.8 a byte is shared with a
+# probability of 0.27, 17 of 64 on average.
+WIDE, SHARED, TOGETHER, PARTNERS = 64, 8, 1024, 32
+# Choices of positions that are indexed, by their number of positions, and texts from
+# which three are taken, so that lists stay some thousand rows long.
+CHOICES, MANY = {2: 48, 3: 160}, 1 << 27
 
 
 def fingerprint(text: bytes, words: int = 3) -> int:
@@ -233,13 +238,14 @@ def _wide(hashes: np.ndarray) -> bytes:
     return np.packbits(2 * counts + least > len(hashes)).tobytes()
 
 
-def _choices() -> np.ndarray:
-    """``CHOICES`` pairs of the byte positions, each position in as many as any other, or one more."""
-    dice, pairs = np.random.default_rng(SEED), []
-    while len(pairs) < CHOICES:
-        drawn = [tuple(sorted(p)) for p in dice.permutation(WIDE).reshape(-1, 2).tolist()]
-        pairs += [p for p in drawn if p not in pairs]
-    return np.array(pairs[:CHOICES])
+def _choices(width: int) -> np.ndarray:
+    """``CHOICES`` sets of ``width`` byte positions, each position in as many as any other, or a few more."""
+    dice, sets = np.random.default_rng(SEED), []
+    while len(sets) < CHOICES[width]:
+        dealt = dice.permutation(WIDE)[: WIDE // width * width].reshape(-1, width)
+        drawn = [tuple(sorted(p)) for p in dealt.tolist()]
+        sets += [p for p in drawn if p not in sets]
+    return np.array(sets[: CHOICES[width]])
 
 
 def wide_prints(docs: DataFrame, words: int = 5, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -285,14 +291,18 @@ def _forest(count: int, a: np.ndarray, b: np.ndarray, far: np.ndarray) -> np.nda
     return made
 
 
-def _pairs(lists: np.ndarray, nodes: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(a, b, far) of nodes in one list that share ``SHARED`` bytes, rows being ordered by list.
+def _pairs(lists: np.ndarray, nodes: np.ndarray, prints: np.ndarray, together: int, partners: int) -> tuple[np.ndarray, ...]:
+    """(a, b, far) of nodes in one list that share ``SHARED`` bytes, rows being ordered by list, and the lists that were thinned.
 
-    Nodes with more than ``PARTNERS`` partners keep those that the list's
-    minimum spanning forest needs, so a list of n gives O(n) pairs.
+    Nodes with more partners than ``partners`` keep those that the list's minimum
+    spanning forest needs, so a list of n gives O(n) pairs. Parts of more than
+    ``together`` rows, whose bytes agree so often, look at the next ``partners`` rows.
     """
     made, at = [], np.arange(len(lists))
-    for step in range(1, NEXT + 1):
+    large = np.bincount(lists)[lists] > together
+    for step in range(1, len(lists)):
+        if step == partners + 1:
+            at = at[~large[at]]
         at = at[at < len(lists) - step]
         at = at[lists[at] == lists[at + step]]
         if not len(at):
@@ -302,58 +312,156 @@ def _pairs(lists: np.ndarray, nodes: np.ndarray, prints: np.ndarray) -> tuple[np
         near = tally >= SHARED
         made.append((at[near], at[near] + step, np.bitwise_count(differ[near]).sum(axis=1, dtype=np.int64)))
     if not made:
-        return (np.empty(0, np.int64),) * 3
+        return (np.empty(0, np.int64),) * 4
     a, b, far = (np.concatenate([m[k] for m in made]) for k in range(3))
-    partners = np.bincount(np.concatenate([a, b]), minlength=len(lists))
-    kept = ((partners[a] <= PARTNERS) & (partners[b] <= PARTNERS)) | _forest(len(lists), a, b, far)
+    found = np.bincount(np.concatenate([a, b]), minlength=len(lists))
+    kept = (found[a] <= partners) & (found[b] <= partners)
+    if not kept.all():
+        kept |= _forest(len(lists), a, b, far)
+    thinned = np.unique(lists[a[~kept]])
     a, b = nodes[a[kept]], nodes[b[kept]]
-    return np.minimum(a, b), np.maximum(a, b), far[kept]
+    return np.minimum(a, b), np.maximum(a, b), far[kept], thinned
 
 
-def candidates(prints: DataFrame) -> DataFrame:
-    """(a, b, far): nodes whose wide fingerprints share enough bytes, and the bits that they differ in.
-
-    ``prints`` holds distinct nodes. A posting list stands for two positions and
-    their bytes. A row is tallied with the next ``NEXT`` of its list, all of a
-    list up to that size; longer ones are ordered by further bytes.
-    """
-    chosen = _choices()
+def _dealt(prints: DataFrame, width: int, others: tuple[str, ...]) -> DataFrame:
+    """(list, *others) of ``prints``: a row for each choice of positions; the list stands for them and their bytes."""
+    chosen = _choices(width)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             prints = np.frombuffer(b"".join(batch.column("fp").to_pylist()), np.uint8).reshape(-1, WIDE)
-            lists = (np.arange(CHOICES) << 16) + prints[:, chosen[:, 0]] * np.int64(256) + prints[:, chosen[:, 1]]
-            of = pa.array(np.repeat(np.arange(len(prints)), CHOICES))
-            columns = [pa.array(lists.ravel().astype(np.int32)), batch.column("node").take(of), batch.column("fp").take(of)]
-            yield pa.RecordBatch.from_arrays(columns, ["list", "node", "fp"])
+            lists = np.arange(len(chosen), dtype=np.int64)[None, :]
+            for k in range(width):
+                lists = lists * 256 + prints[:, chosen[:, k]]
+            of = pa.array(np.repeat(np.arange(len(prints)), len(chosen)))
+            yield pa.RecordBatch.from_arrays([pa.array(lists.ravel()), *[batch.column(c).take(of) for c in others]], ["list", *others])
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists, nodes = np.empty(0, np.int32), np.empty(0, np.int64)
-        prints = np.empty((0, WIDE // 8), np.uint64)
+    schema = ", ".join(["list long", *[f"{c} {prints.schema[c].dataType.simpleString()}" for c in others]])
+    return prints.select("fp", *[c for c in others if c != "fp"]).mapInArrow(deal, schema)
 
-        def out(upto: int) -> pa.RecordBatch:
-            made = _pairs(lists[:upto], nodes[:upto], prints[:upto])
-            return pa.RecordBatch.from_arrays([pa.array(m) for m in made], ["a", "b", "far"])
+
+def candidates(prints: DataFrame, width: int = 2, together: int = TOGETHER, partners: int = PARTNERS) -> DataFrame:
+    """(a, b, far): nodes whose wide fingerprints share enough bytes, and the bits that they differ in.
+
+    ``prints`` holds distinct nodes. A posting list stands for ``width`` positions
+    and their bytes. Lists of more than ``together`` rows are dealt in parts by a
+    hash of further bytes. Rows without ``b`` name the lists, as ``a``, from which
+    pairs were left out, in this way or by the thinning of ``_pairs``:
+    ``between_groups`` goes through all of those.
+    """
+    sizes = _dealt(prints, width, ("node",)).groupBy("list").count()
+    long = stage(sizes.filter(F.col("count") > together), "long-lists")
+    postings = _dealt(prints, width, ("node", "fp"))
+    some = long.limit(1).count()
+    if some:
+        parts = F.ceil(F.col("count") / together).cast("int")
+        further = F.xxhash64(F.expr(f"substring(fp, 1 + cast(list % {WIDE - 3} as int), 3)"))
+        postings = postings.join(long, "list", "left").withColumn("part", F.coalesce(F.pmod(further, parts), F.lit(0)).cast("int"))
+    else:
+        postings = postings.withColumn("part", F.lit(0))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def out(rows: pa.RecordBatch) -> pa.RecordBatch:
+            lists, parts = rows.column("list").to_numpy(), rows.column("part").to_numpy()
+            new = np.append(True, (lists[1:] != lists[:-1]) | (parts[1:] != parts[:-1]))
+            prints = np.frombuffer(b"".join(rows.column("fp").to_pylist()), np.uint64).reshape(-1, WIDE // 8)
+            *made, thinned = _pairs(np.cumsum(new), rows.column("node").to_numpy(), prints, together, partners)
+            thinned = lists[new][thinned - 1]
+            nothing = pa.nulls(len(thinned), pa.int64())
+            columns = [pa.concat_arrays([pa.array(m), t]) for m, t in zip(made, (pa.array(thinned), nothing, nothing), strict=True)]
+            return pa.RecordBatch.from_arrays(columns, ["a", "b", "far"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            more = np.frombuffer(b"".join(batch.column("fp").to_pylist()), np.uint64).reshape(-1, WIDE // 8)
-            lists = np.concatenate([lists, batch.column("list").to_numpy()])
-            nodes = np.concatenate([nodes, batch.column("node").to_numpy()])
-            prints = np.concatenate([prints, more])
-            upto = int(np.searchsorted(lists, lists[-1]))
+            lists, parts = batch.column("list").to_numpy(), batch.column("part").to_numpy()
+            upto = int(np.flatnonzero((lists != lists[-1]) | (parts != parts[-1]))[-1]) + 1 if (lists[0], parts[0]) != (lists[-1], parts[-1]) else 0
+            if held and not upto and (held[-1].column("list")[0].as_py(), held[-1].column("part")[0].as_py()) != (lists[0], parts[0]):
+                yield out(pa.concat_batches(held))
+                held = []
             if upto:
-                yield out(upto)
-                lists, nodes, prints = lists[upto:], nodes[upto:], prints[upto:]
-        if len(lists):
-            yield out(len(lists))
+                yield out(pa.concat_batches([*held, batch.slice(0, upto)]))
+                held = []
+            held.append(batch.slice(upto))
+        if held:
+            yield out(pa.concat_batches(held))
+
+    dealt = postings.select("list", "part", "node", "fp").repartition("list", "part").sortWithinPartitions("list", "part")
+    found = dealt.mapInArrow(meet, "a long, b long, far long")
+    cut = long.select(F.col("list").alias("a"), F.lit(None).cast("long").alias("b"), F.lit(None).cast("long").alias("far"))
+    return found.union(cut).distinct()
+
 
-    dealt = prints.select("node", "fp").mapInArrow(deal, "list int, node long, fp binary").repartition("list")
-    after = F.expr(f"substring(fp, 1 + (list >> 16) * 7 % {WIDE - 7}, 8)")
-    return dealt.sortWithinPartitions("list", after).mapInArrow(meet, "a long, b long, far long").distinct()
+def between_groups(prints: DataFrame, lists: DataFrame, width: int = 2, together: int = TOGETHER) -> DataFrame:
+    """(a, b): all nodes of different ``root`` that share a list of ``lists`` and enough bytes.
+
+    ``prints`` is (node, fp, root). The rows of a list are numbered by root and cut
+    into blocks of ``together``; each pair of blocks that holds two roots meets in
+    one place. So a list may be of any length, and the blocks of one large group
+    meet only the others.
+    """
+    dense = stage(_dealt(prints, width, ("node", "root")).join(lists, "list", "left_semi"), "dense")
+    mixed = dense.groupBy("list").agg((F.min("root") != F.max("root")).alias("mixed")).filter("mixed")
+    rows = stage(dense.join(mixed, "list", "left_semi"), "mixed")
+    rows = stage(number_rows(rows, ["root asc", "node asc"], "n", ["list"]), "numbered")
+    spans = rows.groupBy("list", "root").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    sizes = rows.groupBy("list").agg(F.max("n").alias("size"))
+    placed = rows.join(spans, ["list", "root"]).join(sizes, "list").join(prints.select("node", "fp"), "node")
+
+    def block(n) -> Column:
+        return F.floor((n - 1) / together).cast("int")
+
+    own, last = block(F.col("n")), block(F.col("size"))
+    alone = (own * together + 1 >= F.col("least")) & (F.least((own + 1) * together, F.col("size")) <= F.col("most"))
+    after = F.when(alone, block(F.col("most") + 1)).otherwise(own)
+    before = F.when(alone, block(F.col("least") - 1)).otherwise(own - 1)
+    none = F.array().cast("array<int>")
+    right = F.when((F.col("most") == F.col("size")) & alone, none).otherwise(F.sequence(after, last))
+    left = F.when(before < 0, none).otherwise(F.sequence(F.lit(0), F.greatest(before, F.lit(0))))
+    places = F.concat(
+        F.transform(right, lambda b: F.struct(own.alias("i"), b.alias("j"), F.lit(0).alias("side"))),
+        F.transform(left, lambda b: F.struct(b.alias("i"), own.alias("j"), F.lit(1).alias("side"))),
+    )
+    dealt = placed.select("list", "node", "root", "fp", F.explode(places).alias("p")).select("list", "p.*", "node", "root", "fp")
+    dealt = dealt.repartition("list", "i", "j").sortWithinPartitions("list", "i", "j", "side")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+
+        def out() -> pa.RecordBatch:
+            rows = pa.concat_batches(held)
+            nodes, roots, side = (rows.column(c).to_numpy() for c in ("node", "root", "side"))
+            prints = np.frombuffer(b"".join(rows.column("fp").to_pylist()), np.uint8).reshape(-1, WIDE)
+            alone = at[1] == at[2]
+            rights = np.arange(len(nodes)) if alone else np.flatnonzero(side == 1)
+            made = []
+            for i in range(len(nodes) if alone else int((side == 0).sum())):
+                others = rights[(rights > i) & (roots[rights] != roots[i])]
+                shared = (prints[others] == prints[i]).sum(axis=1)
+                for other in others[shared >= SHARED]:
+                    made.append((min(nodes[i], nodes[other]), max(nodes[i], nodes[other])))
+            columns = zip(*made, strict=True) if made else ([], [])
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+
+        for batch in batches:
+            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("list", "i", "j")])
+            new = np.flatnonzero((np.diff(keys, axis=1) != 0).any(axis=0)) + 1
+            edges = [0, *new.tolist(), batch.num_rows] if batch.num_rows else []
+            for start, stop in zip(edges, edges[1:], strict=False):
+                own_key = tuple(keys[:, start].tolist())
+                if own_key != at:
+                    if held:
+                        yield out()
+                    at, held = own_key, []
+                held.append(batch.slice(start, stop - start))
+        if held:
+            yield out()
+
+    return dealt.mapInArrow(meet, "a long, b long").distinct()
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, least: float, words: int) -> DataFrame:
@@ -376,35 +484,61 @@ def _similar(pairs: DataFrame, texts: DataFrame, least: float, words: int) -> Da
     return map_batches(pairs.select("a", "b").join(right, "b").join(left, "a"), of, "a long, b long")
 
 
-def similar_groups(docs: DataFrame, least: float = 0.8, words: int = 5, text: str = "text", key: str = "doc_id") -> DataFrame:
+def similar_groups(
+    docs: DataFrame,
+    least: float = 0.8,
+    words: int = 5,
+    text: str = "text",
+    key: str = "doc_id",
+    together: int = TOGETHER,
+    partners: int = PARTNERS,
+) -> DataFrame:
     """(key, r1, r2, root): rows whose shingle sets are linked by a Jaccard similarity of ``least`` share ``root``.
 
     Texts of equal sets are folded first, those without words among them. Every
-    link is verified on the texts; a pair is missed if its fingerprints share no
-    choice of positions. The nearest candidate of each node is verified first,
-    then all that still lie between two groups: the others would change nothing.
+    link is verified on the texts; a pair is missed only if its fingerprints share
+    no choice of positions, or fewer than ``SHARED`` bytes. Candidates are verified
+    in three steps, each of which leaves out pairs that lie in one group already:
+    the nearest one of each node, the others, and all pairs between groups in the
+    lists of dense groups, which the first two steps have thinned.
     """
     prints = stage(wide_prints(docs, words, text, key), "wide")
     distinct = stage(prints.groupBy("node").agg(F.first("fp").alias("fp")), "distinct")
-    pairs = stage(candidates(distinct), "candidates")
-    ends = pairs.select(F.col("a").alias("node"), "a", "b", "far").union(pairs.select(F.col("b").alias("node"), "a", "b", "far"))
-    nodes = ends.select("node").distinct()
-    lead = prints.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("r1", "r2")).alias("one"))
+    width = 2 if distinct.count() < MANY else 3
+    found = stage(candidates(distinct, width, together, partners), "candidates")
+    pairs = found.filter("b is not null")
+    lists = found.filter("b is null").select(F.col("a").alias("list")).distinct()
     r1, r2 = identity(key, text)
     bodies = docs.select(r1.alias("r1"), r2.alias("r2"), F.col(text).alias("text"))
-    texts = bodies.join(lead.select("node", "one.r1", "one.r2"), ["r1", "r2"]).select("node", "text")
-    texts = stage(texts.dropDuplicates(["node"]), "texts")
+
+    def texts_of(pairs: DataFrame) -> DataFrame:
+        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        lead = prints.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("r1", "r2")).alias("one"))
+        own = bodies.join(lead.select("node", "one.r1", "one.r2"), ["r1", "r2"]).select("node", "text")
+        return stage(own.dropDuplicates(["node"]), "texts")
+
+    def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+        to_a = roots.select(F.col("node").alias("a"), F.col("root").alias("of_a"))
+        to_b = roots.select(F.col("node").alias("b"), F.col("root").alias("of_b"))
+        different = F.coalesce("of_a", "a") != F.coalesce("of_b", "b")
+        return pairs.join(to_a, "a", "left").join(to_b, "b", "left").filter(different).select("a", "b")
+
+    texts = texts_of(pairs)
+    ends = pairs.select(F.col("a").alias("node"), "a", "b", "far").union(pairs.select(F.col("b").alias("node"), "a", "b", "far"))
     nearest = ends.groupBy("node").agg(F.min(F.struct("far", "a", "b")).alias("one")).select("one.a", "one.b").distinct()
-    first = stage(_similar(nearest, texts, least, words), "verified")
-    roots = connected_components(first)
-    to_a = roots.select(F.col("node").alias("a"), F.col("root").alias("of_a"))
-    to_b = roots.select(F.col("node").alias("b"), F.col("root").alias("of_b"))
-    apart = F.coalesce("of_a", "a") != F.coalesce("of_b", "b")
-    rest = pairs.join(to_a, "a", "left").join(to_b, "b", "left").filter(apart).select("a", "b")
-    rest = stage(rest.join(nearest, ["a", "b"], "left_anti"), "rest")
-    roots = connected_components(first.union(_similar(rest, texts, least, words)))
-    found = prints.join(roots, "node", "left")
-    return found.select(F.col("key").alias(key), "r1", "r2", F.coalesce("root", "node").alias("root"))
+    edges = stage(_similar(nearest, texts, least, words), "verified")
+    roots = connected_components(edges)
+    rest = stage(apart(pairs, roots).join(nearest, ["a", "b"], "left_anti"), "rest")
+    edges = stage(edges.union(_similar(rest, texts, least, words)), "verified")
+    roots = connected_components(edges)
+    if lists.limit(1).count():
+        rooted = distinct.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        tried = pairs.select("a", "b")
+        more = stage(between_groups(stage(rooted, "rooted"), lists, width, together).join(tried, ["a", "b"], "left_anti"), "between")
+        if more.limit(1).count():
+            roots = connected_components(edges.union(_similar(more, texts_of(more), least, words)))
+    linked = prints.join(roots, "node", "left")
+    return linked.select(F.col("key").alias(key), "r1", "r2", F.coalesce("root", "node").alias("root"))
 
 
 def keep_dissimilar(docs: DataFrame, least: float = 0.8, words: int = 5, text: str = "text", key: str = "doc_id") -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 import corpus_pipeline
 from conftest import noise
 from tablewright.llm import simhash
-from tablewright.llm.common import stage
+from tablewright.llm.common import find_package, stage
 
 
 def shingle_set(text, words=5):
@@ -60,14 +60,8 @@ def test_pipeline_drops_planted_near_copies(spark, as_documents):
     assert min(recall) >= 0.93 and min(recall[1:]) >= 0.97
 
 
-def test_only_similar_texts_are_linked(spark, as_documents, tricky_rows):
-    dice, rows = random.Random(2), list(tricky_rows)
-    for k in range(40):  # near misses
-        text = noise(500 + k, 150)
-        rows += [(1000 + 2 * k, text, "s"), (1001 + 2 * k, edited(text, 0.7, 0.795, dice), "s")]
-    base = noise(77, 200)
-    rows += [(2000 + k, edited(base, 0.85, 0.95, dice), "s") for k in range(60)]  # one large group
-    docs = stage(as_documents(rows))
+def plain_groups(rows, least=0.8):
+    """The group of each row, by comparing all pairs."""
     parent = list(range(len(rows)))
 
     def root(x):
@@ -78,15 +72,82 @@ def test_only_similar_texts_are_linked(spark, as_documents, tricky_rows):
     sets = [shingle_set(t) for _, t, _ in rows]
     for i, one in enumerate(sets):
         for j, two in enumerate(sets[:i]):
-            if len(one & two) >= 0.8 * len(one | two):
+            if len(one & two) >= least * len(one | two):
                 a, b = root(i), root(j)
                 parent[max(a, b)] = min(a, b)
-    want = Counter()
-    for group in {root(i) for i in range(len(rows))}:
-        keys = [rows[i][0] for i in range(len(rows)) if root(i) == group]
+    return [root(i) for i in range(len(rows))]
+
+
+def plain_kept(rows):
+    roots, want = plain_groups(rows), Counter()
+    for group in set(roots):
+        keys = [rows[i][0] for i in range(len(rows)) if roots[i] == group]
         want[min((k for k in keys if k is not None), default=None)] += 1
+    return want
+
+
+def test_only_similar_texts_are_linked(spark, as_documents, tricky_rows):
+    dice, rows = random.Random(2), list(tricky_rows)
+    for k in range(40):  # near misses
+        text = noise(500 + k, 150)
+        rows += [(1000 + 2 * k, text, "s"), (1001 + 2 * k, edited(text, 0.7, 0.795, dice), "s")]
+    base = noise(77, 200)
+    rows += [(2000 + k, edited(base, 0.85, 0.95, dice), "s") for k in range(60)]  # one large group
+    docs = stage(as_documents(rows))
     kept = simhash.keep_dissimilar(docs)
-    assert Counter(r.doc_id for r in kept.collect()) == want and kept.columns == docs.columns
+    assert Counter(r.doc_id for r in kept.collect()) == plain_kept(rows) and kept.columns == docs.columns
+
+
+@pytest.fixture(scope="module")
+def loose_groups():
+    """Texts edited from bases that are left out: few of many candidates are links."""
+    dice, rows = random.Random(9), []
+    for g in range(2):
+        base = noise(300 + g, 200)
+        rows += [(100 * g + k, edited(base, 0.85, 0.885, dice), "s") for k in range(80)]
+    return rows
+
+
+def grouped(docs, **bounds):
+    made = {}
+    for r in simhash.similar_groups(docs, **bounds).collect():
+        made.setdefault(r.root, set()).add(r.doc_id)
+    return sorted(map(sorted, made.values()))
+
+
+def test_thinned_lists_lose_no_link(as_documents, loose_groups):
+    """Far more thinning than in production leaves the groups of all candidates; those find 0.9 of the true merges."""
+    docs = stage(as_documents(loose_groups))
+    every = grouped(docs, together=10_000, partners=10_000)
+    true = len(set(plain_groups(loose_groups)))
+    found = (len(loose_groups) - len(every)) / (len(loose_groups) - true)
+    print("merges found", found, "of", len(loose_groups) - true)
+    assert true > 50 and 0.9 <= found <= 1
+    for bounds in ({"together": 5, "partners": 1},):
+        assert grouped(docs, **bounds) == every, bounds
+
+
+def test_blocks_of_a_long_list_meet_where_roots_differ(spark):
+    """Every pair of different roots once, whatever the blocks; equal roots never."""
+    find_package(spark)
+    dice = np.random.default_rng(3)
+    for roots in ([7] * 30 + [9] * 3, list(range(15)), [1] * 4 + [2] * 4 + [3] * 12 + [4]):
+        rows = [(int(n), bytes(simhash.WIDE), int(r)) for n, r in enumerate(roots)]
+        prints = spark.createDataFrame([rows[i] for i in dice.permutation(len(rows))], "node long, fp binary, root long")
+        lists = simhash._dealt(prints, 2, ("node",)).select("list").distinct().limit(1)
+        for together in (1, 4):
+            got = {(r.a, r.b) for r in simhash.between_groups(prints, stage(lists), together=together).collect()}
+            assert got == {(i, j) for j in range(len(roots)) for i in range(j) if roots[i] != roots[j]}
+
+
+def test_lists_of_three_positions(as_documents, monkeypatch):
+    monkeypatch.setattr(simhash, "MANY", 0)
+    dice, rows = random.Random(4), []
+    for k in range(60):
+        text = noise(700 + k, 150)
+        rows += [(2 * k, text, "s"), (2 * k + 1, edited(text, 0.85, 0.95, dice), "s")]
+    kept = {r.doc_id for r in simhash.keep_dissimilar(stage(as_documents(rows))).collect()}
+    assert {2 * k for k in range(60)} <= kept and len(kept) <= 62
 
 
 def test_near_copies_of_nothing(no_docs):

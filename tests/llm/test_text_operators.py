@@ -1,6 +1,7 @@
 """Operators on documents against plain Python on small tables with every awkward case."""
 
 import hashlib
+import math
 import random
 import re
 import time
@@ -12,6 +13,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from conftest import noise
+
 from tablewright.llm import fuzzy, lines, mixing, packing, passages, pii, quality, sharding, simhash
 from tablewright.llm.queries import hex_digest, token_file
 
@@ -117,6 +120,17 @@ def test_passages(tricky_docs, tricky_rows, window):
     assert counted(done.select("doc_id", "n_words", "n_removed", F.col("kept").cast("string"))) == plain_passages(tricky_rows, window)
 
 
+def test_passages_of_rows_that_share_key_and_tag(as_documents, monkeypatch):
+    """Rows without a key whose 32 bits agree keep their own words, however short."""
+    monkeypatch.setattr(passages, "_tag", lambda r1="r1": F.lit(1))
+    shared = noise(70, 30)
+    rows = [(None, f"{noise(600 + i, 3 * i)} {shared} {noise(700 + i, 40 - i)}", "s") for i in range(40)]
+    rows += [(None, noise(800 + i, 21 + i), "s") for i in range(5)] + [(1, noise(900, 25), "s"), (2, shared, "s")]
+    docs = as_documents(rows)
+    done = passages.dedup_passages(docs, window=20, render=hex_digest)
+    assert counted(done.select("doc_id", "n_words", "n_removed", F.col("kept").cast("string"))) == plain_passages(rows, 20)
+
+
 def test_passages_of_nothing_and_of_short_windows(no_docs):
     assert passages.dedup_passages(no_docs).count() == 0
     with pytest.raises(ValueError):
@@ -524,6 +538,50 @@ def test_quality_learns_and_scores_every_text(spark, as_documents, tricky_docs,
     assert np.array_equal(model.at, again.at) and np.allclose(model.weights, again.weights)
 
 
+def plain_model(rows, epochs=4):
+    """FTRL-proximal over dictionaries, in the order that the operator documents: (key hash, rows) permuted by epoch."""
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(c):
+        slack = math.copysign(max(abs(z[c]) - 0.01, 0), z[c])
+        return -slack / ((1 + math.sqrt(n[c])) / 1.0 + 0.1)
+
+    for epoch in range(epochs):
+        for i in np.random.default_rng(epoch).permutation(len(rows)):
+            label, vector = rows[i]
+            held = {c: weight(c) for c in vector}
+            guess = 1 / (1 + math.exp(-max(-40, min(40, sum(held[c] * x for c, x in vector.items())))))
+            for c, x in vector.items():
+                g = (guess - label) * x
+                z[c] += g - (math.sqrt(n[c] + g * g) - math.sqrt(n[c])) * held[c]
+                n[c] += g * g
+    return {c: weight(c) for c in z if weight(c)}
+
+
+def test_quality_against_plain_ftrl(spark, as_documents):
+    texts = {i: noise(i, 20 + i) + (" GOOD." if i % 2 else " ###") for i in range(30)}
+    labels = spark.createDataFrame([(i, i % 2) for i in texts], "doc_id long, quality int")
+    model = quality.fit(as_documents([(i, t, "s") for i, t in texts.items()]), labels)
+    order = {r.doc_id: r.h for r in labels.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    rows = []
+    for i in sorted(texts, key=order.get):
+        found = Counter(quality.columns(texts[i].encode())[0].tolist())
+        total = sum(found.values())
+        rows.append((i % 2, {0: 1.0} | {c: float(np.float32(k * quality.SCALE / total)) for c, k in found.items()}))
+    want = plain_model(rows)
+    got = dict(zip(model.at.tolist(), model.weights.tolist()))
+    assert got.keys() == want.keys() and all(got[c] == pytest.approx(want[c], rel=1e-6, abs=1e-9) for c in want)
+
+
+def test_quality_learns_from_a_bounded_number_of_documents(spark, as_documents):
+    """One key on many documents does not send all of them to the task that trains."""
+    docs = as_documents([(7, f"{noise(i, 12)} good", "s") for i in range(10_000)] + [(8, "bad ###", "s")])
+    labels = spark.createDataFrame([(7, 1), (8, 0)], "doc_id long, quality int")
+    few = quality.fit(docs, labels, sample=64)
+    again = quality.fit(docs.repartition(5), labels, sample=64)
+    assert len(few.at) < 64 * 80 and np.array_equal(few.at, again.at) and np.allclose(few.weights, again.weights)
+
+
 def test_quality_of_nothing(spark, no_docs, tricky_docs):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     model = quality.fit(no_docs, labels)
