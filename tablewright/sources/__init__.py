@@ -23,6 +23,7 @@ from tablewright.sources.sinks import (
     write_parquet,
     write_relational,
 )
+from tablewright.sources.snapshots import Snapshots
 from tablewright.sources.xml import parse_xml_column, read_xml
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -5,6 +5,13 @@ Everything in ``functions``, ``operators.columns`` (but for
 row by row applies to a streaming DataFrame as it is.
 """
 
+from tablewright.streaming.deliveries import (
+    BatchProfiles,
+    harvest_into,
+    merged_profile,
+    once_per_key,
+    run_profiled,
+)
 from tablewright.streaming.jobs import (
     apply_steps,
     enrich_stream,

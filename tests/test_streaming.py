@@ -1,11 +1,15 @@
 """Streams give what the same operators give on a stored table."""
 
+import random
+from datetime import datetime
 from pathlib import Path
 
 import pytest
-from pyspark.errors import StreamingQueryException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tablewright import sources as S
 from tablewright import streaming as X
 from tablewright.functions import strip, title_case
 from tablewright.operators import columns as C
@@ -109,3 +113,124 @@ def test_failed_contract_stops_the_query(spark, incoming, folder):
 def test_event_time(frame):
     df = frame("ts timestamp_ntz").transform(lambda d: as_event_time(d, "ts"))
     assert df.schema["ts"].dataType.simpleString() == "timestamp"
+
+
+# input that arrives again, late or corrected
+
+
+def _table(spark, folder, newest=("sent",), buckets=4, schema="k int, v string, sent int", name="table"):
+    return S.Snapshots(spark, folder(name), T.StructType.fromDDL(schema), ["k"], list(newest), buckets)
+
+
+OLD = [(1, "a", 1), (2, "b", 1), (None, "n", 1), (3, "c", 5)]
+NEW = [(2, "B", 2), (3, "late", 4), (4, "d", 1), (4, "D", 3), (None, None, 0), (None, "N", None)]
+MERGED = {(1, "a", 1), (2, "B", 2), (3, "c", 5), (4, "D", 3), (None, "n", 1)}
+
+
+def test_dispositions(spark, frame, folder, rows):
+    schema = "k int, v string, sent int"
+    old, new = frame(schema, *OLD), frame(schema, *NEW)
+    table = _table(spark, folder)
+    assert table.read().count() == 0 and table.run(old, "append") == 1
+    assert table.run(new, "append") == 2 and rows(table.read()) == sorted(OLD + NEW, key=repr)
+    assert table.run(old, "replace") == 3 and rows(table.read()) == sorted(OLD, key=repr)
+    assert table.run(new, "merge") == 4 and set(rows(table.read())) == MERGED
+    # every earlier version is still there
+    assert rows(table.read(2)) == sorted(OLD + NEW, key=repr) and table.read(1).count() == 4
+    assert table.run(old.limit(0), "merge") == 5 and set(rows(table.read())) == MERGED
+    assert table.run(old.limit(0), "replace") == 6 and table.read().count() == 0
+    with pytest.raises(ValueError, match="disposition"):
+        table.run(old, "upsert")
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 50])
+def test_order_of_arrival_decides_nothing(spark, frame, folder, rows, buckets):
+    """Any order of deliveries, repeated or not, gives the rows of one batch run."""
+    dice = random.Random(buckets)
+    schema = "k int, v string, sent int"
+    parts = [[(dice.choice([None, 1, 2, 3, 4]), dice.choice("ab"), dice.randint(0, 2)) for _ in range(6)] for _ in range(4)]
+    whole = _table(spark, folder, buckets=buckets, name="whole")
+    whole.run(frame(schema, *[r for p in parts for r in p]))
+    for trial in range(2):
+        dice.shuffle(parts)
+        table = _table(spark, folder, buckets=buckets, name=f"t{trial}")
+        for part in [*parts, parts[0]]:
+            table.run(frame(schema, *part))
+        assert rows(table.read()) == rows(whole.read())
+
+
+def test_a_merge_leaves_other_buckets_alone(spark, frame, folder):
+    schema = "k int, v string, sent int"
+    table = _table(spark, folder, buckets=16)
+    table.run(frame(schema, *[(i, "x", 0) for i in range(200)]))
+    before = {r.bucket: r.folder for r in table.versions().filter("version = 1").collect()}
+    table.run(frame(schema, (7, "y", 1)))
+    after = {r.bucket: r.folder for r in table.versions().filter("version = 2").collect()}
+    assert before.keys() == after.keys() and sum(before[b] != after[b] for b in before) == 1
+
+
+def test_a_batch_that_runs_again_changes_nothing(spark, frame, folder, rows):
+    table = _table(spark, folder)
+    one = frame("k int, v string, sent int", (1, "a", 1))
+    assert [table.run(one, "append", batch=0), table.run(one, "append", batch=0), table.run(one, "append", batch=1)] == [1, 1, 2]
+    assert rows(table.read()) == [(1, "a", 1)] * 2
+
+
+def test_a_run_that_dies_leaves_the_last_version(spark, frame, folder, rows):
+    table = _table(spark, folder)
+    table.run(frame("k int, v string, sent int", (1, "a", 1)))
+    bad = frame("k int, v string, sent int", (2, "b", 1)).withColumn("v", F.raise_error(F.lit("lost")))
+    with pytest.raises(Exception, match="lost"):
+        table.run(bad)
+    assert rows(table.read()) == [(1, "a", 1)]
+    # two runs that began with the same version: the second one to end fails
+    Path(folder("table"), "versions", f"{2:012d}").mkdir()
+    with pytest.raises(AnalysisException):
+        table.run(frame("k int, v string, sent int", (3, "c", 1)))
+
+
+def test_harvest_into_merges_files_that_arrive_again(spark, frame, folder, rows):
+    table = _table(spark, folder)
+
+    def deliver(*found):
+        frame("k int, v string, sent int", *found).coalesce(1).write.mode("append").parquet(folder("in"))
+        X.harvest_into(read_files(spark, folder("in"), table.schema), table, folder("state"))
+
+    deliver(*OLD)
+    deliver(*NEW)
+    deliver(*OLD)
+    assert set(rows(table.read())) == MERGED
+
+
+def test_each_event_once_within_the_delay(spark, frame, folder, rows):
+    schema = "id int, at timestamp_ntz, v int"
+    day = lambda n: datetime(2024, 1, n)
+    deliveries = [
+        [(1, day(1), 1), (2, day(2), 2), (2, day(2), 2)],
+        [(1, day(1), 1), (3, day(3), 3)],
+        [(4, day(20), 4)],
+        [(5, day(18), 5), (4, day(20), 4)],  # late, but within the delay
+        [(6, day(2), 6)],  # later than that
+    ]
+    for found in deliveries:
+        frame(schema, *found).coalesce(1).write.mode("append").parquet(folder("in"))
+        stream = X.once_per_key(read_files(spark, folder("in"), schema), ["id"], "at", "5 days").select("id", "v")
+        out = _run(spark, stream, folder, "out")
+    assert rows(out) == [(i, i) for i in range(1, 6)]
+
+
+def test_profiles_of_batches(spark, incoming, folder, rows):
+    incoming((4, None, None), (5, None, 1.0))
+    stream = read_files(spark, folder("incoming"), SCHEMA, files_per_batch=1)
+    found = X.run_profiled(stream, "p", ["name", "price"], lambda s: run_available(
+        s.writeStream.format("parquet").option("path", folder("out")).option("checkpointLocation", folder("state"))))
+    whole = rows(X.merged_profile(found).select("column_name", "rows", "nulls"))
+    stored = spark.read.parquet(folder("incoming"))
+    want = [(c, stored.count(), stored.filter(F.col(c).isNull()).count()) for c in ("name", "price")]
+    assert whole == want and found.select("batch_id").distinct().count() == 3
+    sizes = {r.rows for r in found.collect()}
+    assert sizes == {1, 2} and stored.count() == spark.read.parquet(folder("out")).count()
+    # nothing new: no batch, no rows
+    again = X.run_profiled(stream, "p", ["name"], lambda s: run_available(
+        s.writeStream.format("parquet").option("path", folder("out")).option("checkpointLocation", folder("state"))))
+    assert again.count() == 0
