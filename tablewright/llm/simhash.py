@@ -328,9 +328,7 @@ def _dealt(prints: DataFrame, width: int, others: tuple[str, ...]) -> DataFrame:
     chosen = _choices(width)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (b.slice(at, TOGETHER) for b in batches for at in range(0, b.num_rows, TOGETHER)):
             prints = np.frombuffer(b"".join(batch.column("fp").to_pylist()), np.uint8).reshape(-1, WIDE)
             lists = np.arange(len(chosen), dtype=np.int64)[None, :]
             for k in range(width):
@@ -365,6 +363,16 @@ def candidates(prints: DataFrame, width: int = 2, together: int = TOGETHER, part
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
+        def outs(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            """Whole lists, some ``together`` rows of them at once."""
+            lists, parts = rows.column("list").to_numpy(), rows.column("part").to_numpy()
+            starts = np.flatnonzero(np.append(True, (lists[1:] != lists[:-1]) | (parts[1:] != parts[:-1])))
+            first = 0
+            for stop in [*starts[1:].tolist(), len(lists)]:
+                if stop - first >= together or stop == len(lists):
+                    yield out(rows.slice(first, stop - first))
+                    first = stop
+
         def out(rows: pa.RecordBatch) -> pa.RecordBatch:
             lists, parts = rows.column("list").to_numpy(), rows.column("part").to_numpy()
             new = np.append(True, (lists[1:] != lists[:-1]) | (parts[1:] != parts[:-1]))
@@ -381,14 +389,14 @@ def candidates(prints: DataFrame, width: int = 2, together: int = TOGETHER, part
             lists, parts = batch.column("list").to_numpy(), batch.column("part").to_numpy()
             upto = int(np.flatnonzero((lists != lists[-1]) | (parts != parts[-1]))[-1]) + 1 if (lists[0], parts[0]) != (lists[-1], parts[-1]) else 0
             if held and not upto and (held[-1].column("list")[0].as_py(), held[-1].column("part")[0].as_py()) != (lists[0], parts[0]):
-                yield out(pa.concat_batches(held))
+                yield from outs(pa.concat_batches(held))
                 held = []
             if upto:
-                yield out(pa.concat_batches([*held, batch.slice(0, upto)]))
+                yield from outs(pa.concat_batches([*held, batch.slice(0, upto)]))
                 held = []
             held.append(batch.slice(upto))
         if held:
-            yield out(pa.concat_batches(held))
+            yield from outs(pa.concat_batches(held))
 
     dealt = postings.select("list", "part", "node", "fp").repartition("list", "part").sortWithinPartitions("list", "part")
     found = dealt.mapInArrow(meet, "a long, b long, far long")
