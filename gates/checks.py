@@ -8,6 +8,7 @@ from gates.registry import query
 from tablewright.operators.columns import move_renamed_last
 from tablewright.quality import checks as K
 from tablewright.quality import contracts as R
+from tablewright.quality.increments import ContractStates
 from tablewright.quality import schema as S
 from tablewright.session import fresh_path
 from tablewright.sources import write_parquet
@@ -237,7 +238,39 @@ def q12_contract_runner(t):
             ],
         }
     )
-    return R.run_contract(t.lineitem, contract)
+    return R.run_contract(t.lineitem, contract, stored=True)
+
+
+@query(
+    " UNION ALL ".join(
+        [
+            _line("missing(l_shipdate)", "count_if(l_shipdate IS NULL)", "= 0", "count_if(l_shipdate IS NULL) = 0") + " FROM lineitem",
+            _line("invalid_percent(l_returnflag)", "count_if(l_returnflag NOT IN ('A', 'N')) * CAST(100 AS DOUBLE) / count(*)", "< 20",
+                  "count_if(l_returnflag NOT IN ('A', 'N')) * CAST(100 AS DOUBLE) / count(*) < 20") + " FROM lineitem",
+            _line("max(l_quantity)", "max(l_quantity)", "<= 50", "max(l_quantity) <= 50") + " FROM lineitem",
+            _line("row_count", "count(*)", "> 0", "count(*) > 0") + " FROM lineitem",
+            _line("duplicate(l_orderkey)", "count(*) - count(DISTINCT l_orderkey)", "= 0",
+                  "count(*) - count(DISTINCT l_orderkey) = 0") + " FROM lineitem",
+        ]
+    )
+)
+def q12_contract_states(t):
+    """Three slices of lineitem, one of them kept twice, judged from their states; orders lie across slices."""
+    contract = R.Contract.from_dict(
+        {
+            "dataset": "lineitem",
+            "columns": [
+                {"name": "l_shipdate", "checks": [{"missing": {"must_be": 0}}]},
+                {"name": "l_returnflag", "checks": [{"invalid_percent": {"must_be_less_than": 20, "valid_values": ["A", "N"]}}]},
+                {"name": "l_quantity", "checks": [{"max": {"must_be_less_than_or_equal": 50}}]},
+            ],
+            "checks": [{"row_count": {"must_be_greater_than": 0}}, {"duplicate": {"columns": ["l_orderkey"], "must_be": 0}}],
+        }
+    )
+    states = ContractStates(t.spark, fresh_path(t.spark, "states"), contract)
+    for part in (0, 1, 2, 1):
+        states.add(f"line-{part}", t.lineitem.filter(F.col("l_linenumber") % 3 == part))
+    return states.result()
 
 
 @query(
@@ -329,18 +362,19 @@ def q18_referential_integrity(t):
 
 
 @query(
-    _reference_sql("lineitem", "(SELECT * FROM part WHERE p_size > 10)", "l_partkey", "p_partkey",
-                   "l_partkey")
+    _reference_sql("(SELECT * REPLACE (CASE WHEN l_quantity > 45 THEN -l_partkey ELSE l_partkey END AS l_partkey) FROM lineitem)",
+                   "part", "l_partkey", "p_partkey", "l_partkey")
     + " UNION ALL "
     + _reference_sql("lineitem", "supplier", "l_suppkey", "s_suppkey", "l_suppkey")
     + " UNION ALL "
     + _reference_sql("lineitem", "orders", "l_orderkey", "o_orderkey", "l_orderkey")
 )
 def q19_foreign_keys(t):
+    broken = F.when(F.col("l_quantity") > 45, -F.col("l_partkey")).otherwise(F.col("l_partkey"))
     result = K.foreign_keys(
-        t.lineitem,
+        t.lineitem.withColumn("l_partkey", broken),
         {
-            "l_partkey": (t.part.filter("p_size > 10"), "p_partkey"),
+            "l_partkey": (t.part, "p_partkey"),
             "l_suppkey": (t.supplier, "s_suppkey"),
             "l_orderkey": (t.orders, "o_orderkey"),
         },

@@ -39,6 +39,35 @@ def l1_column_lineage(t):
     return L.trace_errors(edges, validation_report(_labelled(t), DOCUMENT_RULES))
 
 
+@query(
+    """
+    WITH failures AS (
+      SELECT 'report' AS t, 'chars' AS c, count(*) AS n FROM documents WHERE n_chars > 500
+      UNION ALL SELECT 'report', 'label', count(*) FROM labels WHERE quality = 0
+      UNION ALL SELECT 'lonely', 'score', count(*) FROM labels WHERE toxic = 1
+    )
+    SELECT source_table, source_column, 'limit' AS "check", CAST(sum(n) AS BIGINT) AS failures, count(*) AS outputs FROM (VALUES
+      ('chars', 'documents', 'text'), ('label', 'labels', 'quality'), ('label', 'documents', 'text'), ('score', 'lonely', 'score')
+    ) AS r(c, source_table, source_column) JOIN failures USING (c) GROUP BY ALL
+    """
+)
+def l1_roots_of_failures(t):
+    """Failures of a report, led back over two tables to the raw columns; two columns are made from each other."""
+    edges = (
+        L.column_lineage(t.spark, "clean", passthrough={"text": "documents"}, rename={"mark": ("labels", "quality")})
+        .unionByName(L.column_lineage(t.spark, "joined", computed={"size": [("clean", "text"), ("joined", "trend")], "trend": [("joined", "size")]}))
+        .unionByName(L.column_lineage(t.spark, "joined", rename={"mark": ("clean", "mark")}))
+        .unionByName(L.column_lineage(t.spark, "report", computed={"chars": [("joined", "size")], "label": [("joined", "mark"), ("joined", "trend")]}))
+    )
+    count, limit = F.count(F.lit(1)).alias("failures"), F.lit("limit").alias("check")
+    report = (
+        t.documents.filter("n_chars > 500").agg(count).select(F.lit("report").alias("table"), F.lit("chars").alias("column"), limit, "failures")
+        .unionByName(t.labels.filter("quality = 0").agg(count).select(F.lit("report").alias("table"), F.lit("label").alias("column"), limit, "failures"))
+        .unionByName(t.labels.filter("toxic = 1").agg(count).select(F.lit("lonely").alias("table"), F.lit("score").alias("column"), limit, "failures"))
+    )
+    return L.trace_to_roots(edges, report)
+
+
 @query(
     """
     SELECT 'published' AS output_table, c AS output_column, 'customer' AS source_table,

@@ -1,5 +1,7 @@
 """The enriched tables, their outputs and their variants."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from gates.registry import query
@@ -31,6 +33,14 @@ def m1_sales_transform(t):
     return _sales_transform(t)
 
 
+@query(f"{WITH_SALES} SELECT * FROM sales_transform")
+def m1_sales_colocated(t):
+    """Sales and artworks stored in buckets, joined without moving them."""
+    name = f"gate_{uuid.uuid4().hex}"
+    stored = plans.store_for_sales(sales(t), artworks(t), fresh_path(t.spark, "buckets"), name, buckets=8)
+    return plans.sales_colocated(*stored, artists(t))
+
+
 @query(f"{WITH_SALES} SELECT * FROM sales_transform WHERE sale_price_usd >= {HIGH_VALUE}")
 def m2_sales_output(t):
     return plans.sales_output(_sales_transform(t), HIGH_VALUE)

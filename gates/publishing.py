@@ -242,3 +242,19 @@ def x10_batch_enrichment(t):
     return enriched.select(
         "embedding_id", "text", "model", "dimensions", "total_tokens", counts.alias("counts")
     )
+
+
+@query(
+    """
+    SELECT doc_id, text, 'letters' AS model, CAST(8 AS BIGINT) AS dimensions,
+           array_to_string([CAST(length(text) - length(replace(text, c, '')) AS VARCHAR) FOR c IN
+             ['a', 'e', 'i', 'n', 'o', 'r', 's', 't']], ',') AS counts FROM documents
+    """
+)
+def x10_paid_once(t):
+    """The second run finds every text of the first in the store."""
+    store, docs = fresh_path(t.spark, "vectors"), t.documents.select("doc_id", "text")
+    for _ in range(2):
+        enriched = P.embed_once(docs, "text", _letter_counts, "letters", store)
+    counts = F.array_join(F.transform("embedding", lambda x: x.cast("long").cast("string")), ",")
+    return enriched.select("doc_id", "text", "model", "dimensions", counts.alias("counts"))

@@ -13,6 +13,8 @@ from gates.roles import (
     media,
     sales,
 )
+from tablewright.operators.digests import RangedTable, diff_stored
+from tablewright.session import fresh_path
 from tablewright.operators import aggregates as A
 from tablewright.operators import joins as J
 from tablewright.operators import ordering as O
@@ -169,6 +171,12 @@ def j1_join_with_hot_keys_spread(t):
     return joined.drop("s_suppkey")
 
 
+@query("SELECT l_suppkey, count(*) AS rows FROM lineitem GROUP BY l_suppkey HAVING count(*) > 600")
+def j1_frequent_keys(t):
+    # fewer counters than there are suppliers on the larger tables
+    return J.frequent_keys(t.lineitem, "l_suppkey", 600, counters=64)
+
+
 # --- aggregates ------------------------------------------------------------
 
 
@@ -758,3 +766,32 @@ def c2_custom_steps(t):
 @query("SELECT p_partkey, upper(p_name) AS p_name, upper(p_type) AS p_type FROM part")
 def c3_uppercase_columns(t):
     return uppercase_columns(t.part.select("p_partkey", "p_name", "p_type"), "p_name", "p_type")
+
+
+_CHANGED = """
+    SELECT * REPLACE (CASE WHEN o_orderkey % 997 = 3 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice)
+    FROM orders WHERE o_orderkey % 1009 <> 5 UNION ALL SELECT * FROM orders WHERE o_orderkey % 1013 = 7"""
+
+
+@query(
+    f"""
+    SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, coalesce(a.o_totalprice, b.o_totalprice) AS o_totalprice,
+           coalesce(a.n, 0) AS left_count, coalesce(b.n, 0) AS right_count
+    FROM (SELECT o_orderkey, o_totalprice, count(*) AS n FROM orders GROUP BY ALL) a
+    FULL JOIN (SELECT o_orderkey, o_totalprice, count(*) AS n FROM ({_CHANGED}) GROUP BY ALL) b
+      ON a.o_orderkey = b.o_orderkey AND a.o_totalprice = b.o_totalprice
+    WHERE coalesce(a.n, 0) != coalesce(b.n, 0)
+    """
+)
+def u2_diff_by_digests(t):
+    """Orders and a copy with some rows changed, lost or repeated: only their ranges are read again."""
+    key, price = F.col("o_orderkey"), F.col("o_totalprice")
+    changed = t.orders.filter(key % 1009 != 5).withColumn("o_totalprice", F.when(key % 997 == 3, price + 1).otherwise(price))
+    changed = changed.unionByName(t.orders.filter(key % 1013 == 7))
+    tables = []
+    for df in (t.orders, changed):
+        table = RangedTable(t.spark, fresh_path(t.spark, "ranged"), df.schema, ["o_orderkey"], ranges=64, fan=4)
+        table.write(df)
+        tables.append(table)
+    diff, _ = diff_stored(*tables)
+    return diff.rows.select("o_orderkey", "o_totalprice", "left_count", "right_count")

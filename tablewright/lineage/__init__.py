@@ -1,6 +1,12 @@
 """Column lineage and short profiles of tables."""
 
-from tablewright.lineage.edges import column_lineage, passthrough_lineage, trace_errors
+from tablewright.lineage.edges import (
+    column_lineage,
+    passthrough_lineage,
+    trace_errors,
+    trace_to_roots,
+    whole_lineage,
+)
 from tablewright.lineage.profile import (
     formatted_example,
     output_statistics,

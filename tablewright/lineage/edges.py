@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewright.session import stage
+
 EDGE_SCHEMA = (
     "output_table string, output_column string, source_table string, "
     "source_column string, kind string"
@@ -61,3 +63,46 @@ def trace_errors(edges: DataFrame, report: DataFrame) -> DataFrame:
     return edges.join(report, F.col("output_column") == F.col("column")).select(
         *edges.columns, "check", "failures"
     )
+
+
+def whole_lineage(edges: DataFrame, longest: int = 64) -> DataFrame:
+    """Every column that each column of ``edges`` is made from, over any number of tables.
+
+    output_table, output_column, source_table, source_column, steps (of the
+    shortest way) and is_root (nothing is known of its own sources). A step
+    doubles the length of the ways known, so a chain of n tables takes about
+    log2(n) of them, and ends when it finds no new pair, cycles or not; ``longest``
+    bounds the number of steps. Edges with a null end are left out.
+    """
+    ends = ["output_table", "output_column", "source_table", "source_column"]
+    first = edges.select(*ends).dropna().distinct()
+    first = stage(first.withColumn("steps", F.lit(1)), "lineage")
+    known, before = first, None
+    for _ in range(longest):
+        left = known.select("output_table", "output_column", F.col("source_table").alias("t"), F.col("source_column").alias("c"), F.col("steps").alias("s"))
+        right = known.select(F.col("output_table").alias("t"), F.col("output_column").alias("c"), "source_table", "source_column", "steps")
+        joined = left.join(right, ["t", "c"]).select(*ends, (F.col("s") + F.col("steps")).alias("steps"))
+        known = stage(known.unionByName(joined).groupBy(*ends).agg(F.min("steps").alias("steps")), "lineage")
+        total = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("steps"), F.lit(0))).first()
+        if tuple(total) == before:
+            break
+        before = tuple(total)
+    made = first.select(F.col("output_table").alias("source_table"), F.col("output_column").alias("source_column")).distinct()
+    return known.join(made.withColumn("made", F.lit(True)), ["source_table", "source_column"], "left").select(
+        *ends, "steps", F.col("made").isNull().alias("is_root")
+    )
+
+
+def trace_to_roots(edges: DataFrame, report: DataFrame) -> DataFrame:
+    """source_table, source_column, check, failures, outputs: failures of all columns that come from each root.
+
+    ``report`` has the columns ``table``, ``column``, ``check`` and ``failures``.
+    ``outputs`` counts the columns that fail; one that a root reaches on several
+    ways counts once. A failing column without edges is its own root.
+    """
+    roots = whole_lineage(edges).filter("is_root")
+    found = report.join(roots, (F.col("table") == F.col("output_table")) & (F.col("column") == F.col("output_column")), "left")
+    at = found.select(
+        F.coalesce("source_table", "table").alias("source_table"), F.coalesce("source_column", "column").alias("source_column"), "check", "failures"
+    )
+    return at.groupBy("source_table", "source_column", "check").agg(F.sum("failures").alias("failures"), F.count(F.lit(1)).alias("outputs"))

@@ -12,14 +12,20 @@ from collections.abc import Iterator, Mapping, Sequence
 from itertools import count, product
 from string import ascii_lowercase
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.errors import MissingColumn
+from tablewright.operators.aggregates import quoted
 from tablewright.session import stage
 
 _HOW = {"left", "inner", "right", "full", "left_semi", "left_anti"}
-_SALT = "__salt"
+_SALT, _HASH = "__salt", "__hash"
+# Counters of a task in a sketch of frequent keys, 16 bytes each.
+COUNTERS = 1 << 16
 
 
 def join_on(left: DataFrame, right: DataFrame, keys: str | Sequence[str], how: str = "inner"):
@@ -173,6 +179,57 @@ def aggregate_then_join(
     return left.join(reduced, on=key, how=how)
 
 
+def _key_hash(key: str, kind: T.DataType) -> Column:
+    """A hash under which keys that are equal in a join are equal, whichever number type each side has."""
+    value = quoted(key).try_cast(kind)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        value = value + F.lit(0.0)  # makes -0.0 the same as 0.0
+    return F.xxhash64(value)
+
+
+def heavy_hitters(df: DataFrame, key: str, counters: int = COUNTERS) -> DataFrame:
+    """h, at_least, at_most: bounds of the rows of frequent keys, by the 64-bit hash ``h`` of the key.
+
+    Each task keeps ``counters`` counters in the way of Misra and Gries: when there
+    are more keys, all counters fall by the count of the first one too many. What
+    fell in all tasks is the error, at most rows / ``counters``. The summaries add
+    up, and every key with more rows than the error is among them. Null keys are
+    left out.
+    """
+
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts, error = np.empty(0, np.int64), np.empty(0, np.int64), 0
+        for batch in batches:
+            seen, rows = np.unique(batch.column("h").to_numpy(), return_counts=True)
+            keys, at = np.unique(np.concatenate([keys, seen]), return_inverse=True)
+            counts = np.bincount(at, np.concatenate([counts, rows]), len(keys)).astype(np.int64)
+            if len(keys) > counters:
+                cut = np.partition(counts, len(counts) - counters - 1)[len(counts) - counters - 1]
+                counts, error = counts - cut, error + cut
+                keys, counts = keys[counts > 0], counts[counts > 0]
+        hashes = pa.array([None, *keys.tolist()], pa.int64())
+        yield pa.RecordBatch.from_arrays([hashes, pa.array([int(error), *counts.tolist()], pa.int64())], ["h", "n"])
+
+    hashed = df.filter(quoted(key).isNotNull()).select(_key_hash(key, df.schema[key].dataType).alias("h"))
+    summed = hashed.mapInArrow(summarise, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    summed = stage(summed, "hitters")  # a few for each task
+    lost = summed.filter("h is null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return summed.filter("h is not null").select("h", F.col("n").alias("at_least"), (F.col("n") + F.lit(lost)).alias("at_most"))
+
+
+def frequent_keys(df: DataFrame, key: str, more_than: int, counters: int = COUNTERS) -> DataFrame:
+    """(key, rows): the keys with more than ``more_than`` rows, exactly.
+
+    The sketch names the candidates, and only their rows are counted: the rows of
+    all other keys are neither grouped nor shuffled.
+    """
+    kind = df.schema[key].dataType
+    found = heavy_hitters(df, key, counters).filter(F.col("at_most") > more_than).select(F.col("h").alias(_HASH))
+    narrow = df.filter(quoted(key).isNotNull()).select(quoted(key).alias(key), _key_hash(key, kind).alias(_HASH))
+    counted = narrow.join(broadcast_if_small(found), _HASH, "left_semi").groupBy(quoted(key)).agg(F.count(F.lit(1)).alias("rows"))
+    return counted.filter(F.col("rows") > more_than)
+
+
 def spread_hot_keys(
     left: DataFrame,
     right: DataFrame,
@@ -180,25 +237,31 @@ def spread_hot_keys(
     how: str = "left",
     hot_rows: int = 10_000_000,
     salts: int = 64,
+    counters: int = COUNTERS,
 ) -> DataFrame:
     """Join on ``key`` with the rows of hot left keys spread over ``salts`` tasks.
 
-    Keys with more than ``hot_rows`` rows on the left are found by a count of the
-    key alone. The left side is then read once and stored with a salt, which is 0
-    but for rows of hot keys, and the right rows of hot keys are repeated once
-    for each salt, so that one join does it all. The result is that of a plain
-    join. Works for ``inner``, ``left``, ``left_semi`` and ``left_anti``, where
-    only left rows are kept unmatched.
+    Keys that may have more than ``hot_rows`` rows on the left are found by the
+    sketch of ``heavy_hitters``, which misses none of them and sends a bounded
+    number of rows for each task; only where its error is above half of
+    ``hot_rows``, so that it tells little, all keys are counted. The left side is
+    then read once and stored with a salt, which is 0 but for rows of hot keys, and
+    the right rows of hot keys are repeated once for each salt, so that one join
+    does it all. The result is that of a plain join. Works for ``inner``, ``left``,
+    ``left_semi`` and ``left_anti``, where only left rows are kept unmatched.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError("spread_hot_keys keeps unmatched rows of the left side only")
-    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    # each hot key stands for more than hot_rows rows, so there are few of them
-    hot = stage(counts.filter(F.col("rows") > hot_rows).filter(F.col(key).isNotNull()), "hot-keys")
-    keys = [r[0] for r in hot.select(key).collect()]
+    found = heavy_hitters(left, key, counters)
+    error = found.agg(F.coalesce(F.max(F.col("at_most") - F.col("at_least")), F.lit(0))).first()[0]
+    if 2 * error > hot_rows:
+        counted = left.filter(quoted(key).isNotNull()).groupBy(_key_hash(key, left.schema[key].dataType).alias("h"))
+        found = counted.agg(F.count(F.lit(1)).alias("at_most"))
+    # each of these stands for more than half of hot_rows rows, so there are few of them
+    keys = [r[0] for r in found.filter(F.col("at_most") > hot_rows).select("h").collect()]
     if not keys:
         return left.join(right, on=key, how=how)
-    is_hot = F.coalesce(F.col(key).isin(keys), F.lit(False))
+    is_hot = F.coalesce(quoted(key).isNotNull() & _key_hash(key, left.schema[key].dataType).isin(keys), F.lit(False))
     # stored with its salt: a task that runs again must not deal the rows anew
     deal = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
     salted = stage(left.withColumn(_SALT, F.when(is_hot, deal).otherwise(0)), "salted")

@@ -11,8 +11,10 @@ from tablewright.plans.checked import checked_sales_output
 from tablewright.plans.sales import (
     SALES_SCHEMA,
     sales_by_threshold,
+    sales_colocated,
     sales_output,
     sales_transform,
+    store_for_sales,
 )
 
 __all__ = [
@@ -24,6 +26,8 @@ __all__ = [
     "checked_sales_output",
     "media_parts",
     "sales_by_threshold",
+    "sales_colocated",
     "sales_output",
     "sales_transform",
+    "store_for_sales",
 ]

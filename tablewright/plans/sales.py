@@ -17,6 +17,7 @@ from tablewright.operators.filters import HIGH_VALUE_MINIMUM, filter_number
 from tablewright.operators.joins import broadcast_if_small
 from tablewright.operators.ordering import sort_rows
 from tablewright.quality.schema import Field, TableSchema
+from tablewright.sources.colocated import write_bucketed
 
 # Columns, types and rules of the enriched sales.
 SALES_SCHEMA = TableSchema(
@@ -105,6 +106,41 @@ def sales_transform(
     return sort_rows(enriched, "sale_date desc", "sale_id") if ordered else enriched
 
 
+def store_for_sales(sales: DataFrame, artworks: DataFrame, folder: str, prefix: str, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """Sales and artworks as tables of ``buckets`` by ``artwork_id``, ``{prefix}_sales`` and ``{prefix}_artworks``.
+
+    Write them once at the harvest: ``sales_colocated`` then joins them as often
+    as asked without moving a sale.
+    """
+    return tuple(
+        write_bucketed(df, f"{prefix}_{name}", "artwork_id", buckets, f"{folder}/{name}")
+        for name, df in (("sales", sales), ("artworks", artworks))
+    )
+
+
+def sales_colocated(sales: DataFrame, artworks: DataFrame, artists: DataFrame) -> DataFrame:
+    """``sales_transform``, unordered, of tables of ``store_for_sales``.
+
+    Sales meet artworks bucket by bucket. The artists are broadcast if they are
+    measured to be small, so that nothing is shuffled; otherwise the joined
+    sales are shuffled once, by artist.
+    """
+    makers = artists.select("artist_id", normalise_name("name").alias("artist_name"), "nationality")
+    art = artworks.select(
+        "artwork_id", "title", "artist_id", F.col("year").alias("artwork_year"), "medium", F.col("price_usd").alias("list_price_usd")
+    )
+    joined = sales.join(art, "artwork_id", "left").join(broadcast_if_small(makers), "artist_id", "left")
+    return joined.select(
+        "sale_id", "artwork_id", "sale_date", "sale_price_usd", "buyer_country",
+        *[c for c in art.columns if c != "artwork_id"], "artist_name", "nationality",
+    ).withColumns(
+        {
+            "price_diff": price_difference("sale_price_usd", "list_price_usd"),
+            "pct_change": percent_change("sale_price_usd", "list_price_usd"),
+        }
+    )
+
+
 def sales_output(transformed: DataFrame, minimum=HIGH_VALUE_MINIMUM) -> DataFrame:
     """The sales of at least ``minimum``; the filter reaches the scan of the sales."""
     return filter_number(transformed, "sale_price_usd", minimum, ">=")

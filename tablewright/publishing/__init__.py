@@ -1,6 +1,6 @@
 """Documents for search, sitemaps and image viewers, and batch enrichment."""
 
-from tablewright.publishing.enrichment import ENRICHED_SCHEMA, embed_texts
+from tablewright.publishing.enrichment import ENRICHED_SCHEMA, embed_once, embed_texts
 from tablewright.publishing.manifests import image_manifests, zoom_level
 from tablewright.publishing.search import (
     bulk_batches,

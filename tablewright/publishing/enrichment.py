@@ -6,8 +6,9 @@ import time
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tablewright.operators.windows import number_rows
 from tablewright.publishing._batches import batches_of
@@ -16,6 +17,8 @@ ENRICHED_SCHEMA = (
     "embedding_id string, text string, embedding array<float>, model string, "
     "dimensions long, total_tokens long, processing_time_ms double"
 )
+STORE_SCHEMA = "text_key string, embedding array<float>, model string, dimensions long, total_tokens long"
+_KEY = "__text_key"
 # Texts of one request. Services set a limit; this is a common one.
 BATCH = 128
 
@@ -79,3 +82,45 @@ def embed_texts(
     return ids.mapInPandas(enrich, ENRICHED_SCHEMA).withColumn(
         "created_at", F.current_timestamp()
     )
+
+
+def text_key(text: str, model: str) -> Column:
+    """What a stored vector is found by: a SHA-256 of the model and the text."""
+    return F.sha2(F.concat_ws("\n", F.lit(model), F.col(text)), 256)
+
+
+def embed_once(
+    df: DataFrame,
+    text: str,
+    embed: Callable[[list[str]], tuple[Sequence[Sequence[float]], int]],
+    model: str,
+    store: str,
+    batch_size: int = BATCH,
+    retry_wait: float = 1.0,
+) -> DataFrame:
+    """``df`` with ``embedding``, ``model``, ``dimensions`` and ``total_tokens``, each text paid for once.
+
+    ``store`` is a folder of Parquet in which vectors are kept by the content of
+    the text and the model. Only texts that are not in it are sent, equal ones
+    once, and stored before the result is returned; the result reads the store,
+    so no action on it, and no later run on the same texts, calls the service.
+    A task that is tried again sends its own batches again. Null texts are not
+    sent and have no vector; an unfinished run leaves nothing in the store.
+    """
+    spark = df.sparkSession
+    keyed = df.withColumn(_KEY, F.when(F.col(text).isNotNull(), text_key(text, model)))
+    texts = keyed.filter(F.col(_KEY).isNotNull()).groupBy(_KEY).agg(F.first(text).alias("text"))
+    schema = StructType.fromDDL(STORE_SCHEMA)
+    known = spark.read.schema(schema).parquet(store) if _exists(spark, store) else spark.createDataFrame([], schema)
+    missing = texts.join(known.select(F.col("text_key").alias(_KEY)), _KEY, "left_anti")
+    made = embed_texts(missing, "text", embed, model, _KEY, batch_size=batch_size, retry_wait=retry_wait)
+    row = made.select(F.col("embedding_id").alias("text_key"), *[f.name for f in schema if f.name != "text_key"])
+    row.write.mode("append").parquet(store)
+    found = spark.read.schema(schema).parquet(store).dropDuplicates(["text_key"])
+    columns = found.select(F.col("text_key").alias(_KEY), "embedding", "model", "dimensions", "total_tokens")
+    return keyed.join(columns, _KEY, "left").drop(_KEY)
+
+
+def _exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)

@@ -15,6 +15,12 @@ from tablewright.quality.checks import (
     write_when_passed,
 )
 from tablewright.quality.contracts import Contract, checks_from_lists, run_contract
+from tablewright.quality.increments import (
+    ContractStates,
+    contract_state,
+    judge_state,
+    merge_states,
+)
 from tablewright.quality.schema import (
     Field,
     TableSchema,

@@ -139,7 +139,7 @@ def checks_from_lists(
     return Contract(dataset, tuple(checks))
 
 
-def _invalid(check: Check) -> Column:
+def invalid_value(check: Check) -> Column:
     """True for a value outside the declared set; null is missing, not invalid."""
     value, options = F.col(check.columns[0]), check.options
     tests = []
@@ -154,6 +154,15 @@ def _invalid(check: Check) -> Column:
     return reduce(lambda x, y: x | y, tests)
 
 
+def age_in_seconds(newest: Column, now: datetime | None) -> Column:
+    """Seconds from ``newest``, seconds themselves, to ``now``."""
+    if now is None:
+        raise ValueError("a freshness check needs the time to compare with (now=…)")
+    # a time without a zone is one of the session's, like those in the table
+    given = F.lit(now) if now.tzinfo else F.lit(now.isoformat(" "))
+    return given.cast("timestamp").cast("double") - newest
+
+
 def _metric(check: Check, now: datetime | None) -> Column:
     rows = F.count(F.lit(1))
     if check.kind == "row_count":
@@ -163,19 +172,14 @@ def _metric(check: Check, now: datetime | None) -> Column:
     if kind == "missing":
         return F.count_if(value.isNull())
     if kind == "invalid":
-        return F.count_if(_invalid(check))
+        return F.count_if(invalid_value(check))
     if kind in ("missing_percent", "invalid_percent"):
-        bad = value.isNull() if kind == "missing_percent" else _invalid(check)
+        bad = value.isNull() if kind == "missing_percent" else invalid_value(check)
         return F.coalesce(F.count_if(bad) * 100.0 / F.nullif(rows, F.lit(0)), F.lit(0.0))
     if kind in ("min", "max"):
         return F.min(value) if kind == "min" else F.max(value)
     if kind == "freshness":
-        if now is None:
-            raise ValueError("a freshness check needs the time to compare with (now=…)")
-        newest = F.max(value.cast("timestamp")).cast("double")
-        # a time without a zone is one of the session's, like those in the table
-        given = F.lit(now) if now.tzinfo else F.lit(now.isoformat(" "))
-        return given.cast("timestamp").cast("double") - newest
+        return age_in_seconds(F.max(value.cast("timestamp")).cast("double"), now)
     raise ValueError(f"unknown check {check.kind!r}")
 
 
@@ -196,7 +200,8 @@ def _passed(check: Check, value: Column) -> Column:
     return F.coalesce(compared, F.lit(check.kind in ("min", "max")))
 
 
-def _line(check: Check, value: Column) -> Column:
+def check_line(check: Check, value: Column) -> Column:
+    """The result of a check as a struct: check_name, value, limit, passed."""
     return F.struct(
         F.lit(check.name).alias("check_name"),
         value.cast("double").alias("value"),
@@ -221,33 +226,29 @@ def duplicate_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counts.agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
 
 
-def _is_scan(df: DataFrame) -> bool:
-    """Whether reading ``df`` again costs a scan of files and no more."""
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    nodes = [line.lstrip(" :+-") for line in plan.splitlines()]
-    return all(n.startswith(("Relation", "Project", "Filter", "LocalRelation", "Range")) for n in nodes if n)
-
-
-def run_contract(df: DataFrame, contract: Contract, now: datetime | None = None) -> DataFrame:
+def run_contract(
+    df: DataFrame, contract: Contract, now: datetime | None = None, stored: bool = False
+) -> DataFrame:
     """One row for each check: check_name, value, limit, passed.
 
     All checks but those of duplicates are taken in one pass, and each of the
-    latter needs one of its own. Stored tables are scanned for each, only the
-    columns that it needs; any other input is computed once and stored before.
+    latter needs one of its own. With ``stored``, the input is a table that is
+    cheap to read again: it is scanned for each, only the columns that it needs.
+    Any other input is computed once and stored before.
     """
     single = [c for c in contract.checks if c.kind != "duplicate"]
     passes = len(contract.checks) - len(single) + bool(single)
-    if passes > 1 and not _is_scan(df):
+    if passes > 1 and not stored:
         df = stage(df, "checked")
     results = []
     if single:
         metrics = df.agg(*[_metric(c, now).alias(f"m{i}") for i, c in enumerate(single)])
-        lines = F.array(*[_line(c, F.col(f"m{i}")) for i, c in enumerate(single)])
+        lines = F.array(*[check_line(c, F.col(f"m{i}")) for i, c in enumerate(single)])
         results.append(metrics.select(F.inline(lines)))
     for check in contract.checks:
         if check.kind == "duplicate":
             counted = duplicate_count(df, check.columns)
-            results.append(counted.select(F.inline(F.array(_line(check, F.col("duplicates"))))))
+            results.append(counted.select(F.inline(F.array(check_line(check, F.col("duplicates"))))))
     if not results:
         raise ValueError(f"contract '{contract.dataset}' has no checks")
     return reduce(DataFrame.unionByName, results)

@@ -91,7 +91,7 @@ def write_checked(
         try:
             good = valid_rows(held, schema)
             if contract is not None:
-                require(run_contract(good, contract), contract.dataset)
+                require(run_contract(good, contract, stored=True), contract.dataset)
             good.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
             bad = invalid_rows(held, schema)
             bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
