@@ -24,7 +24,8 @@ from .common import identity, map_batches, stage, text_bytes
 
 STRIPPED = b" \t\n\x0b\x0c\r"
 SLOTS = 4
-SHARDS = 64
+SHARDS = 64  # at least; more where they would hold more than SHARD_KEYS keys each
+SHARD_KEYS = 200_000
 SALTS = 64
 KICKS = 500
 
@@ -33,8 +34,8 @@ class CuckooFilter:
     """A set of 64-bit hashes with rare false positives and with deletion.
 
     Each hash has a 16-bit tag and two buckets of ``SLOTS`` places; a full bucket
-    moves a tag to its other bucket. ``add`` returns False if no place is found,
-    and the caller builds a larger filter.
+    moves a tag to its other bucket. ``add`` returns False if no place is found for
+    all; tags may be lost then, and the caller builds a larger filter.
     """
 
     def __init__(self, table: np.ndarray):
@@ -50,7 +51,7 @@ class CuckooFilter:
         size = len(hashes)
         while True:
             made = cls.sized(size)
-            if all(made.add(h) for h in hashes.tolist()):
+            if made.add(hashes):
                 return made
             size = 2 * size + SLOTS
 
@@ -72,24 +73,41 @@ class CuckooFilter:
         spread = tags.astype(np.uint64) * np.uint64(0x9E3779B1)
         return (bucket ^ spread) & np.uint64(len(self.table) - 1)
 
-    def add(self, value: int) -> bool:
-        tags, first, second = self._places(np.array([value], np.uint64))
-        tag, buckets = int(tags[0]), (int(first[0]), int(second[0]))
-        for bucket in buckets:
-            free = np.flatnonzero(self.table[bucket] == 0)
-            if len(free):
-                self.table[bucket, free[0]] = tag
-                return True
-        before, bucket = self.table.copy(), buckets[0]
+    def _put(self, tags: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+        """Place tags where their buckets have room, as many of each bucket as fit; which of them found none."""
+        by = np.argsort(buckets, kind="stable")
+        own = buckets[by]
+        first = np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else np.empty(0, np.int64)
+        rank = np.arange(len(own)) - np.repeat(first, np.diff(np.append(first, len(own))))
+        taken = self.table[own] != 0
+        fits = rank < SLOTS - taken.sum(axis=1)
+        free = np.argsort(taken, axis=1, kind="stable")  # free places first
+        self.table[own[fits], free[fits, rank[fits]]] = tags[by][fits]
+        left = np.ones(len(tags), bool)
+        left[by[fits]] = False
+        return left
+
+    def add(self, hashes: np.ndarray) -> bool:
+        """Add all at once: into the first bucket, the second one, and then by moving a tag out of each full bucket."""
+        tags, bucket, other = self._places(hashes)
+        left = self._put(tags, bucket)
+        tags, other = tags[left], other[left]
+        left = self._put(tags, other)
+        tags, other = tags[left], other[left]
         for kick in range(KICKS):
-            tag, self.table[bucket, kick % SLOTS] = int(self.table[bucket, kick % SLOTS]), tag
-            bucket = int(self._other(np.array([bucket], np.uint64), np.array([tag], np.uint16))[0])
-            free = np.flatnonzero(self.table[bucket] == 0)
-            if len(free):
-                self.table[bucket, free[0]] = tag
+            if not len(tags):
                 return True
-        self.table = before
-        return False
+            _, chosen = np.unique(other, return_index=True)  # one tag moves out of a bucket at a time
+            at, slot = other[chosen], kick % SLOTS
+            moved = self.table[at, slot].copy()
+            self.table[at, slot] = tags[chosen]
+            rest = np.ones(len(tags), bool)
+            rest[chosen] = False
+            next_bucket = self._other(at.astype(np.uint64), moved).astype(np.int64)
+            tags, other = np.concatenate([tags[rest], moved]), np.concatenate([other[rest], next_bucket])
+            left = self._put(tags, other)
+            tags, other = tags[left], other[left]
+        return not len(tags)
 
     def remove(self, value: int) -> bool:
         tags, first, second = self._places(np.array([value], np.uint64))
@@ -134,9 +152,18 @@ def _shard(shards: int):
     return F.pmod(F.col("k1"), F.lit(shards)).cast("int")
 
 
+def _filter_of(keys: pa.Table) -> pa.Table:
+    blob = CuckooFilter.of(keys.column("k1").to_numpy().view(np.uint64)).to_bytes()
+    return pa.table({"shard": keys.column("shard").slice(0, 1), "filter": pa.array([blob], pa.binary())})
+
+
 @dataclass
 class LineIndex:
-    """Exact counts and sharded filters of a corpus; every change makes new stored tables."""
+    """Exact counts and sharded filters of a corpus; every change makes new stored tables.
+
+    ``shards`` grow with the keys: when those at the threshold outgrow them, all
+    filters are built anew from the counts, in twice as many as are needed.
+    """
 
     counts: DataFrame
     filters: DataFrame
@@ -165,6 +192,12 @@ class LineIndex:
         after = stage(both, "line-counts")
         crossed = after.filter(f"(old >= {self.least}) <> (n >= {self.least})")
         counts = after.filter("n > 0").select("k1", "k2", "n")
+        needed = -(-after.filter(f"n >= {self.least}").count() // SHARD_KEYS)
+        if needed > self.shards:
+            shards = 2 * needed
+            held = counts.filter(f"n >= {self.least}").select(_shard(shards).alias("shard"), "k1")
+            filters = held.groupBy("shard").applyInArrow(_filter_of, "shard int, filter binary")
+            return LineIndex(counts, stage(filters, "line-filters"), self.least, shards)
         return LineIndex(counts, stage(self._filters(crossed, counts), "line-filters"), self.least, self.shards)
 
     def _filters(self, crossed: DataFrame, counts: DataFrame) -> DataFrame:
@@ -180,7 +213,7 @@ class LineIndex:
                 made = CuckooFilter.from_bytes(left.column("filter")[0].as_py())
                 for gone in keys[~up].tolist():
                     made.remove(gone)
-                fits = all(made.add(k) for k in keys[up].tolist())
+                fits = made.add(keys[up])
             else:
                 made, fits = CuckooFilter.of(keys[up]), True
             blob = made.to_bytes() if fits else None
@@ -191,13 +224,9 @@ class LineIndex:
             "line-filters",
         )
 
-        def anew(keys: pa.Table) -> pa.Table:
-            blob = CuckooFilter.of(keys.column("k1").to_numpy().view(np.uint64)).to_bytes()
-            return pa.table({"shard": keys.column("shard").slice(0, 1), "filter": pa.array([blob], pa.binary())})
-
         over = changed.filter("filter is null").select("shard")
         held = counts.filter(f"n >= {least}").select(_shard(self.shards).alias("shard"), "k1")
-        rebuilt = held.join(over, "shard", "left_semi").groupBy("shard").applyInArrow(anew, "shard int, filter binary")
+        rebuilt = held.join(over, "shard", "left_semi").groupBy("shard").applyInArrow(_filter_of, "shard int, filter binary")
         return changed.filter("filter is not null").unionByName(rebuilt)
 
     def shared(self, found: DataFrame, salts: int = SALTS) -> DataFrame:
@@ -242,15 +271,22 @@ class LineIndex:
         return likely.join(sure, ["k1", "k2"], "left_semi")
 
 
+MADE = ("__kept", "__lines", "__dropped")
+
+
 def drop_lines(docs: DataFrame, found: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``docs`` with ``__kept`` (text), ``__lines`` and ``__dropped``; ``found`` has the keys to drop by row."""
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    names = docs.columns
+    """``docs`` with ``__kept`` (text), ``__lines`` and ``__dropped``; ``found`` has the keys to drop by row.
+
+    Columns of these three names are replaced.
+    """
+    fields = [f for f in docs.schema if f.name not in MADE]
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    names = [f.name for f in fields]
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         kept, total, gone = [], [], []
-        bodies = text_bytes(batch.column(text))
-        for body, k1, k2 in zip(bodies, batch.column("__k1").to_pylist(), batch.column("__k2").to_pylist(), strict=True):
+        bodies = text_bytes(batch.column("body"))
+        for body, k1, k2 in zip(bodies, batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), strict=True):
             lines = body.split(b"\n")
             total.append(len(lines))
             if k1:
@@ -260,15 +296,15 @@ def drop_lines(docs: DataFrame, found: DataFrame, text: str = "text", key: str =
             gone.append(total[-1] - len(lines))
             kept.append(body)
         made = [pa.array(kept, pa.binary()).cast(pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.int64())]
-        own = [batch.column(n) for n in names]
-        return pa.RecordBatch.from_arrays([*own, *made], [*names, "__kept", "__lines", "__dropped"])
+        return pa.RecordBatch.from_arrays([*batch.column("row").flatten(), *made], [*names, *MADE])
 
     r1, r2 = identity(key, text)
-    drops = found.groupBy("r1", "r2").agg(F.collect_set(F.struct("k1", "k2")).alias("__k")).select(
-        F.col("r1").alias("__r1"), F.col("r2").alias("__r2"), F.col("__k.k1").alias("__k1"), F.col("__k.k2").alias("__k2")
-    )
-    joined = docs.withColumns({"__r1": r1, "__r2": r2}).join(drops, ["__r1", "__r2"], "left").drop("__r1", "__r2")
-    return map_batches(joined, cut, f"{kinds}, __kept string, __lines long, __dropped long", text)
+    drops = found.groupBy("r1", "r2").agg(F.collect_set(F.struct("k1", "k2")).alias("k")).select("r1", "r2", "k.k1", "k.k2")
+    # the row travels whole, so that no name of its own can clash with these
+    row = F.struct(*[F.col(f"`{n}`") for n in names]).alias("row")
+    rows = docs.select(row, F.col(text).alias("body"), r1.alias("r1"), r2.alias("r2"))
+    joined = rows.join(drops, ["r1", "r2"], "left")
+    return map_batches(joined, cut, f"{kinds}, __kept string, __lines long, __dropped long", "body")
 
 
 def dedup_lines(docs: DataFrame, least: int = 10, text: str = "text", key: str = "doc_id", shards: int = SHARDS) -> DataFrame:
