@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .common import identity, map_batches, stage
 
 SIZE = 2048
-SALTS = 256  # parts that the rows of one length are numbered in
+SALTS, PART = 256, 500_000  # parts that the rows of one length are numbered in, at least, and rows of all lengths that ask for another one
 CACHED_UNITS = 300_000  # units of text whose ids a Python worker remembers
 
 
@@ -208,18 +208,21 @@ def _runs(steps: list[tuple[dict[int, int], int]]) -> list[tuple[int, int, int,
     return rows
 
 
-def pack(items: DataFrame, size: int = SIZE, salts: int = SALTS) -> DataFrame:
+def pack(items: DataFrame, size: int = SIZE, salts: int | None = None) -> DataFrame:
     """``items`` with ``copy``, ``sequence_id`` and ``offset``; needs length (1 to ``size``), r1, r2 and start.
 
     Rows are numbered within (length, salt), a salt being drawn from the row's
     identity, and the counts of the salts before are added: a length that a third
-    of all rows have is numbered in ``salts`` parts. The plan has a row for each
+    of all rows have is numbered in ``salts`` parts, by default one for each
+    ``PART`` rows, so that a part keeps its size at any number of rows. The plan has a row for each
     step and length, at most ``size`` steps, and is joined to the length's
     numbers as a range. Repeated rows are placed one by one; ``copy`` numbers
     them from 0, the pieces of one copy alike. An empty table gives
     no rows. ``items`` has to be a stored table, as it is read twice.
     """
     spark = items.sparkSession
+    if salts is None:
+        salts = max(SALTS, items.count() // PART)  # read from the file footers
     salted = items.withColumn("__salt", F.pmod(F.xxhash64("r1", "start"), F.lit(salts)).cast("int"))
     counts = stage(salted.groupBy("length", "__salt").agg(F.count("*").alias("n")), "lengths")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
