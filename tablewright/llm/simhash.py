@@ -201,9 +201,11 @@ def _leaders(docs: DataFrame, found: DataFrame, text: str, key: str) -> DataFram
     first = F.min(F.struct(F.col(key).isNull(), F.col(key), "r1", "r2")).alias("first")
     lead = found.groupBy("root").agg(first).select(F.col("first.r1").alias("__r1"), F.col("first.r2").alias("__r2"))
     r1, r2 = identity(key, text)
-    kept = docs.withColumns({"__r1": r1, "__r2": r2}).join(lead, ["__r1", "__r2"], "left_semi")
+    # the row travels whole, so that no name of its own can clash with these
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), r1.alias("__r1"), r2.alias("__r2"))
     same = Window.partitionBy("__r1", "__r2").orderBy("__r1")
-    return kept.withColumn("__n", F.row_number().over(same)).filter("__n = 1").select(*docs.columns)
+    kept = rows.join(lead, ["__r1", "__r2"], "left_semi").withColumn("n", F.row_number().over(same)).filter("n = 1")
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def _shingles(text: bytes, words: int = 5) -> np.ndarray:

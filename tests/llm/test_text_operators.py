@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from conftest import noise
 
 from tablewright.llm import fuzzy, lines, mixing, packing, passages, pii, quality, sharding, simhash
+from tablewright.llm.common import find_package
 from tablewright.llm.queries import hex_digest, token_file
 
 SPACES = " \t\n\x0b\x0c\r"
@@ -79,14 +80,48 @@ def test_cuckoo_filter():
     dice = np.random.default_rng(1)
     hashes = np.unique(dice.integers(0, 2**63, 5000).astype(np.uint64))
     made = lines.CuckooFilter.of(hashes)
-    assert made.has(hashes).all()
+    assert made.has(hashes).all() and (made.table != 0).sum() == len(hashes)
     for h in hashes[:1000].tolist():
         assert made.remove(h)
     assert made.has(hashes[1000:]).all()
     assert made.has(hashes[:1000]).mean() < 0.01
     assert lines.CuckooFilter.from_bytes(made.to_bytes()).has(hashes[1000:]).all()
-    small = lines.CuckooFilter.sized(1)
-    assert not all(small.add(h) for h in hashes[:200].tolist())
+    assert not lines.CuckooFilter.sized(1).add(hashes[:200])
+    part = lines.CuckooFilter.sized(5000)
+    assert all(part.add(hashes[i : i + 7]) for i in range(0, 4000, 7)) and part.has(hashes[:4000]).all()
+    assert part.add(hashes[:0]) and part.add(np.repeat(hashes[4500:4501], 8)) and part.has(hashes[4500:4501]).all()
+
+
+def test_a_million_keys_enter_a_filter_in_seconds():
+    hashes = np.unique(np.random.default_rng(2).integers(0, 2**63, 1_000_000).astype(np.uint64))
+    start = time.perf_counter()
+    made = lines.CuckooFilter.of(hashes)
+    assert time.perf_counter() - start < 15
+    assert made.has(hashes).all() and (made.table != 0).sum() == len(hashes)
+
+
+def test_shards_grow_with_the_keys(spark, as_documents, monkeypatch):
+    monkeypatch.setattr(lines, "SHARD_KEYS", 40)
+    docs = as_documents([(i, "\n".join(f"line {n}" for n in range(i % 2 * 200, i % 2 * 200 + 300)), "s") for i in range(4)])
+    index = lines.LineIndex.empty(spark, least=2, shards=2).insert(docs)
+    assert index.shards == 26 and index.filters.count() == 26
+    found = lines.occurrences(docs)
+    assert index.shared(found, salts=2).select("k1", "k2").distinct().count() == 500
+    gone = index.delete(as_documents([(3, "\n".join(f"line {n}" for n in range(200, 500)), "s")]))
+    assert gone.shards == 26 and gone.shared(found, salts=2).select("k1", "k2").distinct().count() == 300
+    one, many = (lines.dedup_lines(docs, least=2, shards=n) for n in (1, 50))
+    assert counted(one) == counted(many)
+
+
+def test_columns_of_any_names_pass_through(spark):
+    names = ["__kept", "__lines", "__dropped", "__k1", "__k2", "__r1", "__r2", "__n", "r1", "row", "body", "n", "root"]
+    find_package(spark)
+    docs = spark.createDataFrame([(i, f"line\n{noise(i % 3, 9)}", *[f"{c}{i}" for c in names]) for i in range(6)], ["doc_id", "text", *names])
+    done = lines.dedup_lines(docs, least=3)
+    assert done.columns == ["doc_id", "text", *names[3:], "__kept", "__lines", "__dropped"]
+    assert {(r.doc_id, r["__n"], r["__kept"], r["__dropped"]) for r in done.collect()} == {(i, f"__n{i}", noise(i % 3, 9), 1) for i in range(6)}
+    for kept in (simhash.keep_one(docs), simhash.keep_dissimilar(docs)):
+        assert kept.columns == docs.columns and {(r.doc_id, r["__r1"], r["__kept"]) for r in kept.collect()} == {(i, f"__r1{i}", f"__kept{i}") for i in range(3)}
 
 
 # passages
