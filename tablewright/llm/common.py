@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..session import stage
 
-__all__ = ["documents", "find_package", "identity", "labels", "map_batches", "slices", "stage", "stage_and_free", "table", "text_bytes", "word_count"]
+__all__ = ["documents", "find_package", "identity", "join_counted", "labels", "map_batches", "slices", "stage", "stage_and_free", "table", "text_bytes", "word_count"]
 
 # A word is a run of anything but these six ASCII characters. ``bytes.split()``
 # splits at exactly the same ones.
@@ -25,6 +25,8 @@ WORD = rf"[^{SPACE}]+"
 # so a frame is cut by its bytes as well.
 SLICE_BYTES = 4 << 20
 
+HOT = 500  # rows from which a join key may count as hot
+
 
 def find_package(spark: SparkSession) -> None:
     """Let Python workers import this library from where the driver has it, if it is not installed there."""
@@ -98,6 +100,20 @@ def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start)
 
 
+def join_counted(rows: DataFrame, table: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """Inner join of ``rows`` with ``table``, whose ``keys`` are unique and whose ``count`` says how many rows have them.
+
+    Keys with more than a thousandth of all rows, and ``HOT`` rows, are at most a
+    thousand; they are broadcast, so that no task gets all rows of one. Both
+    tables should be stored, as they are read twice.
+    """
+    total = table.agg(F.coalesce(F.sum(count), F.lit(0))).first()[0]
+    is_hot = F.col(count) > max(HOT, total // 1000)
+    hot = F.broadcast(table.filter(is_hot))
+    rest = rows.join(hot.select(*keys), keys, "left_anti").join(table.filter(~is_hot), keys)
+    return rows.join(hot, keys).unionByName(rest)
+
+
 def map_batches(
     df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, by: str = "text"
 ) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import join_counted, stage
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -15,26 +15,27 @@ def connected_components(edges: DataFrame) -> DataFrame:
     then the label of that label, so that paths shrink by about half. A round is
     written to the shared folder and the next one reads it: lineage stays short
     and a lost executor costs one round at most. Only the number of changed
-    labels comes to the driver. A hub is a hot join key, which adaptive
-    execution splits; its minimum is taken before the shuffle.
+    labels comes to the driver. Hubs, and labels that many nodes have, are counted
+    and looked up by broadcast (``join_counted``); minima are taken before the shuffle.
 
     Self loops and repeated edges do no harm; an edge with a null end is left
     out; no edges give no rows.
     """
     edges = edges.select("a", "b").filter("a is not null and b is not null")
-    both = stage(edges.union(edges.select("b", "a")).distinct(), "edges")
-    labels = stage(both.groupBy(F.col("a").alias("node")).agg(F.least("a", F.min("b")).alias("root")), "labels")
+    both = stage(edges.union(edges.select("b", "a")).distinct().select("a", F.col("b").alias("node")), "edges")
+    least = F.least("a", F.min("node")).alias("root")
+    labels = stage(both.groupBy("a").agg(least, F.count(F.lit(1)).alias("n")).withColumnRenamed("a", "node"), "labels")
     while True:
-        near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("root").alias("least"))
+        near = join_counted(both, labels, ["node"], "n").groupBy("a").agg(F.min("root").alias("least"))
         lower = labels.join(near, labels["node"] == near["a"]).select(
-            "node", F.col("root").alias("old"), F.least("root", "least").alias("mid")
-        )
-        of_label = labels.select(F.col("node").alias("mid"), F.col("root").alias("far"))
-        after = stage(
-            lower.join(of_label, "mid", "left").select("node", "old", F.least("mid", "far").alias("root")),
-            "labels",
+            "node", "n", F.col("root").alias("old"), F.least("root", "least").alias("mid")
         )
+        lower = stage(lower, "lower")
+        mids = lower.groupBy("mid").agg(F.count(F.lit(1)).alias("nodes"))
+        of_label = stage(mids.join(labels.select(F.col("node").alias("mid"), F.col("root").alias("far")), "mid"), "mids")
+        jumped = join_counted(lower, of_label, ["mid"], "nodes").select("node", "n", "old", F.least("mid", "far").alias("root"))
+        after = stage(jumped, "labels")
         changed = after.filter("old <> root").limit(1).count()
-        labels = after.select("node", "root")
+        labels = after.select("node", "root", "n")
         if not changed:
-            return labels
+            return labels.select("node", "root")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import identity, map_batches, stage_and_free, text_bytes
+from .common import identity, join_counted, map_batches, stage, stage_and_free, text_bytes
 
 PERIOD = 13
 COVER = (0, 1, 3, 9)  # all differences modulo 13 occur among these
@@ -148,8 +148,9 @@ def _copies(docs: DataFrame) -> DataFrame:
     narrow = docs.filter("text is not null and key is not null").select(
         "key", "r1", "r2", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2")
     )
-    first = narrow.groupBy("t1", "t2").agg(F.min("key").alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    return narrow.join(first, ["t1", "t2"]).filter("key > least").select("r1", "r2")
+    narrow = stage(narrow, "text-hashes")
+    first = narrow.groupBy("t1", "t2").agg(F.min("key").alias("least"), F.count("*").alias("n")).filter("n > 1")
+    return join_counted(narrow, stage(first, "copied-texts"), ["t1", "t2"], "n").filter("key > least").select("r1", "r2")
 
 
 def words_joined(words: list[bytes]) -> bytes:
