@@ -135,6 +135,24 @@ def s7_xml_nested_in_full(t):
     return bodies.select("id", F.concat(F.lit("[{"), F.concat_ws(",", *keys), F.lit("}]")).alias("bodies"))
 
 
+@query(
+    """
+    SELECT p_partkey AS id, '[{"kind":"' || p_type || '","size":"' || p_size || '"'
+      || CASE WHEN p_size % 2 = 0 THEN ',"brand":"' || p_brand || '"' ELSE '' END || '}]' AS bodies FROM part
+    """
+)
+def s8_xml_column_in_full(t):
+    """All attributes and children of a nested element in a text column, without naming them."""
+    body = F.struct(
+        F.col("p_type").alias("_kind"), F.col("p_size").alias("size"), F.when(F.col("p_size") % 2 == 0, F.col("p_brand")).alias("brand")
+    )
+    cells = t.part.select(F.col("p_partkey").alias("id"), F.to_xml(F.struct(body.alias("body")), {"rowTag": "item"}).alias("xml"))
+    parsed = R.parse_xml_column(cells, "xml", {}, {"bodies": ("./body", None)})
+    parts = F.from_json("bodies", "array<map<string,string>>")[0]
+    keys = [F.when(F.map_contains_key(parts, k), F.concat(F.lit(f'"{k}":"'), parts[k], F.lit('"'))) for k in ("kind", "size", "brand")]
+    return parsed.select("id", F.concat(F.lit("[{"), F.concat_ws(",", *keys), F.lit("}]")).alias("bodies"))
+
+
 @query(
     """
     SELECT doc_id, lang, CAST(n_chars AS VARCHAR) AS size, source, text FROM documents

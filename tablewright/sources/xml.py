@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright.session import fresh_path
+
 _ATTRIBUTE, _TEXT = "_", "_VALUE"
 _OPTIONS = {"attributePrefix": _ATTRIBUTE, "valueTag": _TEXT, "ignoreNamespace": "true"}
 
@@ -201,10 +203,25 @@ def parse_xml_column(
     df: DataFrame,
     column: str,
     fields: Mapping[str, str],
-    nested: Mapping[str, tuple[str, Sequence[str]]] | None = None,
+    nested: Mapping[str, tuple[str, Sequence[str] | None]] | None = None,
 ) -> DataFrame:
-    """Add the fields of the XML record that each cell of ``column`` holds."""
-    root, paths, lists, schema = _plan(fields, nested or {})
+    """Add the fields of the XML record that each cell of ``column`` holds.
+
+    ``nested`` is that of ``read_xml``. To find all keys where they are ``None``,
+    the cells are written to the shared folder as text and read once more; a
+    stream has to name its keys.
+    """
+    nested = dict(nested or {})
+    if any(keys is None for _, keys in nested.values()):
+        if df.isStreaming:
+            raise ValueError("a stream has to name the keys of its nested fields")
+        cells = fresh_path(df.sparkSession, "xml-cells")
+        df.select(F.col(column).cast("string").alias("value")).filter("value is not null").write.text(cells)
+        nested = {
+            name: (text, _all_keys(df.sparkSession, cells, text, {}) if keys is None else keys)
+            for name, (text, keys) in nested.items()
+        }
+    root, paths, lists, schema = _plan(fields, nested)
     parsed = df.withColumn("__xml", F.from_xml(column, schema, _OPTIONS))
     record = F.col("__xml").getField
     return parsed.select(*df.columns, *_project(root, paths, lists, record))

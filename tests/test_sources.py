@@ -225,6 +225,23 @@ def test_nested_elements_in_full(spark, folder):
     assert [json.loads(r.i) for r in at_path] == [[{"n": "2"}, {}], [{"n": "3"}]]
 
 
+def test_nested_elements_of_a_column_in_full(spark, frame, rows):
+    cells = [(i, f"<rec>{c}</rec>") for i, c in enumerate(ITEMS.split("<rec>")[1:])]
+    cells = [(i, c.split("</rec>")[0] + "</rec>") for i, c in cells]
+    df = frame("id int, x string", *cells, (3, None), (4, "<rec/>"))
+    found = R.parse_xml_column(df, "x", {"first": "./i/n/text()"}, {"i": ("./i", None), "n": ("./i", ["n"])})
+    assert [(r.id, r.first, r.i and json.loads(r.i), r.n and json.loads(r.n)) for r in found.orderBy("id").collect()] == [
+        (0, "1", [{"t": "a", "u": "b", "n": "2", "z": "q", "e": None, "value": "txt"}, {"v": "c"}], [{"n": "2"}, {}]),
+        (1, "3", [{"n": "3"}], [{"n": "3"}]),
+        (2, None, [{"t": "x"}], [{}]),
+        (3, None, None, None),
+        (4, None, None, None),
+    ]
+    stream = spark.readStream.format("rate").load().selectExpr("cast(value as string) as x")
+    with pytest.raises(ValueError, match="stream"):
+        R.parse_xml_column(stream, "x", {}, {"i": ("./i", None)})
+
+
 def test_staged_tables_can_be_dropped(spark, tmp_path, monkeypatch):
     from tablewright import session
 
