@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.windows import number_rows
-from .common import identity, map_batches, stage, text_bytes
+from .common import identity, join_counted, map_batches, stage, text_bytes
 from .components import connected_components
 
 SEED = 42
@@ -37,7 +37,7 @@ FEW = 256  # lists up to this length are compared pair by pair
 # rows of a list that are compared at once, and partners in one list beyond which
 # pairs are thinned at first. At a Jaccard similarity of 0.8 a byte is shared with a
 # probability of 0.27, 17 of 64 on average.
-WIDE, SHARED, TOGETHER, PARTNERS = 64, 8, 1024, 32
+WIDE, SHARED, TOGETHER, PARTNERS = 64, 8, 1024, 8
 # Choices of positions that are indexed, by their number of positions, and texts from
 # which three are taken, so that lists stay some thousand rows long.
 CHOICES, MANY = {2: 48, 3: 160}, 1 << 27
@@ -513,7 +513,8 @@ def similar_groups(
     lists of dense groups, which the first two steps have thinned.
     """
     prints = stage(wide_prints(docs, words, text, key), "wide")
-    distinct = stage(prints.groupBy("node").agg(F.first("fp").alias("fp")), "distinct")
+    one = prints.groupBy("node").agg(F.first("fp").alias("fp"), F.count(F.lit(1)).alias("n"), F.min(F.struct("r1", "r2")).alias("one"))
+    distinct = stage(one, "distinct")
     width = 2 if distinct.count() < MANY else 3
     found = stage(candidates(distinct, width, together, partners), "candidates")
     pairs = found.filter("b is not null")
@@ -523,8 +524,8 @@ def similar_groups(
 
     def texts_of(pairs: DataFrame) -> DataFrame:
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        lead = prints.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("r1", "r2")).alias("one"))
-        own = bodies.join(lead.select("node", "one.r1", "one.r2"), ["r1", "r2"]).select("node", "text")
+        lead = distinct.join(nodes, "node", "left_semi").select("node", "one.r1", "one.r2")
+        own = bodies.join(lead, ["r1", "r2"]).select("node", "text")
         return stage(own.dropDuplicates(["node"]), "texts")
 
     def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -542,13 +543,14 @@ def similar_groups(
     edges = stage(edges.union(_similar(rest, texts, least, words)), "verified")
     roots = connected_components(edges)
     if lists.limit(1).count():
-        rooted = distinct.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        rooted = distinct.select("node", "fp").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         tried = pairs.select("a", "b")
         more = stage(between_groups(stage(rooted, "rooted"), lists, width, together).join(tried, ["a", "b"], "left_anti"), "between")
         if more.limit(1).count():
             roots = connected_components(edges.union(_similar(more, texts_of(more), least, words)))
-    linked = prints.join(roots, "node", "left")
-    return linked.select(F.col("key").alias(key), "r1", "r2", F.coalesce("root", "node").alias("root"))
+    rooted = distinct.select("node", "n").join(roots, "node", "left").select("node", "n", F.coalesce("root", "node").alias("root"))
+    linked = join_counted(prints, stage(rooted, "roots"), ["node"], "n")
+    return linked.select(F.col("key").alias(key), "r1", "r2", "root")
 
 
 def keep_dissimilar(docs: DataFrame, least: float = 0.8, words: int = 5, text: str = "text", key: str = "doc_id") -> DataFrame:
