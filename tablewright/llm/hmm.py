@@ -4,10 +4,10 @@ Words are counted over the whole training text. The ``WORDS`` most frequent ones
 (of those that occur ``LEAST`` times) are emission symbols of their own; the
 others share ``CLASSES`` symbols by their last two bytes and are told apart inside
 a class by their counts, so that every word and every count plays a part while
-the model keeps its size. States start from a bounded sample; then each round
-gathers the expected counts of states, transitions and symbols from the whole
-training text. Texts are scored by the scaled forward recursion, over the whole
-sequence.
+the model keeps its size. States start from the whole text's shares of the
+symbols, bent at random; then each round gathers the expected counts of states,
+transitions and symbols from the whole training text. Texts are scored by the
+scaled forward recursion, over the whole sequence.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  slices need it
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,10 +30,10 @@ CLASSES = 64
 SYMBOLS = WORDS + CLASSES  # fits 16 bits
 END = b"\n"  # no word holds a line break
 DICTIONARY_BYTES = 16 << 20  # text that shares a dictionary
-ROUNDS = 3  # over the whole training text
-SAMPLE, SAMPLE_ROUNDS = 2048, 25  # pieces that the start is learned from
+ROUNDS = 5  # over the whole training text
+STAY = 0.98  # share of a state's moves to itself at first
 PIECE = 128  # tokens that training looks at as one sequence
-AT_ONCE = 4096  # pieces or texts in one array
+PIECES, AT_ONCE = 1024, 4096  # pieces, or texts, in one array
 NOVEL = 0.5  # added to each count inside a class, and for words that are new there
 PRIOR = 50.0  # tokens that each state sees of the whole text's symbols beforehand
 
@@ -218,10 +217,10 @@ class Model:
 
     @classmethod
     def drawn(cls, shares: np.ndarray, states: int = STATES) -> Model:
-        """States that stay as they are nine times of ten and emit randomly bent shares of the symbols."""
-        bent = shares[:, None] * np.random.default_rng(1).gamma(1.0, size=(len(shares), states))
+        """States that mostly stay as they are and emit randomly bent shares of the symbols."""
+        bent = shares[:, None] * np.random.default_rng(2).gamma(1.0, size=(len(shares), states))
         even = np.full(states, 1 / states)
-        return cls(even, even, 0.9 * np.eye(states) + 0.1 / states, bent / bent.sum(axis=0))
+        return cls(even, even, STAY * np.eye(states) + (1 - STAY) / states, bent / bent.sum(axis=0))
 
     @classmethod
     def of_counts(cls, shares: np.ndarray, start: np.ndarray, moves: np.ndarray, emits: np.ndarray) -> Model:
@@ -251,25 +250,30 @@ class Counts:
         by = np.argsort(-lengths, kind="stable")
         lengths, first = lengths[by], first[by]
         n, steps = len(by), int(lengths[0])
-        symbols = np.zeros((steps, n), np.int64)
+        symbols = np.zeros((steps, n), np.uint16)
         for column, i in enumerate(by):
             symbols[: lengths[column], column] = pieces[i]
         active = np.searchsorted(-lengths, -np.arange(steps), side="left")  # pieces longer than t
         alpha, scale = np.empty((steps, n, len(start)), np.float32), np.empty((steps, n, 1), np.float32)
+        seen, moved, ones = np.empty_like(alpha), np.zeros_like(self.moves), np.ones((len(start), 1), np.float32)
         for t in range(steps):
             k = active[t]
+            np.take(emits, symbols[t, :k], axis=0, out=seen[t, :k], mode="clip")  # the mode that needs no copy
             now = np.where(first[:, None], start, middle) if t == 0 else alpha[t - 1, :k] @ moves
-            now = now * emits[symbols[t, :k]]
-            scale[t, :k] = now.sum(axis=1, keepdims=True)
-            alpha[t, :k] = now / scale[t, :k]
+            now *= seen[t, :k]
+            np.matmul(now, ones, out=scale[t, :k])
+            np.divide(now, scale[t, :k], out=alpha[t, :k])
         beta = np.ones((n, len(start)), np.float32)
         for t in range(steps - 1, -1, -1):
             if t < steps - 1:
                 k = active[t + 1]
-                ahead = emits[symbols[t + 1, :k]] * beta[:k] / scale[t + 1, :k]
-                self.moves += moves * (alpha[t, :k].T @ ahead)
+                ahead = seen[t + 1, :k]
+                ahead *= beta[:k]
+                ahead /= scale[t + 1, :k]
+                moved += alpha[t, :k].T @ ahead
                 alpha[t + 1, :k] *= beta[:k]
-                beta[:k] = ahead @ moves.T
+                np.matmul(ahead, moves.T, out=beta[:k])
+        self.moves += moves * moved
         alpha[0] *= beta
         self.start += alpha[0][first].sum(axis=0)
         there = np.arange(steps)[:, None] < lengths
@@ -291,61 +295,21 @@ def _grouped(parts: list[bytes]) -> Iterator[tuple[list[np.ndarray], np.ndarray]
     held: list[tuple[np.ndarray, bool]] = []
     for piece in _pieces(parts):
         held.append(piece)
-        if len(held) == AT_ONCE:
+        if len(held) == PIECES:
             yield [p for p, _ in held], np.array([f for _, f in held])
             held = []
     if held:
         yield [p for p, _ in held], np.array([f for _, f in held])
 
 
-def _started(text: Text, states: int) -> Model:
-    """A model learned from the ``SAMPLE`` pieces of training text that a hash draws, in one task."""
-    learned = text.coded.filter("not held").select("symbols")
-    pieces = learned.agg(F.coalesce(F.sum(F.ceil(F.length("symbols") / (2 * PIECE))), F.lit(0))).first()[0]
-    share = min(1.0, 2 * SAMPLE / max(pieces, 1))
-    shares = text.shares
-
-    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for piece, first in _pieces(batch.column("symbols").to_pylist()):
-                order = xxhash.xxh64_intdigest(piece.tobytes()) >> 1
-                if order <= share * (1 << 63):
-                    rows.append((order, piece.tobytes(), first))
-            if rows:
-                types = [pa.int64(), pa.binary(), pa.bool_()]
-                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, ["order", "piece", "first"])
-
-    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = sorted(r for b in batches for r in zip(b.column("order").to_pylist(), b.column("piece").to_pylist(), b.column("first").to_pylist(), strict=True))
-        model = Model.drawn(shares, states)
-        pieces, first = [np.frombuffer(p, np.uint16) for _, p, _ in rows], np.array([f for _, _, f in rows], bool)
-        for _ in range(SAMPLE_ROUNDS if rows else 0):
-            counts = Counts(states)
-            counts.add(model.packed(), pieces, first)
-            model = Model.of_counts(shares, counts.start, counts.moves, counts.emits)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([a.tobytes()], pa.binary()) for a in (model.start, model.middle, model.moves, model.emits)],
-            ["start", "middle", "moves", "emits"],
-        )
-
-    drawn = learned.mapInArrow(draw, "order long, piece binary, first boolean").orderBy("order", "piece", "first").limit(SAMPLE)
-    made = drawn.repartition(1).mapInArrow(train, "start binary, middle binary, moves binary, emits binary").first()
-    if made is None:
-        return Model.drawn(shares, states)
-    start, middle, moves, emits = (np.frombuffer(b, np.float64) for b in made)
-    return Model(start, middle, moves.reshape(states, states), emits.reshape(-1, states))
-
-
 def train(text: Text, states: int = STATES, rounds: int = ROUNDS) -> Model:
     """A model of the rows of ``text`` that are not held out.
 
-    Each round adds up, over all partitions, the expected counts of every piece of
+    States start from the shares of the whole training text. Each round adds up, over all partitions, the expected counts of every piece of
     ``PIECE`` tokens; a piece that starts no text begins in the states' shares. The
     driver gets one row for each symbol and state.
     """
-    model = _started(text, states)
+    model = Model.drawn(text.shares, states)
     spark = text.coded.sparkSession
     names = [f"e{s}" for s in range(states)]
 

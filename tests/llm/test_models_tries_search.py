@@ -145,6 +145,19 @@ def test_training_raises_the_likelihood_of_held_out_texts(as_documents):
     assert len(done) > 20 and all(r.score > r.base + 10 for r in done)
 
 
+def test_states_start_from_every_training_text(as_documents, monkeypatch):
+    """Without a round over the text the model holds the exact shares of all symbols; one round sees every token."""
+    rows = [(i, noise(i, 300), "s") for i in range(1500)]
+    text = hmm.read(as_documents(rows), F.lit(False))
+    started = hmm.train(text, states=2, rounds=0)
+    drawn = hmm.Model.drawn(text.shares, 2)
+    assert all((a == b).all() for a, b in zip(started.packed(), drawn.packed()))
+    seen, of_counts = [], hmm.Model.of_counts
+    monkeypatch.setattr(hmm.Model, "of_counts", lambda shares, start, moves, emits: seen.append(emits.sum()) or of_counts(shares, start, moves, emits))
+    hmm.train(text, states=2, rounds=2)
+    assert seen == pytest.approx([text.tokens] * 2, rel=1e-4)
+
+
 def test_no_partition_of_the_text_changes_the_model(as_documents):
     rows = [(i, noise(i, 60), "s") for i in range(80)]
     scores = []
