@@ -22,6 +22,7 @@ from tablewright.sources.sinks import (
     write_json_array,
     write_parquet,
     write_relational,
+    write_xml,
 )
 from tablewright.sources.snapshots import Snapshots
 from tablewright.sources.xml import parse_xml_column, read_xml

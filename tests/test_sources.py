@@ -200,6 +200,36 @@ def test_xml_files(spark, folder, rows):
     assert rows(df) == EXPECTED
 
 
+def test_xml_files_stay_small(spark, folder):
+    """However few tasks write, no file has more than so many records; all are read again, by several tasks."""
+    df = spark.range(1000).coalesce(1).selectExpr("id AS _id", "concat('n', id) AS name", "if(id % 7 = 0, null, id) AS size")
+    assert R.write_xml(df, folder(), "part", "parts", records=100).rows == 1000
+    files = [p.read_text().count("<part ") for p in Path(folder()).glob("part-*")]
+    assert len(files) >= 10 and max(files) <= 100
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        found = R.read_xml(spark, folder(), "part", {"id": "./@id", "name": "./name/text()", "size": "./size/text()"})
+        assert found.rdd.getNumPartitions() > 1
+        want = {(str(i), f"n{i}", str(i) if i % 7 else None) for i in range(1000)}
+        assert {tuple(r) for r in found.collect()} == want and found.count() == 1000
+        assert R.write_xml(df.limit(0), folder("none"), "part", "parts").rows == 0
+        assert R.read_xml(spark, folder("none"), "part", {"id": "./@id"}).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_registered_xml_queries_write_small_files(spark, tmp_path, monkeypatch):
+    """The queries that write XML leave no file that grows with a task's rows."""
+    from gates import QUERIES
+    from tablewright.sources import sinks
+
+    spark.read.parquet("/root/testdata/sf0.001/part.parquet").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    monkeypatch.setattr(sinks.write_xml, "__defaults__", ("overwrite", 20))
+    for name in ("s7_xml_source", "s7_xml_nested_in_full"):
+        found = QUERIES[name](spark, str(tmp_path))
+        assert found.count() == spark.read.parquet(f"{tmp_path}/part.parquet").count() and len(found.inputFiles()) >= 10
+
+
 def test_xml_column(frame, rows):
     records = CATALOG.split("<PLANT id=")[1:]
     cells = [("<PLANT id=" + r.split("</c:CATALOG>")[0],) for r in records]
