@@ -11,8 +11,8 @@ are free, so it never holds more than 256 ** max_bits distinct fingerprints.
 
 At 2 bits of 64 few copies with changed words are linked. ``keep_dissimilar``
 looks for those: fingerprints of 64 bytes over five words, an index of pairs of
-positions (of three of them for very many texts), a tally of shared bytes, and
-candidates verified on their texts.
+positions (of three of them for very many texts), a tally of shared bytes, links
+of at most ``BITS`` differing bits, and then an exact check of these on the texts.
 """
 
 from __future__ import annotations
@@ -38,6 +38,10 @@ FEW = 256  # lists up to this length are compared pair by pair
 # pairs are thinned at first. At a Jaccard similarity of 0.8 a byte is shared with a
 # probability of 0.27, 17 of 64 on average.
 WIDE, SHARED, TOGETHER, PARTNERS = 64, 8, 1024, 8
+# Bits in which linked fingerprints of WIDE bytes differ at most. At a similarity of 0.8
+# about 78 differ, 160 if a text of five shingles gets a sixth that decides all ties, with
+# a deviation of 8 to 11; in unlike texts 256.
+BITS = 216
 # Choices of positions that are indexed, by their number of positions, and texts from
 # which three are taken, so that lists stay some thousand rows long.
 CHOICES, MANY = {2: 48, 3: 160}, 1 << 27
@@ -294,7 +298,9 @@ def _forest(count: int, a: np.ndarray, b: np.ndarray, far: np.ndarray) -> np.nda
 
 
 def _pairs(lists: np.ndarray, nodes: np.ndarray, prints: np.ndarray, together: int, partners: int) -> tuple[np.ndarray, ...]:
-    """(a, b, far) of nodes in one list that share ``SHARED`` bytes, rows being ordered by list, and the lists that were thinned.
+    """(a, b, far) of linked nodes in one list, rows being ordered by list, and the lists that were thinned.
+
+    They share ``SHARED`` bytes and differ in at most ``BITS`` bits.
 
     Nodes with more partners than ``partners`` keep those that the list's minimum
     spanning forest needs, so a list of n gives O(n) pairs. Parts of more than
@@ -311,8 +317,10 @@ def _pairs(lists: np.ndarray, nodes: np.ndarray, prints: np.ndarray, together: i
             break
         differ = prints[at] ^ prints[at + step]
         tally = (differ.view(np.uint8) == 0).sum(axis=1)
-        near = tally >= SHARED
-        made.append((at[near], at[near] + step, np.bitwise_count(differ[near]).sum(axis=1, dtype=np.int64)))
+        near = np.flatnonzero(tally >= SHARED)
+        far = np.bitwise_count(differ[near]).sum(axis=1, dtype=np.int64)
+        near, far = near[far <= BITS], far[far <= BITS]
+        made.append((at[near], at[near] + step, far))
     if not made:
         return (np.empty(0, np.int64),) * 4
     a, b, far = (np.concatenate([m[k] for m in made]) for k in range(3))
@@ -343,7 +351,7 @@ def _dealt(prints: DataFrame, width: int, others: tuple[str, ...]) -> DataFrame:
 
 
 def candidates(prints: DataFrame, width: int = 2, together: int = TOGETHER, partners: int = PARTNERS) -> DataFrame:
-    """(a, b, far): nodes whose wide fingerprints share enough bytes, and the bits that they differ in.
+    """(a, b, far): nodes whose wide fingerprints share enough bytes and differ in few bits, and how many these are.
 
     ``prints`` holds distinct nodes. A posting list stands for ``width`` positions
     and their bytes. Lists of more than ``together`` rows are dealt in parts by a
@@ -407,7 +415,7 @@ def candidates(prints: DataFrame, width: int = 2, together: int = TOGETHER, part
 
 
 def between_groups(prints: DataFrame, lists: DataFrame, width: int = 2, together: int = TOGETHER) -> DataFrame:
-    """(a, b): all nodes of different ``root`` that share a list of ``lists`` and enough bytes.
+    """(a, b): all nodes of different ``root`` that share a list of ``lists`` and enough bytes, and differ in few bits.
 
     ``prints`` is (node, fp, root). The rows of a list are numbered by root and cut
     into blocks of ``together``; each pair of blocks that holds two roots meets in
@@ -452,7 +460,9 @@ def between_groups(prints: DataFrame, lists: DataFrame, width: int = 2, together
             for i in range(len(nodes) if alone else int((side == 0).sum())):
                 others = rights[(rights > i) & (roots[rights] != roots[i])]
                 shared = (prints[others] == prints[i]).sum(axis=1)
-                for other in others[shared >= SHARED]:
+                others = others[shared >= SHARED]
+                far = np.bitwise_count(prints[others] ^ prints[i]).sum(axis=1, dtype=np.int64)
+                for other in others[far <= BITS]:
                     made.append((min(nodes[i], nodes[other]), max(nodes[i], nodes[other])))
             columns = zip(*made, strict=True) if made else ([], [])
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
@@ -505,9 +515,10 @@ def similar_groups(
 ) -> DataFrame:
     """(key, r1, r2, root): rows whose shingle sets are linked by a Jaccard similarity of ``least`` share ``root``.
 
-    Texts of equal sets are folded first, those without words among them. Every
-    link is verified on the texts; a pair is missed only if its fingerprints share
-    no choice of positions, or fewer than ``SHARED`` bytes. Candidates are verified
+    Texts of equal sets are folded first, those without words among them. Links of
+    fingerprints, at most ``BITS`` bits apart, are verified on the texts; a pair is
+    missed only if its fingerprints share no choice of positions, or fewer than
+    ``SHARED`` bytes. Candidates are verified
     in three steps, each of which leaves out pairs that lie in one group already:
     the nearest one of each node, the others, and all pairs between groups in the
     lists of dense groups, which the first two steps have thinned.

@@ -60,6 +60,40 @@ def test_pipeline_drops_planted_near_copies(spark, as_documents):
     assert min(recall) >= 0.93 and min(recall[1:]) >= 0.97
 
 
+def test_links_differ_in_few_bits(spark):
+    """Fingerprints that share bytes are linked only within ``BITS`` bits, in lists and between groups."""
+    find_package(spark)
+    rng = np.random.default_rng(6)
+    one = rng.integers(0, 256, simhash.WIDE, np.uint8)
+    near, far, alike = one.copy(), one.copy(), one.copy()
+    near[:10] ^= np.uint8(255)  # 80 bits
+    alike[10 : 10 + simhash.BITS // 8] ^= np.uint8(255)  # just as many as may differ
+    far[-1 - simhash.BITS // 8 :] ^= np.uint8(255)  # a byte more
+    prints = [(n, p.tobytes(), n) for n, p in enumerate((one, near, far, alike))]
+    frame = stage(spark.createDataFrame(prints, "node long, fp binary, root long"))
+    bits = {(i, j): int(np.unpackbits(np.frombuffer(prints[i][1], np.uint8) ^ np.frombuffer(prints[j][1], np.uint8)).sum()) for j in range(4) for i in range(j)}
+    want = {pair for pair, n in bits.items() if n <= simhash.BITS}
+    assert want == {(0, 1), (0, 3)}
+    found = {(r.a, r.b): r.far for r in simhash.candidates(frame).filter("b is not null").collect()}
+    assert found == {pair: bits[pair] for pair in want}
+    lists = stage(simhash._dealt(frame, 2, ("node",)).select("list").distinct())
+    assert {(r.a, r.b) for r in simhash.between_groups(frame, lists).collect()} == want
+
+
+@pytest.mark.parametrize("size", [4, 5, 7, 8, 9, 10, 20, 100, 1000])
+def test_similar_texts_are_within_the_bits(size):
+    """The bound on bits loses no pair of a Jaccard similarity of 0.8, however few shingles there are."""
+    rng, most = np.random.default_rng(size), 0
+    for _ in range(400):
+        alone = rng.integers(0, size // 4 + 1)  # shingles of one text only, the other has the rest
+        others = size // 4 - alone
+        hashes = rng.integers(0, 1 << 63, size + alone + others, np.uint64)
+        a, b = np.sort(hashes[: size + alone]), np.sort(np.append(hashes[:size], hashes[size + alone :]))
+        assert size >= 0.8 * len(hashes)
+        most = max(most, int(np.bitwise_count(np.frombuffer(simhash._wide(a), np.uint8) ^ np.frombuffer(simhash._wide(b), np.uint8)).sum()))
+    assert most <= simhash.BITS
+
+
 def plain_groups(rows, least=0.8):
     """The group of each row, by comparing all pairs."""
     parent = list(range(len(rows)))
