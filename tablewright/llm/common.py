@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..session import stage
 
-__all__ = ["documents", "find_package", "identity", "join_counted", "labels", "map_batches", "slices", "stage", "stage_and_free", "table", "text_bytes", "word_count"]
+__all__ = ["documents", "few_tasks", "find_package", "identity", "join_counted", "labels", "map_batches", "slices", "stage", "stage_and_free", "table", "text_bytes", "word_count"]
 
 # A word is a run of anything but these six ASCII characters. ``bytes.split()``
 # splits at exactly the same ones.
@@ -26,6 +26,7 @@ WORD = rf"[^{SPACE}]+"
 SLICE_BYTES = 4 << 20
 
 HOT = 500  # rows from which a join key may count as hot
+TASK_ROWS = 100_000  # rows of a few longs that a task takes with ease
 
 
 def find_package(spark: SparkSession) -> None:
@@ -114,6 +115,17 @@ def join_counted(rows: DataFrame, table: DataFrame, keys: list[str], count: str)
     return rows.join(hot, keys).unionByName(rest)
 
 
+def few_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, which has at most ``rows`` rows, in as many tasks as these ask for, if it has more.
+
+    Adaptive execution does so where it may coalesce partitions; a table of a few
+    thousand rows that is written many times should not depend on it. Only the
+    tasks after the last shuffle are fewer, so no more than narrow work on rows
+    of a few longs should stand there.
+    """
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS)))
+
+
 def map_batches(
     df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, by: str = "text"
 ) -> DataFrame:

@@ -157,6 +157,11 @@ def _filter_of(keys: pa.Table) -> pa.Table:
     return pa.table({"shard": keys.column("shard").slice(0, 1), "filter": pa.array([blob], pa.binary())})
 
 
+def _filters_of(counts: DataFrame, least: int, shards: int) -> DataFrame:
+    held = counts.filter(f"n >= {least}").select(_shard(shards).alias("shard"), "k1")
+    return held.groupBy("shard").applyInArrow(_filter_of, "shard int, filter binary")
+
+
 @dataclass
 class LineIndex:
     """Exact counts and sharded filters of a corpus; every change makes new stored tables.
@@ -175,6 +180,14 @@ class LineIndex:
         counts = spark.createDataFrame([], "k1 long, k2 long, n long")
         return cls(counts, spark.createDataFrame([], "shard int, filter binary"), least, shards)
 
+    @classmethod
+    def of(cls, found: DataFrame, least: int = 10, shards: int = SHARDS) -> LineIndex:
+        """The index of the documents whose line keys ``found`` (r1, r2, k1, k2) holds."""
+        counts = stage(found.groupBy("k1", "k2").agg(F.count("*").alias("n")), "line-counts")
+        needed = -(-counts.filter(f"n >= {least}").count() // SHARD_KEYS)
+        shards = 2 * needed if needed > shards else shards
+        return cls(counts, stage(_filters_of(counts, least, shards), "line-filters"), least, shards)
+
     def insert(self, docs: DataFrame, text: str = "text", key: str = "doc_id") -> LineIndex:
         """The index with ``docs`` added; each row counts as a document."""
         return self._changed(occurrences(docs, text, key), 1)
@@ -195,9 +208,7 @@ class LineIndex:
         needed = -(-after.filter(f"n >= {self.least}").count() // SHARD_KEYS)
         if needed > self.shards:
             shards = 2 * needed
-            held = counts.filter(f"n >= {self.least}").select(_shard(shards).alias("shard"), "k1")
-            filters = held.groupBy("shard").applyInArrow(_filter_of, "shard int, filter binary")
-            return LineIndex(counts, stage(filters, "line-filters"), self.least, shards)
+            return LineIndex(counts, stage(_filters_of(counts, self.least, shards), "line-filters"), self.least, shards)
         return LineIndex(counts, stage(self._filters(crossed, counts), "line-filters"), self.least, self.shards)
 
     def _filters(self, crossed: DataFrame, counts: DataFrame) -> DataFrame:
@@ -315,5 +326,4 @@ def dedup_lines(docs: DataFrame, least: int = 10, text: str = "text", key: str =
     empty table gives no rows; other columns pass through.
     """
     found = stage(occurrences(docs, text, key), "line-keys")
-    index = LineIndex.empty(docs.sparkSession, least, shards)._changed(found, 1)
-    return drop_lines(docs, index.shared(found), text, key)
+    return drop_lines(docs, LineIndex.of(found, least, shards).shared(found), text, key)

@@ -484,24 +484,43 @@ def between_groups(prints: DataFrame, lists: DataFrame, width: int = 2, together
     return dealt.mapInArrow(meet, "a long, b long").distinct()
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, least: float, words: int) -> DataFrame:
-    """The (a, b) of ``pairs`` whose texts, (node, text), have a Jaccard similarity of ``least`` in distinct shingles."""
+def _shingled(texts: DataFrame, words: int) -> DataFrame:
+    """(node, shingles): the hashes of the distinct shingles of (node, text), ascending, 8 bytes each."""
 
     def of(batch: pa.RecordBatch) -> pa.RecordBatch:
-        kept, last, one = [], None, None
-        a, left, right = batch.column("a").to_pylist(), text_bytes(batch.column("text")), text_bytes(batch.column("other"))
-        for row, node in enumerate(a):
-            if node != last:
-                last, one = node, _shingles(left[row], words)
-            two = _shingles(right[row], words)
-            shared = len(np.intersect1d(one, two, assume_unique=True))
-            if shared >= least * (len(one) + len(two) - shared):
-                kept.append(row)
+        found = [_shingles(t, words).tobytes() for t in text_bytes(batch.column("text"))]
+        return pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], ["node", "shingles"])
+
+    return map_batches(texts.select("node", "text"), of, "node long, shingles binary")
+
+
+def _shared(one: np.ndarray, two: np.ndarray) -> int:
+    """How many hashes two ascending arrays have in common."""
+    if len(one) > len(two):
+        one, two = two, one
+    if not len(one):
+        return 0
+    at = np.searchsorted(two, one)
+    return int((two[np.minimum(at, len(two) - 1)] == one).sum())
+
+
+def _similar(pairs: DataFrame, shingled: DataFrame, least: float) -> DataFrame:
+    """The (a, b) of ``pairs`` whose texts have a Jaccard similarity of ``least`` in distinct shingles, (node, shingles)."""
+
+    def of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        kept = []
+        for row, (left, right) in enumerate(zip(batch.column("one").to_pylist(), batch.column("other").to_pylist(), strict=True)):
+            one, two = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
+            # as many shared as the smaller set has would have to do
+            if min(len(one), len(two)) >= least * max(len(one), len(two)):
+                shared = _shared(one, two)
+                if shared >= least * (len(one) + len(two) - shared):
+                    kept.append(row)
         return batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
 
-    left = texts.select(F.col("node").alias("a"), "text")
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("other"))
-    return map_batches(pairs.select("a", "b").join(right, "b").join(left, "a"), of, "a long, b long")
+    left = shingled.select(F.col("node").alias("a"), F.col("shingles").alias("one"))
+    right = shingled.select(F.col("node").alias("b"), F.col("shingles").alias("other"))
+    return map_batches(pairs.select("a", "b").join(right, "b").join(left, "a"), of, "a long, b long", "other")
 
 
 def similar_groups(
@@ -533,11 +552,11 @@ def similar_groups(
     r1, r2 = identity(key, text)
     bodies = docs.select(r1.alias("r1"), r2.alias("r2"), F.col(text).alias("text"))
 
-    def texts_of(pairs: DataFrame) -> DataFrame:
+    def shingles_of(pairs: DataFrame) -> DataFrame:
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         lead = distinct.join(nodes, "node", "left_semi").select("node", "one.r1", "one.r2")
         own = bodies.join(lead, ["r1", "r2"]).select("node", "text")
-        return stage(own.dropDuplicates(["node"]), "texts")
+        return stage(_shingled(own, words).dropDuplicates(["node"]), "shingles")
 
     def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
         to_a = roots.select(F.col("node").alias("a"), F.col("root").alias("of_a"))
@@ -545,20 +564,22 @@ def similar_groups(
         different = F.coalesce("of_a", "a") != F.coalesce("of_b", "b")
         return pairs.join(to_a, "a", "left").join(to_b, "b", "left").filter(different).select("a", "b")
 
-    texts = texts_of(pairs)
+    def united(roots: DataFrame, links: DataFrame) -> DataFrame:
+        """The roots after further links; for the links before, each node is tied to its root."""
+        return connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links))
+
+    shingled = shingles_of(pairs)
     ends = pairs.select(F.col("a").alias("node"), "a", "b", "far").union(pairs.select(F.col("b").alias("node"), "a", "b", "far"))
     nearest = ends.groupBy("node").agg(F.min(F.struct("far", "a", "b")).alias("one")).select("one.a", "one.b").distinct()
-    edges = stage(_similar(nearest, texts, least, words), "verified")
-    roots = connected_components(edges)
+    roots = connected_components(_similar(nearest, shingled, least))
     rest = stage(apart(pairs, roots).join(nearest, ["a", "b"], "left_anti"), "rest")
-    edges = stage(edges.union(_similar(rest, texts, least, words)), "verified")
-    roots = connected_components(edges)
+    roots = united(roots, _similar(rest, shingled, least))
     if lists.limit(1).count():
         rooted = distinct.select("node", "fp").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         tried = pairs.select("a", "b")
         more = stage(between_groups(stage(rooted, "rooted"), lists, width, together).join(tried, ["a", "b"], "left_anti"), "between")
         if more.limit(1).count():
-            roots = connected_components(edges.union(_similar(more, texts_of(more), least, words)))
+            roots = united(roots, _similar(more, shingles_of(more), least))
     rooted = distinct.select("node", "n").join(roots, "node", "left").select("node", "n", F.coalesce("root", "node").alias("root"))
     linked = join_counted(prints, stage(rooted, "roots"), ["node"], "n")
     return linked.select(F.col("key").alias(key), "r1", "r2", "root")

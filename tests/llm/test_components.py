@@ -3,9 +3,10 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
-from tablewright.llm import common
+from tablewright.llm import common, components
 from tablewright.llm.common import join_counted, stage
 from tablewright.llm.components import connected_components
 
@@ -57,3 +58,46 @@ def test_join_of_hot_keys(spark, monkeypatch):
     table = stage(spark.createDataFrame([(k, f"v{k}", counts[k]) for k in [*range(1, 40), 500]], "k int, v string, n long"))
     found = join_counted(stage(spark.createDataFrame(rows, "k int, i int")), table, ["k"], "n").select("k", "i", "v").collect()
     assert Counter(map(tuple, found)) == Counter((k, i, f"v{k}") for k, i in rows if k is not None and k < 40)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_stars_of_a_block(seed):
+    dice = np.random.default_rng(seed)
+    a, b = dice.integers(-40, 40, (2, dice.integers(1, 80)))
+    node, root = components._stars(a, b)
+    want = plain_roots(list(zip(a.tolist(), b.tolist(), strict=True)))
+    found = dict(zip(node.tolist(), root.tolist(), strict=True))
+    assert {**{r: r for r in root.tolist()}, **found} == want
+
+
+def test_small_graphs_take_few_tables_and_tasks(spark, monkeypatch):
+    """No task for each shuffle partition, and no round that only finds that the last one has changed nothing."""
+    edges = [(2 * i, 2 * i + 1) for i in range(1000)]
+    random.Random(5).shuffle(edges)
+    tables = []
+
+    def counted(df, label):
+        tables.append((label, stage(df, label)))
+        return tables[-1][1]
+
+    monkeypatch.setattr(components, "stage", counted)
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for k, v in zip(held, ("97", "false"), strict=True):
+            spark.conf.set(k, v)
+        found = connected_components(spark.createDataFrame(edges, "a long, b long").repartition(60))
+        assert {r.node: r.root for r in found.collect()} == plain_roots(edges)
+        assert [label for label, _ in tables] == ["links", "edges", "labels", "lower"]
+        assert max(len(t.inputFiles()) for label, t in tables if label != "links") <= spark.sparkContext.defaultParallelism
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
+def test_blocks_of_any_size_give_the_same(spark, monkeypatch):
+    edges = graphs()["all"]
+    for block in (1, 7):
+        monkeypatch.setattr(components, "BLOCK", block)
+        batches = spark.createDataFrame(edges, "a long, b long").dropna().toArrow().to_batches()
+        made = [pair for b in components._united(iter(batches)) for pair in zip(*b.to_pydict().values(), strict=True)]
+        assert plain_roots(made) == plain_roots(edges)

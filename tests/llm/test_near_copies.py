@@ -94,6 +94,21 @@ def test_similar_texts_are_within_the_bits(size):
     assert most <= simhash.BITS
 
 
+def test_texts_are_cut_into_shingles_once(spark, as_documents, monkeypatch):
+    """Pairs are verified on sets that each text gives once, however many pairs it is in."""
+    dice, base = random.Random(8), noise(5, 60)
+    rows = [(i, t, "s") for i, t in enumerate([base, edited(base, 0.82, 0.9, dice), edited(base, 0.6, 0.75, dice), noise(6, 60), "", None, "one"])]
+    texts = stage(as_documents(rows).selectExpr("doc_id AS node", "text"))
+    pairs = stage(spark.createDataFrame([(i, j) for j in range(len(rows)) for i in range(j)], "a long, b long"))
+    shingled = stage(simhash._shingled(texts, 5))
+    monkeypatch.setattr(simhash, "text_bytes", None)
+    found = {(r.a, r.b) for r in simhash._similar(pairs, shingled, 0.8).collect()}
+    assert found == {(i, j) for j in range(len(rows)) for i in range(j) if jaccard(rows[i][1], rows[j][1]) >= 0.8}
+    for _ in range(50):
+        one, two = (np.unique(np.array([dice.randrange(30) for _ in range(dice.randrange(20))], np.uint64)) for _ in range(2))
+        assert simhash._shared(one, two) == len(set(one.tolist()) & set(two.tolist()))
+
+
 def plain_groups(rows, least=0.8):
     """The group of each row, by comparing all pairs."""
     parent = list(range(len(rows)))

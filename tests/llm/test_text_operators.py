@@ -68,6 +68,19 @@ def test_line_index_is_reversible(spark, as_documents, tricky_rows):
     assert {(r.k1, r.k2) for r in back.shared(found, salts=3).collect()} == hot
 
 
+def test_index_of_documents_is_made_at_once(spark, as_documents, tricky_rows, monkeypatch):
+    """No join with an index of nothing: one table of counts and one of filters."""
+    docs, made = as_documents(tricky_rows), []
+    grown = lines.LineIndex.empty(spark, least=3, shards=4).insert(docs)
+    monkeypatch.setattr(lines, "stage", lambda df, label, f=lines.stage: made.append(label) or f(df, label))
+    at_once = lines.LineIndex.of(lines.occurrences(docs), least=3, shards=4)
+    assert made == ["line-counts", "line-filters"] and at_once.shards == grown.shards
+    assert set(at_once.counts.collect()) == set(grown.counts.collect())
+    found = lines.occurrences(docs)
+    one, two = (Counter(i.shared(found).select("k1", "k2").collect()) for i in (at_once, grown))
+    assert one == two and one
+
+
 def test_line_filter_grows_when_it_overflows(spark, as_documents):
     few = as_documents([(i, "same", "s") for i in range(2)])
     many = as_documents([(i, "\n".join(f"line {n}" for n in range(3000)), "s") for i in range(2)])
