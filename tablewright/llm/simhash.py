@@ -17,7 +17,7 @@ of at most ``BITS`` differing bits, and then an exact check of these on the text
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -45,6 +45,7 @@ BITS = 216
 # Choices of positions that are indexed, by their number of positions, and texts from
 # which three are taken, so that lists stay some thousand rows long.
 CHOICES, MANY = {2: 48, 3: 160}, 1 << 27
+SHORT = 1 << 15  # bytes of a text's shingles, 8 each, up to which they are sent to blocks of rows
 
 
 def fingerprint(text: bytes, words: int = 3) -> int:
@@ -414,8 +415,20 @@ def candidates(prints: DataFrame, width: int = 2, together: int = TOGETHER, part
     return found.union(cut).distinct()
 
 
-def between_groups(prints: DataFrame, lists: DataFrame, width: int = 2, together: int = TOGETHER) -> DataFrame:
-    """(a, b): all nodes of different ``root`` that share a list of ``lists`` and enough bytes, and differ in few bits.
+def between_groups(
+    prints: DataFrame,
+    lists: DataFrame,
+    width: int = 2,
+    together: int = TOGETHER,
+    least: float = 0.0,
+    shingles_of: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """(a, b, sure): all nodes of different ``root`` that share a list of ``lists`` and enough bytes, and differ in few bits.
+
+    ``shingles_of`` gives (node, shingles) for a table of nodes. Pairs of texts of ``SHORT``
+    bytes of shingles or less are verified where they meet, by a Jaccard similarity of
+    ``least``, and are ``sure``: so a group of many unlike pairs emits none of them. The
+    others are emitted unverified, as their shingles would not fit a block.
 
     ``prints`` is (node, fp, root). The rows of a list are numbered by root and cut
     into blocks of ``together``; each pair of blocks that holds two roots meets in
@@ -429,6 +442,11 @@ def between_groups(prints: DataFrame, lists: DataFrame, width: int = 2, together
     spans = rows.groupBy("list", "root").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     sizes = rows.groupBy("list").agg(F.max("n").alias("size"))
     placed = rows.join(spans, ["list", "root"]).join(sizes, "list").join(prints.select("node", "fp"), "node")
+    if shingles_of:
+        short = shingles_of(rows.select("node").distinct()).filter(F.octet_length("shingles") <= SHORT)
+        placed = placed.join(short, "node", "left")
+    else:
+        placed = placed.withColumn("shingles", F.lit(None).cast("binary"))
 
     def block(n) -> Column:
         return F.floor((n - 1) / together).cast("int")
@@ -444,7 +462,8 @@ def between_groups(prints: DataFrame, lists: DataFrame, width: int = 2, together
         F.transform(right, lambda b: F.struct(own.alias("i"), b.alias("j"), F.lit(0).alias("side"))),
         F.transform(left, lambda b: F.struct(b.alias("i"), own.alias("j"), F.lit(1).alias("side"))),
     )
-    dealt = placed.select("list", "node", "root", "fp", F.explode(places).alias("p")).select("list", "p.*", "node", "root", "fp")
+    dealt = placed.select("list", "node", "root", "fp", "shingles", F.explode(places).alias("p"))
+    dealt = dealt.select("list", "p.*", "node", "root", "fp", "shingles")
     dealt = dealt.repartition("list", "i", "j").sortWithinPartitions("list", "i", "j", "side")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -454,6 +473,7 @@ def between_groups(prints: DataFrame, lists: DataFrame, width: int = 2, together
             rows = pa.concat_batches(held)
             nodes, roots, side = (rows.column(c).to_numpy() for c in ("node", "root", "side"))
             prints = np.frombuffer(b"".join(rows.column("fp").to_pylist()), np.uint8).reshape(-1, WIDE)
+            sets = [s if s is None else np.frombuffer(s, np.uint64) for s in rows.column("shingles").to_pylist()]
             alone = at[1] == at[2]
             rights = np.arange(len(nodes)) if alone else np.flatnonzero(side == 1)
             made = []
@@ -463,9 +483,12 @@ def between_groups(prints: DataFrame, lists: DataFrame, width: int = 2, together
                 others = others[shared >= SHARED]
                 far = np.bitwise_count(prints[others] ^ prints[i]).sum(axis=1, dtype=np.int64)
                 for other in others[far <= BITS]:
-                    made.append((min(nodes[i], nodes[other]), max(nodes[i], nodes[other])))
-            columns = zip(*made, strict=True) if made else ([], [])
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+                    sure = sets[i] is not None and sets[other] is not None
+                    if not sure or _alike(sets[i], sets[other], least):
+                        made.append((min(nodes[i], nodes[other]), max(nodes[i], nodes[other]), sure))
+            columns = zip(*made, strict=True) if made else ([], [], [])
+            kinds = pa.int64(), pa.int64(), pa.bool_()
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["a", "b", "sure"])
 
         for batch in batches:
             keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("list", "i", "j")])
@@ -481,7 +504,7 @@ def between_groups(prints: DataFrame, lists: DataFrame, width: int = 2, together
         if held:
             yield out()
 
-    return dealt.mapInArrow(meet, "a long, b long").distinct()
+    return dealt.mapInArrow(meet, "a long, b long, sure boolean").distinct()
 
 
 def _shingled(texts: DataFrame, words: int) -> DataFrame:
@@ -504,18 +527,23 @@ def _shared(one: np.ndarray, two: np.ndarray) -> int:
     return int((two[np.minimum(at, len(two) - 1)] == one).sum())
 
 
+def _alike(one: np.ndarray, two: np.ndarray, least: float) -> bool:
+    """Whether two sets, ascending hashes, have a Jaccard similarity of ``least``."""
+    # as many shared as the smaller set has would have to do
+    if min(len(one), len(two)) < least * max(len(one), len(two)):
+        return False
+    shared = _shared(one, two)
+    return shared >= least * (len(one) + len(two) - shared)
+
+
 def _similar(pairs: DataFrame, shingled: DataFrame, least: float) -> DataFrame:
     """The (a, b) of ``pairs`` whose texts have a Jaccard similarity of ``least`` in distinct shingles, (node, shingles)."""
 
     def of(batch: pa.RecordBatch) -> pa.RecordBatch:
         kept = []
         for row, (left, right) in enumerate(zip(batch.column("one").to_pylist(), batch.column("other").to_pylist(), strict=True)):
-            one, two = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-            # as many shared as the smaller set has would have to do
-            if min(len(one), len(two)) >= least * max(len(one), len(two)):
-                shared = _shared(one, two)
-                if shared >= least * (len(one) + len(two) - shared):
-                    kept.append(row)
+            if _alike(np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64), least):
+                kept.append(row)
         return batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
 
     left = shingled.select(F.col("node").alias("a"), F.col("shingles").alias("one"))
@@ -552,8 +580,10 @@ def similar_groups(
     r1, r2 = identity(key, text)
     bodies = docs.select(r1.alias("r1"), r2.alias("r2"), F.col(text).alias("text"))
 
-    def shingles_of(pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+    def shingles_of(nodes: DataFrame) -> DataFrame:
         lead = distinct.join(nodes, "node", "left_semi").select("node", "one.r1", "one.r2")
         own = bodies.join(lead, ["r1", "r2"]).select("node", "text")
         return stage(_shingled(own, words).dropDuplicates(["node"]), "shingles")
@@ -568,18 +598,22 @@ def similar_groups(
         """The roots after further links; for the links before, each node is tied to its root."""
         return connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links))
 
-    shingled = shingles_of(pairs)
-    ends = pairs.select(F.col("a").alias("node"), "a", "b", "far").union(pairs.select(F.col("b").alias("node"), "a", "b", "far"))
-    nearest = ends.groupBy("node").agg(F.min(F.struct("far", "a", "b")).alias("one")).select("one.a", "one.b").distinct()
+    shingled = shingles_of(ends(pairs))
+    sides = pairs.select(F.col("a").alias("node"), "a", "b", "far").union(pairs.select(F.col("b").alias("node"), "a", "b", "far"))
+    nearest = sides.groupBy("node").agg(F.min(F.struct("far", "a", "b")).alias("one")).select("one.a", "one.b").distinct()
     roots = connected_components(_similar(nearest, shingled, least))
     rest = stage(apart(pairs, roots).join(nearest, ["a", "b"], "left_anti"), "rest")
     roots = united(roots, _similar(rest, shingled, least))
     if lists.limit(1).count():
         rooted = distinct.select("node", "fp").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        tried = pairs.select("a", "b")
-        more = stage(between_groups(stage(rooted, "rooted"), lists, width, together).join(tried, ["a", "b"], "left_anti"), "between")
+        met = between_groups(stage(rooted, "rooted"), lists, width, together, least, shingles_of)
+        more = stage(met, "between")
+        links = more.filter("sure").select("a", "b")
+        unsure = more.filter("not sure").join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+        if more.filter("not sure").limit(1).count():
+            links = links.union(_similar(unsure, shingles_of(ends(unsure)), least))
         if more.limit(1).count():
-            roots = united(roots, _similar(more, shingles_of(more), least))
+            roots = united(roots, links)
     rooted = distinct.select("node", "n").join(roots, "node", "left").select("node", "n", F.coalesce("root", "node").alias("root"))
     linked = join_counted(prints, stage(rooted, "roots"), ["node"], "n")
     return linked.select(F.col("key").alias(key), "r1", "r2", "root")

@@ -176,6 +176,19 @@ def test_thinned_lists_lose_no_link(as_documents, loose_groups):
         assert grouped(docs, **bounds) == every, bounds
 
 
+def test_unlike_pairs_of_a_dense_group_are_not_emitted(as_documents, loose_groups, monkeypatch):
+    """Only links leave the blocks, of short texts; long ones are verified after, with the same groups."""
+    docs, met = stage(as_documents(loose_groups)), {}
+    monkeypatch.setattr(simhash, "stage", lambda df, label, f=stage: met.setdefault(label, f(df, label)) if label == "between" else f(df, label))
+    groups = grouped(docs, together=5, partners=1)
+    sets = len(loose_groups)
+    assert met["between"].filter("not sure").count() == 0 and met["between"].count() < sets
+    met.clear()
+    monkeypatch.setattr(simhash, "SHORT", 0)
+    assert grouped(docs, together=5, partners=1) == groups
+    assert met["between"].filter("sure").count() == 0 and met["between"].count() > sets
+
+
 def test_blocks_of_a_long_list_meet_where_roots_differ(spark):
     """Every pair of different roots once, whatever the blocks; equal roots never."""
     find_package(spark)
