@@ -13,6 +13,9 @@ At 2 bits of 64 few copies with changed words are linked. ``keep_dissimilar``
 looks for those: fingerprints of 64 bytes over five words, an index of pairs of
 positions (of three of them for very many texts), a tally of shared bytes, links
 of at most ``BITS`` differing bits, and then an exact check of these on the texts.
+An index of some choices misses a few pairs, so those whose fingerprints meet in no
+list are looked up by their rarest shingles (``sharing``), of which similar texts
+have one in common for certain.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.windows import number_rows
-from .common import identity, join_counted, map_batches, stage, text_bytes
+from .common import identity, join_counted, map_batches, slices, stage, text_bytes
 from .components import connected_components
 
 SEED = 42
@@ -45,6 +48,8 @@ BITS = 216
 # Choices of positions that are indexed, by their number of positions, and texts from
 # which three are taken, so that lists stay some thousand rows long.
 CHOICES, MANY = {2: 48, 3: 160}, 1 << 27
+# The commonest shingles that are known by their counts, and shingles that a task counts at once.
+KNOWN, COUNTED = 1 << 16, 1 << 19
 SHORT = 1 << 15  # bytes of a text's shingles, 8 each, up to which they are sent to blocks of rows
 
 
@@ -245,6 +250,11 @@ def _wide(hashes: np.ndarray) -> bytes:
     return np.packbits(2 * counts + least > len(hashes)).tobytes()
 
 
+def _node(hashes: np.ndarray) -> int:
+    """64 bits that stand for a set of shingles."""
+    return xxhash.xxh64_intdigest(hashes.tobytes(), SEED)
+
+
 def _choices(width: int) -> np.ndarray:
     """``CHOICES`` sets of ``width`` byte positions, each position in as many as any other, or a few more."""
     dice, sets = np.random.default_rng(SEED), []
@@ -260,7 +270,7 @@ def wide_prints(docs: DataFrame, words: int = 5, text: str = "text", key: str =
 
     def of(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [_shingles(t, words) for t in text_bytes(batch.column("text"))]
-        nodes = np.array([xxhash.xxh64_intdigest(h.tobytes(), SEED) for h in found], np.uint64)
+        nodes = np.array([_node(h) for h in found], np.uint64)
         prints = pa.array([_wide(h) for h in found], pa.binary())
         columns = [batch.column("key"), pa.array(nodes.view(np.int64)), prints, batch.column("r1"), batch.column("r2")]
         return pa.RecordBatch.from_arrays(columns, ["key", "node", "fp", "r1", "r2"])
@@ -551,6 +561,140 @@ def _similar(pairs: DataFrame, shingled: DataFrame, least: float) -> DataFrame:
     return map_batches(pairs.select("a", "b").join(right, "b").join(left, "a"), of, "a long, b long", "other")
 
 
+def _commonest(hashes: np.ndarray, counts: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Counts by hash, ascending; beyond ``most`` hashes each loses the count of the first that is left out."""
+    hashes, of = np.unique(hashes, return_inverse=True)
+    counts = np.bincount(of, counts, len(hashes)).astype(np.int64)
+    if len(hashes) > most:
+        counts -= np.partition(counts, -most - 1)[-most - 1]
+        hashes, counts = hashes[counts > 0], counts[counts > 0]
+    return hashes, counts
+
+
+def _repeated(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes that are held more than once, ascending, and how often."""
+    hashes = np.concatenate([np.empty(0, np.uint64), *held])
+    hashes.sort()
+    starts = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)])
+    counts = np.diff(starts, append=len(hashes))
+    return hashes[starts[counts > 1]], counts[counts > 1]
+
+
+def common_shingles(docs: DataFrame, words: int = 5, text: str = "text") -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts), ascending by hash: at most ``KNOWN`` shingles of all texts, the commonest that were found.
+
+    Counters in the way of Misra and Gries over whole texts, kept by each task;
+    of ``COUNTED`` shingles those enter that are there more than once. The counts
+    say in which order shingles are looked at, which no result depends on.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.compute  # noqa: F401  makes pa.compute there in a worker
+
+        kept, held, size = (np.empty(0, np.uint64), np.empty(0, np.int64)), [], 0
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            return _commonest(*[np.concatenate(two) for two in zip(kept, _repeated(held), strict=True)], KNOWN)
+
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                for one in text_bytes(piece.column("text")):
+                    held.append(_shingles(one, words))
+                    size += len(held[-1])
+                    if size >= COUNTED:
+                        kept = merged()
+                        held, size = [], 0
+        hashes, counts = merged()
+        yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], ["hash", "n"])
+
+    found = docs.select(F.col(text).alias("text")).mapInArrow(count, "hash long, n long")
+    rows = found.groupBy("hash").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "hash").limit(KNOWN).collect()
+    hashes = np.array([r.hash for r in rows], np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], np.array([r.n for r in rows], np.int64)[order]
+
+
+def _rarest(hashes: np.ndarray, known: np.ndarray, counts: np.ndarray, least: float) -> np.ndarray:
+    """The first shingles of a set, unknown ones before common ones, one of which any set of a Jaccard similarity of ``least`` has among its own first ones."""
+    if not len(hashes):
+        return hashes
+    seen = np.zeros(len(hashes), np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+        seen = np.where(known[at] == hashes, counts[at], 0)
+    # a similar set shares all but these, less one
+    return hashes[np.argsort(seen, kind="stable")[: len(hashes) - int(np.ceil(least * len(hashes) - 1e-6)) + 1]]
+
+
+def rarest(docs: DataFrame, least: float = 0.8, words: int = 5, text: str = "text") -> DataFrame:
+    """(list, node, size, rest): the first shingles of each text's set, its size, and how many of it are left from that shingle on."""
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, words, text))
+
+    def of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [_shingles(t, words) for t in text_bytes(batch.column("text"))]
+        first = [_rarest(s, *common.value, least) for s in sets]
+        counts = np.array([len(f) for f in first], np.int64)
+        sizes = np.repeat([len(s) for s in sets], counts).astype(np.int64)
+        nodes = np.repeat(np.array([_node(s) for s in sets], np.uint64), counts).view(np.int64)
+        at = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        lists = np.concatenate(first).view(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (lists, nodes, sizes, sizes - at)], ["list", "node", "size", "rest"])
+
+    return map_batches(docs.select(F.col(text).alias("text")), of, "list long, node long, size long, rest long")
+
+
+def sharing(postings: DataFrame, roots: DataFrame, least: float = 0.8, together: int = TOGETHER) -> DataFrame:
+    """(a, b): nodes of different ``root`` in ``roots`` (node, root) that may have a Jaccard similarity of ``least``.
+
+    ``postings`` is that of ``rarest``, stored. Similar sets meet at their first common
+    shingle, and from there on each has as many left as they must share; pairs
+    that do so nowhere are not emitted. So none that is similar is missed.
+
+    Lists of more than ``together`` rows are dealt in blocks, each pair of which
+    meets in one place; the blocks of one large group meet only the others.
+    """
+    shared = postings.groupBy("list").agg((F.min("node") != F.max("node")).alias("several")).filter("several").select("list")
+    rows = postings.join(stage(shared, "shared"), "list", "left_semi")
+    rows = rows.groupBy("list", "node").agg(F.first("size").alias("size"), F.first("rest").alias("rest"))
+    rows = stage(rows.join(roots.select("node", "root"), "node"), "shared-rows")
+    of_root = rows.groupBy("list", "root").agg(F.count(F.lit(1)).alias("of_root"))
+    of_list = of_root.groupBy("list").agg(
+        F.count(F.lit(1)).alias("roots"), F.sum(F.when(F.col("of_root") <= together, F.col("of_root")).otherwise(0)).alias("loose")
+    )
+    large = F.col("of_root") > together
+    parts = F.greatest(F.ceil(F.when(large, F.col("of_root")).otherwise(F.col("loose")) / together), F.lit(1))
+    block = F.struct(F.when(large, F.col("root")).alias("owner"), F.pmod(F.xxhash64("node"), parts).alias("part"))
+    placed = rows.join(of_root, ["list", "root"]).join(of_list.filter("roots > 1"), "list")
+    placed = stage(placed.select("list", "node", "root", "size", "rest", block.alias("block")), "shared-blocks")
+    blocks = placed.groupBy("list").agg(F.collect_set("block").alias("blocks"))
+    alone = F.col("block.owner")
+    meets = F.filter("blocks", lambda b: alone.isNull() | b["owner"].isNull() | (b["owner"] != alone))
+    dealt = placed.join(blocks, "list").select("list", "node", "root", "size", "rest", "block", F.explode(meets).alias("other"))
+
+    def side(name: str, i: str, j: str) -> DataFrame:
+        named = {"node": name, "root": f"root_{name}", "size": f"size_{name}", "rest": f"rest_{name}"}
+        return dealt.select("list", F.col(i).alias("i"), F.col(j).alias("j"), *[F.col(c).alias(to) for c, to in named.items()])
+
+    met = side("a", "block", "other").join(side("b", "other", "block"), ["list", "i", "j"])
+    must = least / (1 + least) * (F.col("size_a") + F.col("size_b")) - 1e-6
+    apart = (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
+    return met.filter(apart & (F.least("rest_a", "rest_b") >= must)).select("a", "b").distinct()
+
+
+def _near(pairs: DataFrame, prints: DataFrame) -> DataFrame:
+    """The (a, b) of ``pairs`` whose fingerprints, (node, fp), differ in at most ``BITS`` bits."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, other = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, WIDE // 8) for c in ("one", "other"))
+            far = np.bitwise_count(one ^ other).sum(axis=1, dtype=np.int64)
+            yield batch.select(["a", "b"]).filter(pa.array(far <= BITS))
+
+    left = prints.select(F.col("node").alias("a"), F.col("fp").alias("one"))
+    right = prints.select(F.col("node").alias("b"), F.col("fp").alias("other"))
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "one", "other").mapInArrow(of, "a long, b long")
+
+
 def similar_groups(
     docs: DataFrame,
     least: float = 0.8,
@@ -563,12 +707,12 @@ def similar_groups(
     """(key, r1, r2, root): rows whose shingle sets are linked by a Jaccard similarity of ``least`` share ``root``.
 
     Texts of equal sets are folded first, those without words among them. Links of
-    fingerprints, at most ``BITS`` bits apart, are verified on the texts; a pair is
-    missed only if its fingerprints share no choice of positions, or fewer than
-    ``SHARED`` bytes. Candidates are verified
-    in three steps, each of which leaves out pairs that lie in one group already:
-    the nearest one of each node, the others, and all pairs between groups in the
-    lists of dense groups, which the first two steps have thinned.
+    fingerprints, at most ``BITS`` bits apart, are verified on the texts. Candidates
+    are verified in four steps, each of which leaves out pairs that lie in one group
+    already: the nearest one of each node, the others, all pairs between groups in the
+    lists of dense groups, which the first two steps have thinned, and the pairs whose
+    fingerprints share no choice of positions, or fewer than ``SHARED`` bytes, found
+    by a shingle that they must have in common.
     """
     prints = stage(wide_prints(docs, words, text, key), "wide")
     one = prints.groupBy("node").agg(F.first("fp").alias("fp"), F.count(F.lit(1)).alias("n"), F.min(F.struct("r1", "r2")).alias("one"))
@@ -614,6 +758,13 @@ def similar_groups(
             links = links.union(_similar(unsure, shingles_of(ends(unsure)), least))
         if more.limit(1).count():
             roots = united(roots, links)
+    rooted = distinct.select("node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    postings = stage(rarest(docs, least, words, text), "rarest")
+    unmet = stage(_near(sharing(postings, stage(rooted, "rooted"), least, together), distinct), "unmet")
+    if unmet.limit(1).count():
+        links = stage(_similar(unmet, shingles_of(ends(unmet)), least), "unmet-links")
+        if links.limit(1).count():
+            roots = united(roots, links)
     rooted = distinct.select("node", "n").join(roots, "node", "left").select("node", "n", F.coalesce("root", "node").alias("root"))
     linked = join_counted(prints, stage(rooted, "roots"), ["node"], "n")
     return linked.select(F.col("key").alias(key), "r1", "r2", "root")

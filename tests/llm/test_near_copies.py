@@ -176,6 +176,68 @@ def test_thinned_lists_lose_no_link(as_documents, loose_groups):
         assert grouped(docs, **bounds) == every, bounds
 
 
+def test_links_that_meet_in_no_list_are_found(as_documents, loose_groups, tricky_rows, monkeypatch):
+    """Groups are those of all pairs, however little the index of positions finds, with long lists of shingles too."""
+    rows = [*loose_groups, *[(10_000 + i, t, s) for i, (_, t, s) in enumerate(tricky_rows)]]
+    docs, want = stage(as_documents(rows)), {}
+    for (key, _, _), root in zip(rows, plain_groups(rows), strict=True):
+        want.setdefault(root, set()).add(key)
+    want = sorted(map(sorted, want.values()))
+    assert grouped(docs) == want
+    monkeypatch.setattr(simhash, "CHOICES", {2: 1, 3: 1})
+    for known, bounds in ((simhash.KNOWN, {}), (8, {"together": 5, "partners": 1}), (0, {"together": 30})):
+        monkeypatch.setattr(simhash, "KNOWN", known)
+        assert grouped(docs, **bounds) == want, bounds
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_similar_sets_meet_at_a_first_shingle(seed):
+    """Sets of a Jaccard similarity of 0.8 have a first shingle in common from which enough are left in both."""
+    rng, met = np.random.default_rng(seed), 0
+    known = np.sort(rng.choice(2000, 300, replace=False)).astype(np.uint64)
+    counts = rng.integers(1, 5, len(known))
+    for known, counts in ((known, counts), (known[:0], counts[:0])):
+        for _ in range(2000):
+            base = rng.choice(2000, rng.integers(1, 60), replace=False)
+            one, two = (np.unique(np.append(base[rng.random(len(base)) > 0.06], rng.integers(0, 2000, rng.integers(0, 4)))).astype(np.uint64) for _ in range(2))
+            shared = len(np.intersect1d(one, two))
+            if not shared or shared < 0.8 * (len(one) + len(two) - shared):
+                continue
+            met += 1
+            a, b = (simhash._rarest(x, known, counts, 0.8).tolist() for x in (one, two))
+            rests = [min(len(one) - a.index(x), len(two) - b.index(x)) for x in a if x in b]
+            assert rests and max(rests) >= 0.8 / 1.8 * (len(one) + len(two)) - 1e-6
+    assert met > 500
+
+
+def test_common_shingles_are_counted(as_documents, monkeypatch):
+    """The commonest are known, whatever is counted at once."""
+    shared = noise(3, 30)
+    docs = as_documents([(i, noise(900 + i, 20) + " " + shared, "s") for i in range(40)] + [(99, None, "s")])
+    want = set(simhash._shingles(shared.encode()).tolist())
+    for bounds in ({}, {"KNOWN": 60, "COUNTED": 100}):
+        for name, value in bounds.items():
+            monkeypatch.setattr(simhash, name, value)
+        hashes, counts = simhash.common_shingles(docs)
+        found = dict(zip(hashes.tolist(), counts.tolist(), strict=True))
+        assert want <= set(found) and min(found[x] for x in want) >= (3 if bounds else 40)
+        assert hashes.tolist() == sorted(found) and len(found) <= simhash.KNOWN
+
+
+def test_blocks_of_shared_shingles_meet_where_roots_differ(spark):
+    """Every pair of different roots that has enough left, whatever the blocks; repeated rows change nothing."""
+    dice = np.random.default_rng(4)
+    for roots in ([7] * 30 + [9] * 3, list(range(15)), [1] * 4 + [2] * 4 + [3] * 12 + [4], [5] * 9):
+        rests = dice.integers(7, 10, len(roots)).tolist()
+        rows = [(lst, n, 9, rest) for n, rest in enumerate(rests) for lst in (0, 1) for _ in range(1 + n % 2)] + [(2, 0, 9, 9)]
+        postings = stage(spark.createDataFrame(rows, "list long, node long, size long, rest long"))
+        of = spark.createDataFrame(list(enumerate(roots)), "node long, root long")
+        want = {(i, j) for j in range(len(roots)) for i in range(j) if roots[i] != roots[j] and min(rests[i], rests[j]) >= 8}
+        for together in (1, 4, 1000):
+            got = [(r.a, r.b) for r in simhash.sharing(postings, of, together=together).collect()]
+            assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_unlike_pairs_of_a_dense_group_are_not_emitted(as_documents, loose_groups, monkeypatch):
     """Only links leave the blocks, of short texts; long ones are verified after, with the same groups."""
     docs, met = stage(as_documents(loose_groups)), {}
